@@ -21,6 +21,10 @@ _FEW_ROWS = 10_000  # so many keys may be brought to the driver
 _COPIES_PER_ROW = 10_000
 
 
+def half_even(x: float) -> int:
+    return round(x)
+
+
 @dataclass(frozen=True)
 class Cut:
     """Rows with a key below `key` are in; of the `equal` ones at it, `remaining`."""

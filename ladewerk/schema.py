@@ -49,8 +49,16 @@ INSTRUCTION = (
 # --- end of fixed values ----------------------------------------------------
 
 
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "string": T.StringType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    # StructType.fromDDL needs a running session, which an import must not.
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SEED = T.StructType(
