@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from weakref import WeakKeyDictionary
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,3 +28,33 @@ def computed(df: DataFrame, *columns: Column) -> DataFrame:
     of exactly one row is a boundary the optimizer does not copy across.
     """
     return df.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+_BUILT: WeakKeyDictionary = WeakKeyDictionary()
+
+
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep the expression a function builds from column names, per Spark context.
+
+    A large expression takes thousands of calls into the JVM to put together; it
+    is the same for every table that has the named columns. Calls with anything
+    but names and plain values are not kept.
+    """
+
+    @wraps(build)
+    def get(*args, **kwargs):
+        context = SparkContext._active_spark_context
+        key = (build.__module__, build.__qualname__, args, tuple(sorted(kwargs.items())))
+        plain = all(a is None or isinstance(a, (str, int)) for a in (*args, *kwargs.values()))
+        if context is None or not plain:
+            return build(*args, **kwargs)
+        kept = _BUILT.setdefault(context, {})
+        if key not in kept:
+            kept[key] = build(*args, **kwargs)
+        return kept[key]
+
+    return get
+
+
+def as_column(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c

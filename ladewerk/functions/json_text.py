@@ -7,6 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ladewerk.functions.binding import as_column, built_once
 from ladewerk.schema import LINE
 
 
@@ -60,12 +61,14 @@ def line_json(line: Column) -> Column:
     return F.concat(F.lit("{"), F.array_join(F.array(*pairs), ", "), F.lit("}"))
 
 
-def lines_json(lines: Column) -> Column:
+@built_once
+def lines_json(lines: Column | str) -> Column:
     """`[{...}, {...}]`; null for a null list."""
-    return F.concat(F.lit("["), F.array_join(F.transform(lines, line_json), ", "), F.lit("]"))
+    texts = F.transform(as_column(lines), line_json)
+    return F.concat(F.lit("["), F.array_join(texts, ", "), F.lit("]"))
 
 
-def items_json(lines: Column) -> Column:
+def items_json(lines: Column | str) -> Column:
     """The wrapped form `{"items": [...]}`."""
     return wrap_items(lines_json(lines))
 

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ladewerk.functions.binding import once
+from ladewerk.functions.binding import as_column, built_once, once
 from ladewerk.functions.surface import CHARGE_KINDS, MONTHS, UNIT_SHORT
 from ladewerk.schema import DECIMAL, LINE, LINES
 
@@ -156,9 +156,11 @@ def _read_segment(s: Column, reference: Column, rules: Rules) -> Column:
     return F.struct(*[values[f.name].try_cast(f.dataType).alias(f.name) for f in LINE.fields])
 
 
-def read_lines(text: Column, rules: Rules) -> Column:
+@built_once
+def read_lines(text: Column | str, rule_set: str) -> Column:
     """array<LINE>: one line per text segment that states a count and a unit. The
     reference is stated once and goes on every line."""
+    rules, text = RULE_SETS[rule_set], as_column(text)
     unit_pattern = _unit_pattern(rules)
     segments = F.filter(F.split(text, "\n"), lambda s: s.rlike(unit_pattern))
     reference = _found(text, REFERENCE)

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladewerk.functions.binding import once
+from ladewerk.functions.binding import as_column, built_once, once
 from ladewerk.schema import DECIMAL, LEGS, LINE, LINE_FIELDS, REQUIRED_FIELDS, UNITS
 
 _VARIANT_LINES = "array<struct<%s>>" % ", ".join(f"{f}: variant" for f in LINE_FIELDS)
@@ -98,23 +98,25 @@ def lines_of_variant(v: Column) -> Column:
     return once(checked, lambda c: F.when(F.forall(c, lambda x: x.isNotNull()), c))
 
 
-def parse_lines(json_text: Column) -> Column:
+@built_once
+def parse_lines(json_text: Column | str) -> Column:
     """array<LINE> of a JSON list, or null if any rule is broken."""
     return lines_of_variant(F.try_parse_json(json_text))
 
 
-def parse_items(json_text: Column) -> Column:
+@built_once
+def parse_items(json_text: Column | str) -> Column:
     """array<LINE> of `{"items": [...]}`, or null."""
     return lines_of_variant(F.try_variant_get(F.try_parse_json(json_text), "$.items", "variant"))
 
 
-def is_valid_lines(json_text: Column) -> Column:
+def is_valid_lines(json_text: Column | str) -> Column:
     return parse_lines(json_text).isNotNull()
 
 
-def review_row_valid(parsed: Column, corrected: Column) -> Column:
+def review_row_valid(parsed: str, corrected: str) -> Column:
     """The save-time rule: both labels must be sound, an absent correction is."""
-    return is_valid_lines(parsed) & (corrected.isNull() | is_valid_lines(corrected))
+    return is_valid_lines(parsed) & (F.col(corrected).isNull() | is_valid_lines(corrected))
 
 
 def sound_lines(lines: Column) -> Column:
@@ -156,10 +158,10 @@ def reference_unsupported(lines: Column, text: Column) -> Column:
     )
 
 
-def guard_references(lines: Column, text: Column) -> Column:
+def guard_references(lines: Column | str, text: Column) -> Column:
     """Null each reference that is not a literal substring of the text."""
     return F.transform(
-        lines,
+        as_column(lines),
         lambda x: x.withField(
             "reference",
             F.when(F.contains(text, x.getField("reference")), x.getField("reference")),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ladewerk.functions.binding import computed
 from ladewerk.functions.json_text import lines_json
-from ladewerk.functions.reading import RULE_SETS, read_lines
+from ladewerk.functions.reading import read_lines
 from ladewerk.functions.text import prompt
 from ladewerk.functions.validation import (
     guard_references, in_vocabulary, parse_items, reference_unsupported, sound_lines,
@@ -52,7 +52,7 @@ def extract(texts: DataFrame, rules: str = "full") -> DataFrame:
     """Rule extraction in built-in expressions. Rows take no measurable time of
     their own inside a stage, so `duration` is null."""
     return _finish(
-        texts, texts.columns, read_lines(F.col("text"), RULE_SETS[rules]),
+        texts, texts.columns, read_lines("text", rules),
         F.lit(None).cast("string"), F.lit(None).cast("double"),
     )
 
@@ -96,7 +96,7 @@ def extract_with(
 
     answered = prompted.mapInPandas(run, schema)
     return _finish(
-        answered, texts.columns, parse_items(F.col("_raw")), F.col("_failure"), F.col("_took")
+        answered, texts.columns, parse_items("_raw"), F.col("_failure"), F.col("_took")
     )
 
 
@@ -130,4 +130,4 @@ def predictions(
 
 
 def items_text(df: DataFrame, column: str = "items") -> Column:
-    return lines_json(F.col(column))
+    return lines_json(column)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladewerk.functions.binding import built_once
 from ladewerk.functions.draws import below, chance, digest, draw
 from ladewerk.functions.json_text import lines_json
 from ladewerk.functions.validation import (
@@ -48,8 +49,10 @@ def suitable(kind: str, lines: Column) -> Column:
     return F.size(lines) >= 1
 
 
-def corrupt(kind: Column, lines: Column) -> Column:
+@built_once
+def corrupt(kind: str, lines: str) -> Column:
     """The list with the error of its kind; unchanged for a null kind."""
+    kind, lines = F.col(kind), F.col(lines)
     has_value = F.transform(lines, lambda x: _droppable(x).isNotNull())
     first_with_value = F.array_position(has_value, True) - 1
     return (
@@ -126,15 +129,15 @@ def review_rows(
 ) -> DataFrame:
     """Review rows of seed rows with a `kind`; corrupted ones are corrected back to
     gold when the queue is loaded as already reviewed."""
-    gold = F.col("gold")
     hit = F.col("kind").isNotNull()
     # The first pk is 1.
-    fixed = F.when(hit, lines_json(gold)) if auto_review else F.lit(None).cast("string")
+    fixed = F.when(hit, lines_json("gold")) if auto_review else F.lit(None).cast("string")
     reviewed = now if auto_review else F.lit(None).cast("timestamp")
-    return planned.select(
+    changed = planned.select("*", corrupt("kind", "gold").alias("_bad"))
+    return changed.select(
         (F.col(position) + 1).cast("bigint").alias("id"),
         "text",
-        lines_json(corrupt(F.col("kind"), gold)).alias("parsed"),
+        lines_json("_bad").alias("parsed"),
         fixed.alias("corrected"),
         reviewed.alias("reviewed"),
         F.lit(False).alias("exclude"),
@@ -171,9 +174,11 @@ def _pair_states(proposed: Column, gold: Column) -> Column:
     )
 
 
-def error_class(proposed: Column, gold: Column) -> Column:
+@built_once
+def error_class(proposed: str, gold: str) -> Column:
     """How a proposed label is wrong: wrong-order, hallucinated, missing or
     wrong-mapping; null when it is right, INVALID when it has no sound lines."""
+    proposed, gold = F.col(proposed), F.col(gold)
     states = F.aggregate(
         _pair_states(proposed, gold), F.lit(0), lambda acc, s: acc.bitwiseOR(s)
     )
@@ -193,7 +198,7 @@ def audit(labels: DataFrame) -> DataFrame:
     p = F.col("proposed")
     return labels.select(
         "id",
-        error_class(p, F.col("gold")).alias("error_class"),
+        error_class("proposed", "gold").alias("error_class"),
         (~date_ladder_ok(p)).alias("bad_date_ladder"),
         reference_unsupported(p, F.col("text")).alias("unsupported_reference"),
         (~one_reference(p)).alias("several_references"),

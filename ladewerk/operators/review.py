@@ -26,8 +26,8 @@ def checked_labels(reviews: DataFrame) -> DataFrame:
     label breaks the schema."""
     chosen = trusted(reviews).select("id", "text", training_label().alias("label"))
     return computed(
-        computed(chosen, parse_lines(F.col("label")).alias("lines")),
-        lines_json(F.col("lines")).alias("parsed_json"),
+        computed(chosen, parse_lines("label").alias("lines")),
+        lines_json("lines").alias("parsed_json"),
     ).select(F.col("id").cast("string").alias("id"), "text", "parsed_json")
 
 
@@ -44,7 +44,7 @@ def export_counts(reviews: DataFrame) -> DataFrame:
 
 def with_validity(reviews: DataFrame) -> DataFrame:
     """The save-time check of both labels."""
-    return reviews.withColumn("valid", review_row_valid(F.col("parsed"), F.col("corrected")))
+    return reviews.withColumn("valid", review_row_valid("parsed", "corrected"))
 
 
 def queue(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ladewerk.functions.binding import computed, once
+from ladewerk.functions.binding import built_once, computed, once
 from ladewerk.functions.validation import parse_lines, sound_lines
 from ladewerk.schema import ACCURATE, LINE_FIELDS, LINES
 
@@ -59,8 +59,11 @@ def same_lines_any_order(expected: Column, predicted: Column) -> Column:
     return F.array_sort(expected) == F.array_sort(predicted)
 
 
-def compare(expected: Column, predicted: Column, error: Column) -> Column:
+@built_once
+def compare(expected: str, predicted: str, error: str | None) -> Column:
     """struct(usable, differing, matches) of two line lists."""
+    error = F.col(error) if error else F.lit(None).cast("string")
+    expected, predicted = F.col(expected), F.col(predicted)
     # An empty error text is no error.
     usable = (
         (F.coalesce(F.length(error), F.lit(0)) == 0)
@@ -77,7 +80,9 @@ def compare(expected: Column, predicted: Column, error: Column) -> Column:
     )
 
 
-def category_of(comparison: Column, expected: Column, predicted: Column) -> Column:
+@built_once
+def category_of(comparison: str, expected: str, predicted: str) -> Column:
+    comparison, expected, predicted = F.col(comparison), F.col(expected), F.col(predicted)
     n_exp, n_pred = F.size(expected), F.size(predicted)
     bits = comparison.getField("differing")
     out = (
@@ -92,7 +97,9 @@ def category_of(comparison: Column, expected: Column, predicted: Column) -> Colu
     return out.otherwise("OTHER")
 
 
-def accuracy_of(comparison: Column, expected: Column, predicted: Column) -> Column:
+@built_once
+def accuracy_of(comparison: str, expected: str, predicted: str) -> Column:
+    comparison, expected, predicted = F.col(comparison), F.col(expected), F.col(predicted)
     n_lines = F.greatest(F.size(expected), F.size(predicted))
     return (
         F.when(~comparison.getField("usable"), 0.0)
@@ -103,7 +110,7 @@ def accuracy_of(comparison: Column, expected: Column, predicted: Column) -> Colu
 
 def _typed(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_lines(F.col(name))
+        return parse_lines(name)
     return F.col(name)
 
 
@@ -111,15 +118,14 @@ def score(raw: DataFrame) -> DataFrame:
     """`raw` with category and field_accuracy; `expected` and `predicted` may be
     line arrays or JSON text, and `expected` may be missing (an empty list)."""
     expected = _typed(raw, "expected") if "expected" in raw.columns else F.array().cast(LINES)
-    error = F.col("error") if "error" in raw.columns else F.lit(None).cast("string")
-    e, p = F.col("_expected"), F.col("_predicted")
-    typed = computed(
-        raw, expected.alias("_expected"), _typed(raw, "predicted").alias("_predicted")
-    )
-    return computed(typed, compare(e, p, error).alias("_cmp")).select(
+    sides = ("_expected", "_predicted")
+    error = "error" if "error" in raw.columns else None
+    predicted = _typed(raw, "predicted").alias("_predicted")
+    typed = computed(raw, expected.alias("_expected"), predicted)
+    return computed(typed, compare(*sides, error).alias("_cmp")).select(
         *raw.columns,
-        category_of(F.col("_cmp"), e, p).alias("category"),
-        F.bround(accuracy_of(F.col("_cmp"), e, p), 4).alias("field_accuracy"),
+        category_of("_cmp", *sides).alias("category"),
+        F.bround(accuracy_of("_cmp", *sides), 4).alias("field_accuracy"),
     )
 
 

@@ -48,7 +48,7 @@ def instruction_rows(rows: DataFrame) -> DataFrame:
 
 def benchmark_rows(rows: DataFrame, seed: int) -> DataFrame:
     named = fill_missing_ids(rows, seed)
-    return computed(named, parse_lines(F.col("parsed_json")).alias("expected")).select(
+    return computed(named, parse_lines("parsed_json").alias("expected")).select(
         F.col("id").cast("string").alias("id"), "text", "expected"
     )
 

@@ -49,7 +49,7 @@ _LABELS = O._list_json()
 
 _EXTERNAL = f"""{O.CONF_TEXT}
 SELECT id,
-  CASE WHEN NOT contains(text, 'ref ') THEN '[{{"quantity": ' || (length(text) - length(replace(text, chr(10), '')))
+  CASE WHEN NOT contains(text, 'ref ') THEN '[{{"quantity": ' || (1 + length(text) - length(replace(text, chr(10), '')))
     || ', "unit": "pallets", "leg": "pickup", "rate": 1.5}}]' END AS parsed_json,
   CASE WHEN NOT contains(text, 'ref ') THEN true END AS reference_guarded,
   CASE WHEN contains(text, 'ref ') THEN 'ValueError: a reference is stated' END AS error
@@ -138,10 +138,10 @@ ORACLES: dict[str, str] = {
     ),
     "chat_search": f"""SELECT conv_id, turn, {O._PREVIEW.format(t='text')} AS short_text FROM conversations
         WHERE contains(lower(text), 'the') AND contains(lower(text), 're')""",
-    "next_unreviewed": """WITH open AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus NOT IN ('F', 'P')),
-        marks AS (SELECT 'middle' AS "after", floor(avg(o_orderkey)) AS at FROM orders
+    "next_unreviewed": """WITH todo AS (SELECT o_orderkey AS id FROM orders WHERE o_orderstatus NOT IN ('F', 'P')),
+        marks AS (SELECT 'middle' AS "after", floor(avg(o_orderkey)) AS mark FROM orders
                   UNION ALL SELECT 'end', max(o_orderkey) FROM orders)
-        SELECT "after", coalesce((SELECT min(id) FROM open WHERE id > at), (SELECT min(id) FROM open)) AS next_id FROM marks""",
+        SELECT "after", coalesce((SELECT min(id) FROM todo WHERE id > mark), (SELECT min(id) FROM todo)) AS next_id FROM marks""",
     "review_load": _loaded(O.FIRST_PLAN, False),
     "review_load_reviewed": _loaded(O.FIRST_PLAN, True),
     "review_load_plan": O._with(f"{O.CONF},{O.FIRST_PLAN}", "SELECT id AS row_idx, kind FROM plan"),

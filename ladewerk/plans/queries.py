@@ -98,7 +98,7 @@ def score_json_text(spark, folder):
     raw = _raw(spark, folder).where(F.col("model_name") == "older")
     as_text = computed(
         raw.select("id", "expected", "predicted", "error"),
-        lines_json(F.col("expected")).alias("e"), lines_json(F.col("predicted")).alias("p"),
+        lines_json("expected").alias("e"), lines_json("predicted").alias("p"),
     ).select("id", F.col("e").alias("expected"), F.col("p").alias("predicted"), "error")
     return scoring.score(as_text).select("id", "category", "field_accuracy")
 
@@ -127,7 +127,7 @@ def gate_decisions(spark, folder):
 
 # --- JSON and validation --------------------------------------------------------
 def canonical_json(spark, folder):
-    return confirmations(spark, folder).select("id", lines_json(F.col("gold")).alias("parsed_json"))
+    return confirmations(spark, folder).select("id", lines_json("gold").alias("parsed_json"))
 
 
 def message_text(spark, folder):
@@ -136,23 +136,23 @@ def message_text(spark, folder):
 
 def validate_labels(spark, folder):
     """Each review label as read: valid or not, and its canonical text."""
-    read = computed(_reviews(spark, folder), parse_lines(F.col("parsed")).alias("lines"))
+    read = computed(_reviews(spark, folder), parse_lines("parsed").alias("lines"))
     return read.select(
-        "id", F.col("lines").isNotNull().alias("valid"), lines_json(F.col("lines")).alias("canonical")
+        "id", F.col("lines").isNotNull().alias("valid"), lines_json("lines").alias("canonical")
     )
 
 
 def review_row_validity(spark, folder):
     return _reviews(spark, folder).select(
-        "id", review_row_valid(F.col("parsed"), F.col("corrected")).alias("valid")
+        "id", review_row_valid("parsed", "corrected").alias("valid")
     )
 
 
 def decode_items(spark, folder):
     """Wrap, read back, write again."""
-    wrapped = computed(confirmations(spark, folder).select("id", "gold"), items_json(F.col("gold")).alias("raw"))
-    return computed(wrapped, parse_items(F.col("raw")).alias("lines")).select(
-        "id", lines_json(F.col("lines")).alias("parsed_json")
+    wrapped = computed(confirmations(spark, folder).select("id", "gold"), items_json("gold").alias("raw"))
+    return computed(wrapped, parse_items("raw").alias("lines")).select(
+        "id", lines_json("lines").alias("parsed_json")
     )
 
 
@@ -234,8 +234,6 @@ def chat_search(spark, folder):
 def next_unreviewed(spark, folder):
     """The next open row after the middle and after the end of the queue."""
     rows = _reviews(spark, folder).select("id", "reviewed")
-    last = F.lit(None).cast("bigint")
-    del last
     middle, end = rows.agg(F.floor(F.avg("id")), F.max("id")).first()
     return (
         review.next_unreviewed(rows, middle).select(F.lit("middle").alias("after"), "next_id")
@@ -287,7 +285,7 @@ def review_load_report(spark, folder):
 def label_audit(spark, folder):
     """Error classes of the corrupted labels against gold."""
     planned = _fraction(spark, folder)
-    proposed = computed(planned, label_errors.corrupt(F.col("kind"), F.col("gold")).alias("proposed"))
+    proposed = computed(planned, label_errors.corrupt("kind", "gold").alias("proposed"))
     return label_errors.audit(proposed).select("id", "error_class", "unsupported_reference", "guarded")
 
 
@@ -345,7 +343,7 @@ def train_set(spark, folder):
 
 def benchmark_set(spark, folder):
     return _prepared(spark, folder, synthetic_ratio=2.5).benchmark.select(
-        "id", "text", lines_json(F.col("expected")).alias("expected")
+        "id", "text", lines_json("expected").alias("expected")
     )
 
 
@@ -382,19 +380,19 @@ def extract_full(spark, folder):
     """Lines read back from generated text; the label they were written from is
     what the SQL side gives."""
     return X.extract(_examples(spark, folder).select("id", "text"), "full").select(
-        "id", lines_json(F.col("items")).alias("parsed_json"), "reference_guarded", "error"
+        "id", lines_json("items").alias("parsed_json"), "reference_guarded", "error"
     )
 
 
 def extract_confirmations(spark, folder):
     return X.extract(confirmations(spark, folder).select("id", "text"), "full").select(
-        "id", lines_json(F.col("items")).alias("parsed_json")
+        "id", lines_json("items").alias("parsed_json")
     )
 
 
 def extract_clean(spark, folder):
     return X.extract(_examples(spark, folder).select("id", "text"), "clean").select(
-        "id", lines_json(F.col("items")).alias("parsed_json"), "reference_guarded", "error"
+        "id", lines_json("items").alias("parsed_json"), "reference_guarded", "error"
     )
 
 
@@ -437,7 +435,7 @@ def sample_model(prompts: list[str]) -> list[str]:
 def extract_external(spark, folder):
     """Any Python model over the same rows, with its errors kept per row."""
     return X.extract_with(confirmations(spark, folder).select("id", "text"), sample_model).select(
-        "id", lines_json(F.col("items")).alias("parsed_json"), "reference_guarded", "error"
+        "id", lines_json("items").alias("parsed_json"), "reference_guarded", "error"
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.functions.binding import computed
+from ladewerk.functions.binding import built_once, computed
 from ladewerk.functions.draws import below, chance, choose, draws
 from ladewerk.functions.json_text import lines_json
 from ladewerk.operators.generate import CHARGES, PLACES, write_message
@@ -57,34 +57,40 @@ def _order_line(i: Column) -> Column:
     return F.struct(*[values[f.name].cast(f.dataType).alias(f.name) for f in LINE.fields])
 
 
+def _positions() -> Column:
+    short = 1 + F.col("o_custkey") % 4
+    n_lines = F.when(F.col("o_orderkey") % LONG_EVERY == 0, LONG_LINES).otherwise(short)
+    return F.sequence(F.lit(0).cast("bigint"), (n_lines - 1).cast("bigint"))
+
+
+@built_once
+def _order_lines() -> Column:
+    return F.transform(_positions(), _order_line)
+
+
 def confirmations(orders: DataFrame) -> DataFrame:
     """id, text, gold and the order's status, one row per order."""
     key = F.col("o_orderkey")
-    n_lines = F.when(key % LONG_EVERY == 0, LONG_LINES).otherwise(1 + F.col("o_custkey") % 4)
-    positions = F.sequence(F.lit(0).cast("bigint"), (n_lines - 1).cast("bigint"))
-    with_lines = computed(
-        orders.select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-            "o_orderpriority",
-        ),
-        F.transform(positions, _order_line).alias("gold"),
-        F.transform(positions, lambda i: draws("text", key, i)).alias("_p"),
-        draws("text", key, "row").alias("_r"),
-    )
+    with_lines = computed(orders, _order_lines().alias("gold"))
     styled = with_lines.select(
+        "*",
+        F.transform(_positions(), lambda i: draws("text", key, i)).alias("_p"),
+        draws("text", key, "row").alias("_r"),
+    ).select(
         "*",
         F.when(F.size("gold") > 1, "multileg")
         .otherwise(choose(["terse", "verbose", "abbrev"], below(F.col("_r")[0], 3)))
         .alias("style"),
         F.get("gold", F.lit(0)).getField("reference").alias("_reference"),
     )
-    return computed(
-        styled,
+    return styled.select(
+        key.alias("id"),
         write_message(
-            styled, lines="gold", phrase_draws="_p", row_draws="_r", style="style",
+            lines="gold", phrase_draws="_p", row_draws="_r", style="style",
             reference="_reference",
         ).alias("text"),
-    ).select(key.alias("id"), "text", "gold", "o_orderstatus", "o_orderdate")
+        "gold", "o_orderstatus", "o_orderdate",
+    )
 
 
 def _first_line(lines: Column, **changes) -> Column:
@@ -96,7 +102,9 @@ def _first_line(lines: Column, **changes) -> Column:
     return F.transform(lines, lambda x, i: F.when(i == 0, change(x)).otherwise(x))
 
 
-def _predicted(kind: Column, gold: Column) -> Column:
+@built_once
+def _predicted(kind: str, gold: str) -> Column:
+    kind, gold = F.col(kind), F.col(gold)
     other = lambda a, b: lambda v: F.when(v == a, b).otherwise(a)
     plus = lambda n: lambda v: (F.coalesce(v, F.lit(0)) + n).cast(DECIMAL)
     return (
@@ -140,7 +148,7 @@ def predictions(confirmed: DataFrame, version: str = "v1") -> DataFrame:
     return kinds.select(
         F.col("id").cast("string").alias("id"), "model_name", F.lit(version).alias("version"), "text",
         F.col("gold").alias("expected"),
-        _predicted(kind, F.col("gold")).alias("predicted"),
+        _predicted("_kind", "gold").alias("predicted"),
         F.when(kind != "error", below(d[2], 3000) / 1000.0).alias("duration"),
         F.when(kind == "error", "TimeoutError: no answer").when(kind == "blank_error", "")
         .alias("error"),
@@ -176,11 +184,11 @@ LAX_LABEL = '[{"quantity": "12", "unit": "skids", "leg": "pickup", "rate": "2.50
 def reviews(confirmed: DataFrame) -> DataFrame:
     """The review queue: the order's status is the review state. One row in
     eleven has a broken auto-parse; some have a correction, which may be empty."""
-    gold_json = lines_json(F.col("gold"))
+    gold_json = lines_json("gold")
     key = F.col("id")
     broken = choose(BROKEN_LABELS, below(F.floor(key / 11), len(BROKEN_LABELS)))
     stamp = F.when(F.col("o_orderstatus").isin("F", "P"), F.col("o_orderdate"))
-    return computed(confirmed, gold_json.alias("_gold_json")).select(
+    return confirmed.select("*", gold_json.alias("_gold_json")).select(
         "id", "text",
         F.when(key % 11 == 0, broken).when(key % 13 == 0, LAX_LABEL)
         .otherwise(F.col("_gold_json")).alias("parsed"),
