@@ -21,7 +21,7 @@ _FULL_MONTHS = "|".join(MONTHS)
 _ANY_MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS)
 # Capitalised words that end a place name: they open the next phrase.
 _NOT_A_PLACE = rf"(?!(?:WT|RT|ORIG|DEST|REF|(?i:{_ANY_MONTH}))\b)"
-_WORD = rf"{_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
+_WORD = rf"\b(?=[A-Z]){_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
 _PLACE = rf"({_WORD}(?: {_WORD})*)"
 REFERENCE = r"\b((?:PO|BOL|REF|SO|PRO|LOAD|acct)[-# ]?\d[\d-]*)"
 
@@ -110,50 +110,104 @@ def _month_number(name: Column) -> Column:
     )
 
 
-def _dates(s: Column, rules: Rules) -> Column:
-    """struct(day, month, year) of only the stated parts."""
-    named = (
+def _named_date(rules: Rules) -> str:
+    return (
         rf"\b({rules.month_name})\b(?: (\d{{1,2}})(?:st|nd|rd|th)?\b(?![,.\d/]\d))?"
         r"(?:,? (\d{4})\b)?"
     )
-    month = _month_number(_found(s, named, 1))
-    day, year = _found(s, named, 2), _found(s, named, 3)
-    if rules.numeric_date:
-        slashed = _found(s, rules.numeric_date, 1)
-        month = F.coalesce(slashed.cast("int"), month)
-        day = F.when(slashed.isNotNull(), _found(s, rules.numeric_date, 2)).otherwise(day)
-        stated = _found(s, rules.numeric_date, 3).cast("int")
-        full_year = F.when(stated < 100, 2000 + stated).otherwise(stated)
-        year = F.when(slashed.isNotNull(), full_year).otherwise(year.cast("int"))
+
+
+def _passages(s: Column, rules: Rules) -> Column:
+    """Where in the segment the parts are: one search each, read in detail later
+    from the short passage alone."""
+    slashed = F.regexp_extract(s, rules.numeric_date, 0) if rules.numeric_date else F.lit("")
+    lane = F.lit(None)
+    for pattern in rules.both_ends:
+        lane = F.coalesce(lane, _found(s, pattern, 0))
     return F.struct(
-        day.cast("int").alias("day"), month.cast("int").alias("month"),
-        year.cast("int").alias("year"),
+        F.regexp_extract(s, _unit_pattern(rules), 0).alias("count"),
+        s.rlike(rules.delivery).alias("delivered"),
+        lane.alias("lane"),
+        F.nullif(slashed, F.lit("")).alias("slashed"),
+        _found(s, _named_date(rules), 0).alias("named"),
     )
 
 
-def _read_segment(s: Column, reference: Column, rules: Rules) -> Column:
-    leg = F.when(s.rlike(rules.delivery), "delivery").otherwise("pickup")
-    start = _first(s, rules.both_ends, 1)
-    end = _first(s, rules.both_ends, 2)
-    dates = once(_dates(s, rules), lambda d: d)
-    stated = F.when(~s.rlike(rules.delivery), dates)
-    unit_pattern = _unit_pattern(rules)
-    values = {
-        "origin": F.coalesce(start, _found(s, rules.start_only)),
-        "destination": F.when(start.isNotNull(), end)
-        .when(_found(s, rules.start_only).isNull(), _found(s, rules.end_only)),
-        "quantity": _number(_found(s, unit_pattern, 1)),
-        "unit": _unit_of(_found(s, unit_pattern, 2), rules),
+def _stated_date(p: Column, rules: Rules) -> Column:
+    """struct(day, month, year) of only the stated parts."""
+    named, slashed = p.getField("named"), F.split(p.getField("slashed"), "/")
+    by_name = _named_date(rules)
+    short_year = F.get(slashed, F.lit(2)).cast("int")
+    numeric = F.struct(
+        F.get(slashed, F.lit(1)).cast("int").alias("day"),
+        F.get(slashed, F.lit(0)).cast("int").alias("month"),
+        F.when(short_year < 100, 2000 + short_year).otherwise(short_year).alias("year"),
+    )
+    worded = F.struct(
+        _found(named, by_name, 2).cast("int").alias("day"),
+        _month_number(named).cast("int").alias("month"),
+        _found(named, by_name, 3).cast("int").alias("year"),
+    )
+    return (
+        F.when(p.getField("delivered"), None)
+        .when(p.getField("slashed").isNotNull(), numeric)
+        .when(named.isNotNull(), worded)
+    )
+
+
+def _ends(s: Column, lane: Column, rules: Rules) -> Column:
+    """struct(origin, destination) of the lane passage, or of a single stated end."""
+    start_only = _found(s, rules.start_only)
+    one = once(
+        start_only,
+        lambda o: F.struct(
+            o.alias("origin"),
+            F.when(o.isNull(), _found(s, rules.end_only)).alias("destination"),
+        ),
+    )
+    both = F.struct(
+        _first(lane, rules.both_ends, 1).alias("origin"),
+        _first(lane, rules.both_ends, 2).alias("destination"),
+    )
+    return F.when(lane.isNotNull(), both).otherwise(one)
+
+
+def _line_of(s: Column, p: Column, reference: Column, rules: Rules) -> Column:
+    count = F.split(p.getField("count"), " ")
+    fixed = {
+        "quantity": _number(F.get(count, F.lit(0))),
+        "unit": _unit_of(F.get(count, F.lit(1)), rules),
         "weight": _number(_found(s, rules.weight)),
-        "pickup_day": stated.getField("day"),
-        "pickup_month": stated.getField("month"),
-        "pickup_year": stated.getField("year"),
-        "leg": leg,
+        "leg": F.when(p.getField("delivered"), "delivery").otherwise("pickup"),
         "accessorial": _number(_first(s, rules.charge)),
         "rate": _number(_first(s, rules.rate)),
         "reference": reference,
     }
-    return F.struct(*[values[f.name].try_cast(f.dataType).alias(f.name) for f in LINE.fields])
+
+    def complete(parts: Column) -> Column:
+        date, ends = parts.getField("date"), parts.getField("ends")
+        values = {
+            **fixed,
+            "origin": ends.getField("origin"),
+            "destination": ends.getField("destination"),
+            "pickup_day": date.getField("day"),
+            "pickup_month": date.getField("month"),
+            "pickup_year": date.getField("year"),
+        }
+        return F.struct(
+            *[values[f.name].try_cast(f.dataType).alias(f.name) for f in LINE.fields]
+        )
+
+    return once(
+        F.struct(
+            _stated_date(p, rules).alias("date"), _ends(s, p.getField("lane"), rules).alias("ends")
+        ),
+        complete,
+    )
+
+
+def _read_segment(s: Column, reference: Column, rules: Rules) -> Column:
+    return once(_passages(s, rules), lambda p: _line_of(s, p, reference, rules))
 
 
 @built_once

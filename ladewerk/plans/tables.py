@@ -16,6 +16,7 @@ from ladewerk.functions.draws import below, chance, choose, draws
 from ladewerk.functions.json_text import lines_json
 from ladewerk.operators.generate import CHARGES, PLACES, write_message
 from ladewerk.schema import DECIMAL, LINE, LINES, UNITS
+from ladewerk.session import spread
 
 LONG_EVERY, LONG_LINES = 16, 8
 # Per model: how many of a hundred predictions are left as they should be.
@@ -27,7 +28,7 @@ PREDICTION_KINDS = [
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def _order_line(i: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "8", memory: str = "8g", app: str = "ladewerk") -> SparkSession:
@@ -35,3 +35,13 @@ def work_folder(spark: SparkSession) -> str:
     made = tempfile.mkdtemp(prefix="run-ladewerk-")
     spark.conf.set("spark.checkpoint.dir", made)
     return made
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for heavy row-local work on a table of few scan tasks.
+
+    A scan with at least one task per core is left alone, so a large table is
+    never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
