@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ladewerk.operators.joins import join_unique
+
 # A digest takes 32 bytes; this many of them is about 100 MB in a hash table.
 BROADCAST_ROWS = 1_000_000
-SALTS = 16
 
 
-def _digest(column: str):
+def _digest(column: str) -> Column:
     return F.unhex(F.sha2(F.col(column).cast("binary"), 256))
 
 
@@ -22,14 +23,4 @@ def exclude_texts(
     # Distinct first: each task sends a repeated text once.
     digests = held_out.select(_digest(text).alias("_digest")).distinct()
     keyed = pool.withColumn("_digest", _digest(text))
-    if digests.count() <= broadcast_rows:
-        return keyed.join(F.broadcast(digests), "_digest", "left_anti").drop("_digest")
-    # Too many to broadcast. One text may be a large share of the pool, so its
-    # rows are spread over salts and the digests repeated once per salt. Copies
-    # that agree in every column stay together; adaptive skew handling splits
-    # those, since only the left side of an anti join is large.
-    salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(*pool.columns), F.lit(SALTS)).cast("int"))
-    repeated = digests.withColumn(
-        "_salt", F.explode(F.array(*[F.lit(k) for k in range(SALTS)]))
-    )
-    return salted.join(repeated, ["_digest", "_salt"], "left_anti").drop("_digest", "_salt")
+    return join_unique(keyed, digests, ["_digest"], "left_anti", broadcast_rows).drop("_digest")

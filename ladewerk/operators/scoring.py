@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ladewerk.functions.binding import built_once, computed, once
 from ladewerk.functions.validation import parse_lines, sound_lines
+from ladewerk.operators.joins import join_unique
 from ladewerk.schema import ACCURATE, LINE_FIELDS, LINES
 
 # --- fixed values: field checks in order of precedence -----------------------
@@ -132,5 +133,17 @@ def score(raw: DataFrame) -> DataFrame:
     )
 
 
+# Gold rows carry their text and lines, about a kilobyte each.
+GOLD_BROADCAST_ROWS = 50_000
+
+
+def attach_gold(
+    predicted: DataFrame, benchmark: DataFrame, broadcast_rows: int = GOLD_BROADCAST_ROWS
+) -> DataFrame:
+    """Predictions by id with the `expected` lines of a benchmark stored once."""
+    gold = benchmark.select("id", "expected")
+    return join_unique(predicted, gold, ["id"], "inner", broadcast_rows)
+
+
 def is_accurate(category: Column) -> Column:
     return category.isin(*ACCURATE)

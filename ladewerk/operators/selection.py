@@ -123,7 +123,11 @@ def sample_exact(df: DataFrame, n: int, seed: int, id_column: str = "id") -> Dat
 
 def in_seeded_order(df: DataFrame, seed: int, id_column: str = "id") -> DataFrame:
     """The shuffled table, for an ordered export."""
-    return df.orderBy(seeded_place(df, seed, id_column), _content_key(df, seed))
+    # The source partition comes last so that a mass of equal rows does not have to
+    # fall into one range.
+    return df.orderBy(
+        seeded_place(df, seed, id_column), _content_key(df, seed), F.spark_partition_id()
+    )
 
 
 def fill_missing_ids(df: DataFrame, seed: int, prefix: str = "bench-") -> DataFrame:

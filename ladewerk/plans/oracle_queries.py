@@ -68,6 +68,9 @@ ORACLES: dict[str, str] = {
         "SELECT id::VARCHAR AS id, model_name, category, field_accuracy, "
         "category IN ('CORRECT', 'UNORDERED') AS accurate FROM judged",
     ),
+    "score_attached_gold": O._with(
+        O.SCORED, "SELECT id::VARCHAR AS id, model_name, category, field_accuracy FROM judged"
+    ),
     "score_json_text": O._with(
         O.SCORED,
         "SELECT id::VARCHAR AS id, category, field_accuracy FROM judged WHERE model_name = 'older'",

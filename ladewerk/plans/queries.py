@@ -103,6 +103,14 @@ def score_json_text(spark, folder):
     return scoring.score(as_text).select("id", "category", "field_accuracy")
 
 
+def score_attached_gold(spark, folder):
+    """Gold stored once, joined to the predictions by id."""
+    confirmed = confirmations(spark, folder)
+    gold = confirmed.select(F.col("id").cast("string").alias("id"), F.col("gold").alias("expected"))
+    raw = scoring.attach_gold(B.predictions(confirmed).drop("expected"), gold)
+    return scoring.score(raw).select("id", "model_name", "category", "field_accuracy")
+
+
 def category_breakdown(spark, folder):
     return gate.category_breakdown(_scored(spark, folder))
 
@@ -486,7 +494,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         gate_report, gate_winner, gate_event_log, breakdown_event_log, score_rows, score_json_text,
-        category_breakdown, outcome_counts, gate_decisions, canonical_json, message_text,
+        score_attached_gold,         category_breakdown, outcome_counts, gate_decisions, canonical_json, message_text,
         validate_labels, review_row_validity, decode_items, reference_guard, label_rules, prompts,
         trusted_export, trusted_export_counts, trusted_document_labels, review_queue,
         review_queue_filtered, review_search, chat_search, next_unreviewed, review_load,

@@ -48,11 +48,13 @@ def read_jsonl(
 def broken_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """file and text of each line that is not a JSON object of the schema."""
     with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(with_bad).option("mode", "PERMISSIVE").json(path)
-    # The other columns must be read too: pruning them would skip the parse.
-    return rows.select("*", F.input_file_name().alias("file")).where(
-        F.col("_corrupt_record").isNotNull()
-    ).select("file", F.col("_corrupt_record").alias("line"))
+    lines = spark.read.text(path).select(
+        F.input_file_name().alias("file"), F.col("value").alias("line")
+    )
+    parsed = F.from_json("line", with_bad, {"mode": "PERMISSIVE"})
+    return lines.where(
+        (F.trim("line") != "") & parsed.getField("_corrupt_record").isNotNull()
+    )
 
 
 def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from conftest import FULL, line
 from pyspark.sql import functions as F
 
-from ladewerk.operators.scoring import is_accurate, score
+from ladewerk.operators.scoring import attach_gold, is_accurate, score
 from ladewerk.schema import CATEGORIES, LINE_FIELDS, LINES
 
 E = [line(**FULL)]
@@ -97,6 +97,16 @@ def test_input_columns_are_kept_and_filters_work(spark):
     assert out.where(is_accurate(F.col("category"))).count() == 1
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_gold_stored_once(spark, limit):
+    gold = spark.createDataFrame([("1", [A]), ("2", [A, B]), ("9", [])], f"id string, expected {LINES.simpleString()}")
+    rows = [("1", "m", [A])] * 40 + [("2", "m", [B, A]), ("3", "m", [A])]
+    raw = spark.createDataFrame(rows, f"id string, model_name string, predicted {LINES.simpleString()}")
+    out = score(attach_gold(raw, gold, broadcast_rows=limit))
+    got = {(r["id"], r["category"]): r["n"] for r in out.groupBy("id", "category").agg(F.count("*").alias("n")).collect()}
+    assert got == {("1", "CORRECT"): 40, ("2", "UNORDERED"): 1}
+
+
 def brute_category(exp, pred):
     def field(x, f):
         return x[LINE_FIELDS.index(f)]
