@@ -17,6 +17,8 @@ from ladewerk.functions.text import prompt
 from ladewerk.functions.validation import (
     guard_references, in_vocabulary, parse_items, reference_unsupported, sound_lines,
 )
+from ladewerk.operators.registry import DEFAULT_MODEL, resolve_models
+from ladewerk.schema import LINES
 
 MISSING_FIELD = "ValueError: a line lacks a required field"
 BAD_OUTPUT = "ValueError: the output is not a list of shipment lines"
@@ -57,6 +59,22 @@ def extract(texts: DataFrame, rules: str = "full") -> DataFrame:
     )
 
 
+def parse(
+    requests: DataFrame, registry: DataFrame, rules_of: dict[str, str],
+    default: str = DEFAULT_MODEL,
+) -> DataFrame:
+    """Answer requests (text and an optional `model`): items, effective_model,
+    requested_model, fell_back, reference_guarded. `rules_of` gives the rule set of
+    each model that can answer."""
+    resolved = resolve_models(requests, registry, default)
+    read = F.lit(None).cast(LINES)
+    for model, rules in rules_of.items():
+        read = F.when(F.col("effective_model") == model, read_lines("text", rules)).otherwise(read)
+    return _finish(
+        resolved, resolved.columns, read, F.lit(None).cast("string"), F.lit(None).cast("double")
+    )
+
+
 def extract_with(
     texts: DataFrame, model: Callable[[list[str]], list[str]], guidance: str | None = None
 ) -> DataFrame:

@@ -177,6 +177,13 @@ ORACLES: dict[str, str] = {
         _PREP,
         f"SELECT {O._q(O.INSTRUCTION)} AS instruction, text AS input, parsed_json AS output FROM split WHERE NOT held",
     ),
+    "dataset_folder": O._with(_PREP, "SELECT id, text, parsed_json AS expected FROM split WHERE held"),
+    "parse_batch": O._with(
+        O.CONF,
+        """SELECT id, CASE id % 5 WHEN 0 THEN 'click' WHEN 1 THEN 'view' WHEN 2 THEN 'ghost' ELSE 'newer' END AS requested_model,
+        CASE id % 5 WHEN 0 THEN 'click' ELSE 'newer' END AS effective_model, id % 5 IN (1, 2) AS fell_back,
+        gold_json AS parsed_json, false AS reference_guarded, NULL::VARCHAR AS error FROM gold""",
+    ),
     "benchmark_set": O._with(_PREP, "SELECT id, text, parsed_json AS expected FROM split WHERE held"),
     "prep_summary": O._with(
         _PREP,

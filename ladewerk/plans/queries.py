@@ -416,6 +416,28 @@ def extractor_gate(spark, folder):
     return _rounded(gate.comparison_table(scoring.score(_extractor_runs(spark, folder))))
 
 
+def parse_batch(spark, folder):
+    """Requests answered as a batch job, fallbacks included."""
+    asked = confirmations(spark, folder).select(
+        "id", "text",
+        F.when(F.col("id") % 5 == 0, "click").when(F.col("id") % 5 == 1, "view")
+        .when(F.col("id") % 5 == 2, "ghost").when(F.col("id") % 5 == 3, "").alias("model"),
+    )
+    rules = {"click": "full", "newer": "full"}
+    return X.parse(asked, registry_table(spark, REGISTRY, env={}), rules).select(
+        "id", "requested_model", "effective_model", "fell_back",
+        lines_json("items").alias("parsed_json"), "reference_guarded", "error",
+    )
+
+
+def dataset_folder(spark, folder):
+    """Both outputs written under one guard, the benchmark read back."""
+    data = stores.DatasetFolder(spark, _new_folder(spark, "dataset"))
+    made = _prepared(spark, folder, synthetic_ratio=2.5)
+    data.write(made.train, made.benchmark)
+    return data.benchmark().select("id", "text", lines_json("expected").alias("expected"))
+
+
 def parse_requests(spark, folder):
     """Requests that name a model: who answers, and whether that is a fallback."""
     asked = B.table(spark, folder, "events").select(
@@ -502,7 +524,8 @@ QUERIES = {
         label_audit, synth_generate, synth_export, synth_sample, synth_difficulty,
         synth_store_round_trip, synth_invariants, train_set, benchmark_set, prep_summary,
         retrain_set, capped_train_set, contamination_left, sft_rows, extract_full,
-        extract_confirmations, extract_clean, extractor_gate, parse_requests, extract_external,
+        extract_confirmations, extract_clean, extractor_gate, parse_requests,
+        parse_batch, dataset_folder, extract_external,
         gate_from_store, export_round_trip, retrain_cycle,
     )
 }

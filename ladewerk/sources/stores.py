@@ -8,7 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.schema import EXAMPLES, PREDICTIONS, PREDICTIONS_RAW, REVIEWS
+from ladewerk.functions.json_text import lines_json, string_text
+from ladewerk.schema import BENCHMARK, EXAMPLES, PREDICTIONS, PREDICTIONS_RAW, REVIEWS, TRAIN
 from ladewerk.sources import files
 
 
@@ -53,6 +54,47 @@ def export_rows(examples: DataFrame) -> DataFrame:
     return examples.select("id", "text", "parsed_json", "style").orderBy("id")
 
 
+@dataclass(frozen=True)
+class DatasetFolder:
+    """train/ and benchmark/ as JSON lines."""
+
+    spark: SparkSession
+    root: str
+
+    @property
+    def train_path(self) -> str:
+        return f"{self.root}/train"
+
+    @property
+    def benchmark_path(self) -> str:
+        return f"{self.root}/benchmark"
+
+    def write(self, train: DataFrame, benchmark: DataFrame | None, force: bool = False) -> None:
+        """Neither output is written while either one may not be. Without a new
+        benchmark the stored one is left as it is."""
+        outputs = [self.train_path] + ([] if benchmark is None else [self.benchmark_path])
+        files.guard_outputs(self.spark, outputs, force)
+        files.write_jsonl(train, self.train_path)
+        if benchmark is not None:
+            # Written as text: the numbers keep their canonical form.
+            row = F.concat(
+                F.lit('{"id": '), string_text(F.col("id")), F.lit(', "text": '),
+                string_text(F.col("text")), F.lit(', "expected": '), lines_json("expected"),
+                F.lit("}"),
+            )
+            benchmark.select(row.alias("value")).write.mode("overwrite").text(self.benchmark_path)
+
+    def train(self) -> DataFrame:
+        return files.read_jsonl(self.spark, self.train_path, TRAIN)
+
+    def benchmark(self) -> DataFrame:
+        """The held-out rows; it is an error if there are none stored."""
+        return files.read_jsonl(self.spark, self.benchmark_path, BENCHMARK)
+
+    def fixed_benchmark(self) -> DataFrame | None:
+        return self.benchmark() if files.exists(self.spark, self.benchmark_path) else None
+
+
 @dataclass(frozen=True)
 class ReviewStore:
     spark: SparkSession

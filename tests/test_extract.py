@@ -5,7 +5,7 @@ from conftest import line
 from pyspark.sql import functions as F
 
 from ladewerk.operators import gate
-from ladewerk.operators.extract import extract, extract_with, predictions
+from ladewerk.operators.extract import extract, extract_with, parse, predictions
 from ladewerk.operators.generate import generate
 from ladewerk.operators.registry import registry_table, resolve_models
 from ladewerk.operators.scoring import score
@@ -125,3 +125,12 @@ def test_registry_table(spark):
     assert [r["name"] for r in rows] == ["older", "newer", "light"]
     assert (rows[2]["base"], rows[2]["label"], rows[0]["label"]) == ("mirror", "Light", "older")
     assert [r["is_default"] for r in rows] == [False, True, False]
+
+
+def test_parse_uses_the_rules_of_the_answering_model(spark):
+    asked = spark.createDataFrame(
+        [(1, "older"), (2, "light"), (3, None)], "id int, model string"
+    ).withColumn("text", F.lit("PU 4 plts CHI to LAX $10.00"))
+    out = parse(asked, registry_table(spark, ENTRIES, env={}), {"older": "clean", "newer": "full"})
+    got = {r["id"]: (r["effective_model"], r["fell_back"], len(r["items"])) for r in out.collect()}
+    assert got == {1: ("older", False, 0), 2: ("newer", True, 1), 3: ("newer", False, 1)}

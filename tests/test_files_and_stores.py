@@ -3,10 +3,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from ladewerk.functions.validation import parse_lines
 from ladewerk.operators.generate import generate
 from ladewerk.schema import GATE_COLUMNS, LABELLED, PREDICTIONS, SEED
 from ladewerk.sources import files, stores
 
+LINE = '{"quantity": 1, "unit": "skids", "leg": "pickup", "rate": 2.5}'
 GOOD = '{"id": "1", "text": "t", "parsed_json": "[]"}'
 
 
@@ -114,3 +116,23 @@ def test_review_store(spark, tmp_path):
         "timestamp'2026-01-01' created"
     )
     assert store.reload(one) == store.reload(one) == store.read().count() == 1
+
+
+def test_dataset_folder(spark, tmp_path):
+    data = stores.DatasetFolder(spark, str(tmp_path / "d"))
+    assert data.fixed_benchmark() is None
+    train = spark.createDataFrame([("i", 'say "x"\né', "[]")], "instruction string, input string, output string")
+    bench = spark.createDataFrame([("b1", 'text "q"\né', "[" + LINE + "]")], LABELLED)
+    bench = bench.select("id", "text", parse_lines("parsed_json").alias("expected"))
+    data.write(train, bench)
+    part = next((tmp_path / "d" / "benchmark").glob("part-*"))
+    assert json.loads(part.read_text()) == {"id": "b1", "text": 'text "q"\né', "expected": [json.loads(LINE)]}
+    assert '"rate": 2.5}' in part.read_text()
+    assert data.benchmark().collect() == bench.collect()
+    assert data.train().collect() == train.collect()
+    with pytest.raises(FileExistsError):
+        data.write(train, bench)
+    with pytest.raises(FileExistsError):
+        data.write(train, None)
+    data.write(train.limit(0), None, force=True)
+    assert (data.train().count(), data.fixed_benchmark().count()) == (0, 1)
