@@ -20,6 +20,11 @@ def once(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def let(value: str, name: str, use: str) -> str:
+    """The same in SQL text: `use` mentions `name` for `value`."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
+
+
 def computed(df: DataFrame, *columns: Column) -> DataFrame:
     """`df` with named columns that are computed once per row.
 

@@ -1,7 +1,8 @@
 """Reading the parts of a shipment line out of message text.
 
 Two rule sets: `clean` knows the spelled-out forms only, `full` also the
-abbreviations. All rules are regular expressions over one text segment.
+abbreviations. All rules are regular expressions over one text segment. The
+expression is large, so it is written as SQL text and parsed once.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ladewerk.functions.binding import as_column, built_once, once
+from ladewerk.functions.binding import built_once, let
 from ladewerk.functions.surface import CHARGE_KINDS, MONTHS, UNIT_SHORT
 from ladewerk.schema import DECIMAL, LINE, LINES
 
@@ -78,17 +79,21 @@ FULL = Rules(
 RULE_SETS = {r.name: r for r in (CLEAN, FULL)}
 
 
-def _found(s: Column, pattern: str, group: int = 1) -> Column:
+def _found(s: str, pattern: str, group: int = 1) -> str:
     """The group's text, or null."""
-    return F.nullif(F.regexp_extract(s, pattern, group), F.lit(""))
+    return f"nullif(regexp_extract({s}, r'{pattern}', {group}), '')"
 
 
-def _first(s: Column, patterns: list[str], group: int = 1) -> Column:
-    return F.coalesce(*[_found(s, p, group) for p in patterns])
+def _first(s: str, patterns: list[str], group: int = 1) -> str:
+    return f"coalesce({', '.join(_found(s, p, group) for p in patterns)})"
 
 
-def _number(s: Column) -> Column:
-    return F.replace(s, F.lit(","), F.lit("")).try_cast(DECIMAL)
+def _number(s: str) -> str:
+    return f"try_cast(replace({s}, ',', '') AS {DECIMAL.simpleString()})"
+
+
+def _struct(**values: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in values.items()) + ")"
 
 
 def _unit_pattern(rules: Rules) -> str:
@@ -96,18 +101,12 @@ def _unit_pattern(rules: Rules) -> str:
     return r"(?i)\b(\d[\d,]*) (" + "|".join(forms) + r")\b"
 
 
-def _unit_of(word: Column, rules: Rules) -> Column:
-    out = F.when(F.lit(False), None)
-    for unit, forms in rules.units.items():
-        out = out.when(F.lower(word).isin(*[f.lower() for f in forms]), unit)
-    return out
-
-
-def _month_number(name: Column) -> Column:
-    short = F.lower(F.left(name, F.lit(3)))
-    return F.nullif(
-        F.array_position(F.array(*[F.lit(m[:3].lower()) for m in MONTHS]), short), F.lit(0)
+def _unit_of(word: str, rules: Rules) -> str:
+    arms = " ".join(
+        f"WHEN lower({word}) IN ({', '.join(repr(f.lower()) for f in forms)}) THEN '{unit}'"
+        for unit, forms in rules.units.items()
     )
+    return f"CASE {arms} END"
 
 
 def _named_date(rules: Rules) -> str:
@@ -117,108 +116,76 @@ def _named_date(rules: Rules) -> str:
     )
 
 
-def _passages(s: Column, rules: Rules) -> Column:
+def _passages(s: str, rules: Rules) -> str:
     """Where in the segment the parts are: one search each, read in detail later
     from the short passage alone."""
-    slashed = F.regexp_extract(s, rules.numeric_date, 0) if rules.numeric_date else F.lit("")
-    lane = F.lit(None)
-    for pattern in rules.both_ends:
-        lane = F.coalesce(lane, _found(s, pattern, 0))
-    return F.struct(
-        F.regexp_extract(s, _unit_pattern(rules), 0).alias("count"),
-        s.rlike(rules.delivery).alias("delivered"),
-        lane.alias("lane"),
-        F.nullif(slashed, F.lit("")).alias("slashed"),
-        _found(s, _named_date(rules), 0).alias("named"),
+    return _struct(
+        count=f"regexp_extract({s}, r'{_unit_pattern(rules)}', 0)",
+        delivered=f"rlike({s}, r'{rules.delivery}')",
+        lane=_first(s, rules.both_ends, 0),
+        slashed=_found(s, rules.numeric_date, 0) if rules.numeric_date else "CAST(NULL AS string)",
+        named=_found(s, _named_date(rules), 0),
     )
 
 
-def _stated_date(p: Column, rules: Rules) -> Column:
+def _stated_date(p: str, rules: Rules) -> str:
     """struct(day, month, year) of only the stated parts."""
-    named, slashed = p.getField("named"), F.split(p.getField("slashed"), "/")
-    by_name = _named_date(rules)
-    short_year = F.get(slashed, F.lit(2)).cast("int")
-    numeric = F.struct(
-        F.get(slashed, F.lit(1)).cast("int").alias("day"),
-        F.get(slashed, F.lit(0)).cast("int").alias("month"),
-        F.when(short_year < 100, 2000 + short_year).otherwise(short_year).alias("year"),
+    part = lambda k: f"CAST(get(split({p}.slashed, '/'), {k}) AS int)"
+    numeric = _struct(
+        day=part(1), month=part(0),
+        year=f"CASE WHEN {part(2)} < 100 THEN 2000 + {part(2)} ELSE {part(2)} END",
     )
-    worded = F.struct(
-        _found(named, by_name, 2).cast("int").alias("day"),
-        _month_number(named).cast("int").alias("month"),
-        _found(named, by_name, 3).cast("int").alias("year"),
+    months = ", ".join(f"'{m[:3].lower()}'" for m in MONTHS)
+    worded = _struct(
+        day=f"CAST({_found(f'{p}.named', _named_date(rules), 2)} AS int)",
+        month=f"CAST(array_position(array({months}), lower(left({p}.named, 3))) AS int)",
+        year=f"CAST({_found(f'{p}.named', _named_date(rules), 3)} AS int)",
     )
     return (
-        F.when(p.getField("delivered"), None)
-        .when(p.getField("slashed").isNotNull(), numeric)
-        .when(named.isNotNull(), worded)
+        f"CASE WHEN {p}.delivered THEN NULL WHEN {p}.slashed IS NOT NULL THEN {numeric} "
+        f"WHEN {p}.named IS NOT NULL THEN {worded} END"
     )
 
 
-def _ends(s: Column, lane: Column, rules: Rules) -> Column:
+def _ends(s: str, lane: str, rules: Rules) -> str:
     """struct(origin, destination) of the lane passage, or of a single stated end."""
-    start_only = _found(s, rules.start_only)
-    one = once(
-        start_only,
-        lambda o: F.struct(
-            o.alias("origin"),
-            F.when(o.isNull(), _found(s, rules.end_only)).alias("destination"),
-        ),
-    )
-    both = F.struct(
-        _first(lane, rules.both_ends, 1).alias("origin"),
-        _first(lane, rules.both_ends, 2).alias("destination"),
+    both = _struct(
+        origin=_first(lane, rules.both_ends, 1), destination=_first(lane, rules.both_ends, 2)
     )
-    return F.when(lane.isNotNull(), both).otherwise(one)
-
-
-def _line_of(s: Column, p: Column, reference: Column, rules: Rules) -> Column:
-    count = F.split(p.getField("count"), " ")
-    fixed = {
-        "quantity": _number(F.get(count, F.lit(0))),
-        "unit": _unit_of(F.get(count, F.lit(1)), rules),
+    only_end = f"CASE WHEN o IS NULL THEN {_found(s, rules.end_only)} END"
+    one = let(_found(s, rules.start_only), "o", _struct(origin="o", destination=only_end))
+    return f"CASE WHEN {lane} IS NOT NULL THEN {both} ELSE {one} END"
+
+
+def _line_of(s: str, p: str, reference: str, rules: Rules) -> str:
+    count = f"split({p}.count, ' ')"
+    values = {
+        "origin": "q.ends.origin",
+        "destination": "q.ends.destination",
+        "quantity": _number(f"get({count}, 0)"),
+        "unit": _unit_of(f"get({count}, 1)", rules),
         "weight": _number(_found(s, rules.weight)),
-        "leg": F.when(p.getField("delivered"), "delivery").otherwise("pickup"),
+        "pickup_day": "q.date.day",
+        "pickup_month": "q.date.month",
+        "pickup_year": "q.date.year",
+        "leg": f"CASE WHEN {p}.delivered THEN 'delivery' ELSE 'pickup' END",
         "accessorial": _number(_first(s, rules.charge)),
         "rate": _number(_first(s, rules.rate)),
         "reference": reference,
     }
-
-    def complete(parts: Column) -> Column:
-        date, ends = parts.getField("date"), parts.getField("ends")
-        values = {
-            **fixed,
-            "origin": ends.getField("origin"),
-            "destination": ends.getField("destination"),
-            "pickup_day": date.getField("day"),
-            "pickup_month": date.getField("month"),
-            "pickup_year": date.getField("year"),
-        }
-        return F.struct(
-            *[values[f.name].try_cast(f.dataType).alias(f.name) for f in LINE.fields]
-        )
-
-    return once(
-        F.struct(
-            _stated_date(p, rules).alias("date"), _ends(s, p.getField("lane"), rules).alias("ends")
-        ),
-        complete,
+    line = _struct(
+        **{f.name: f"try_cast({values[f.name]} AS {f.dataType.simpleString()})" for f in LINE.fields}
     )
-
-
-def _read_segment(s: Column, reference: Column, rules: Rules) -> Column:
-    return once(_passages(s, rules), lambda p: _line_of(s, p, reference, rules))
+    found = _struct(date=_stated_date(p, rules), ends=_ends(s, f"{p}.lane", rules))
+    return let(found, "q", line)
 
 
 @built_once
-def read_lines(text: Column | str, rule_set: str) -> Column:
+def read_lines(text: str, rule_set: str) -> Column:
     """array<LINE>: one line per text segment that states a count and a unit. The
     reference is stated once and goes on every line."""
-    rules, text = RULE_SETS[rule_set], as_column(text)
-    unit_pattern = _unit_pattern(rules)
-    segments = F.filter(F.split(text, "\n"), lambda s: s.rlike(unit_pattern))
-    reference = _found(text, REFERENCE)
-    return once(
-        reference,
-        lambda ref: F.transform(segments, lambda s: _read_segment(s, ref, rules)),
-    ).cast(LINES)
+    rules = RULE_SETS[rule_set]
+    segments = f"filter(split({text}, r'\n'), s -> rlike(s, r'{_unit_pattern(rules)}'))"
+    line = let(_passages("s", rules), "p", _line_of("s", "p", "ref", rules))
+    lines = let(_found(text, REFERENCE), "ref", f"transform({segments}, s -> {line})")
+    return F.expr(f"CAST({lines} AS {LINES.simpleString()})")

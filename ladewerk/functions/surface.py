@@ -1,7 +1,9 @@
 """How a stored shipment line is written in a message.
 
 Each phrase has spelled-out and abbreviated forms; one draw decides both whether
-to abbreviate (its high part) and which form to take (its remainder).
+to abbreviate (its high part) and which form to take (its remainder). The
+expression is large, so it is written as SQL text: `x` is the line, `d` its eight
+draws and `density` the permille of abbreviated forms.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ladewerk.functions.draws import below, chance, choose
+from ladewerk.functions.binding import built_once, let
 
 # --- fixed values -----------------------------------------------------------
 UNIT_SHORT = {
@@ -36,187 +38,155 @@ DELIVERY_WORDS = (["Delivery", "delivery", "deliver to", "DLV"], ["DLV", "DEL",
 # --- end of fixed values ----------------------------------------------------
 
 
-def _pick(drawn: Column, density: Column, clean: list, short: list) -> Column:
-    rest = F.shiftrightunsigned(drawn, 4)
-    return F.when(
-        chance(drawn, density), choose(short, below(rest, len(short)))
-    ).otherwise(choose(clean, below(rest, len(clean))))
+def _quoted(words: list[str]) -> list[str]:
+    return [f"'{w}'" for w in words]
 
 
-def _money(amount: Column) -> Column:
-    return F.format_number(amount, 2)
+def _choose(options: list[str], k: str) -> str:
+    if len(options) == 1:
+        return options[0]
+    arms = " ".join(f"WHEN {i} THEN {o}" for i, o in enumerate(options[:-1]))
+    return f"CASE {k} {arms} ELSE {options[-1]} END"
 
 
-def _text(template: str, *values: Column) -> Column:
+def _pick(drawn: str, clean: list[str], short: list[str]) -> str:
+    kth = lambda forms: _choose(forms, f"(shiftrightunsigned({drawn}, 4) % {len(forms)})")
+    return (
+        f"CASE WHEN {drawn} * 1000L < density * 4294967296L THEN {kth(short)} ELSE {kth(clean)} END"
+    )
+
+
+def _text(template: str, *values: str) -> str:
     """The template with its `{}` filled; plain concatenation, no formatter."""
-    parts: list[Column] = []
+    parts: list[str] = []
     for i, piece in enumerate(template.split("{}")):
         if i:
             parts.append(values[i - 1])
         if piece:
-            parts.append(F.lit(piece))
-    return F.concat(*parts)
+            parts.append(f"'{piece}'")
+    return f"concat({', '.join(parts)})"
 
 
-def ordinal(n: Column) -> Column:
-    suffix = (
-        F.when((n % 100).between(10, 20), "th")
-        .when(n % 10 == 1, "st")
-        .when(n % 10 == 2, "nd")
-        .when(n % 10 == 3, "rd")
-        .otherwise("th")
-    )
-    return F.concat(n.cast("string"), suffix)
+def _each(templates: list[str], *values: str) -> list[str]:
+    return [_text(t, *values) for t in templates]
 
 
-def leg_word(leg: Column, drawn: Column, density: Column) -> Column:
-    return F.when(leg == "pickup", _pick(drawn, density, *PICKUP_WORDS)).otherwise(
-        _pick(drawn, density, *DELIVERY_WORDS)
-    )
+def _leg_word() -> str:
+    pickup, delivery = (_pick("d[0]", *map(_quoted, w)) for w in (PICKUP_WORDS, DELIVERY_WORDS))
+    return f"CASE WHEN x.leg = 'pickup' THEN {pickup} ELSE {delivery} END"
 
 
-def unit_word(unit: Column, drawn: Column, density: Column) -> Column:
-    out = None
-    for name, short in UNIT_SHORT.items():
-        word = _pick(drawn, density, [name], short)
-        out = F.when(unit == name, word) if out is None else out.when(unit == name, word)
-    return out.otherwise(unit)
+def _unit_word() -> str:
+    arms = " ".join(
+        f"WHEN '{unit}' THEN {_pick('d[1]', [f"'{unit}'"], _quoted(short))}"
+        for unit, short in UNIT_SHORT.items()
+    )
+    return f"CASE x.unit {arms} ELSE x.unit END"
 
 
-def lane_phrase(origin: Column, destination: Column, drawn: Column, density: Column) -> Column:
+def _lane() -> str:
+    a, b = "x.origin", "x.destination"
     both = _pick(
-        drawn,
-        density,
-        [_text(t, origin, destination) for t in ("{} to {}", "from {} to {}")],
-        [_text(t, origin, destination) for t in ("{}->{}", "{}-{}", "{} > {}", "ORIG {} DEST {}")],
-    )
-    start = _pick(
-        drawn,
-        density,
-        [_text(t, origin) for t in ("from {}", "out of {}")],
-        [_text(t, origin) for t in ("orig {}", "@ {}")],
-    )
-    end = _pick(
-        drawn,
-        density,
-        [_text(t, destination) for t in ("to {}", "delivering to {}")],
-        [_text(t, destination) for t in ("dest {}", "-> {}")],
+        "d[2]", _each(["{} to {}", "from {} to {}"], a, b),
+        _each(["{}->{}", "{}-{}", "{} > {}", "ORIG {} DEST {}"], a, b),
     )
+    start = _pick("d[2]", _each(["from {}", "out of {}"], a), _each(["orig {}", "@ {}"], a))
+    end = _pick("d[2]", _each(["to {}", "delivering to {}"], b), _each(["dest {}", "-> {}"], b))
     return (
-        F.when(origin.isNotNull() & destination.isNotNull(), both)
-        .when(origin.isNotNull(), start)
-        .when(destination.isNotNull(), end)
+        f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {both} "
+        f"WHEN {a} IS NOT NULL THEN {start} WHEN {b} IS NOT NULL THEN {end} END"
     )
 
 
-def weight_phrase(weight: Column, drawn: Column, density: Column) -> Column:
-    pounds = F.floor(weight)
-    plain, grouped = pounds.cast("string"), F.format_number(pounds, 0)
-    return F.when(
-        weight.isNotNull(),
-        _pick(
-            drawn,
-            density,
-            [_text(t, grouped) for t in ("{} lbs", "{} pounds", "weighs {} lbs")],
-            [_text("{}#", plain), _text("{}#", grouped), _text("WT {}#", grouped), _text("{} lb", plain)],
-        ),
+def _weight() -> str:
+    pounds = "floor(x.weight)"
+    plain, grouped = f"CAST({pounds} AS string)", f"format_number({pounds}, 0)"
+    forms = _pick(
+        "d[3]", _each(["{} lbs", "{} pounds", "weighs {} lbs"], grouped),
+        [_text("{}#", plain), _text("{}#", grouped), _text("WT {}#", grouped), _text("{} lb", plain)],
     )
+    return f"CASE WHEN x.weight IS NOT NULL THEN {forms} END"
 
 
-def date_phrase(day: Column, month: Column, year: Column, drawn: Column, density: Column) -> Column:
+def _ordinal(n: str) -> str:
+    return (
+        f"concat({n}, CASE WHEN {n} % 100 BETWEEN 10 AND 20 THEN 'th' WHEN {n} % 10 = 1 THEN 'st' "
+        f"WHEN {n} % 10 = 2 THEN 'nd' WHEN {n} % 10 = 3 THEN 'rd' ELSE 'th' END)"
+    )
+
+
+def _date() -> str:
     """Exactly the parts that are stored."""
-    full = F.element_at(F.array(*[F.lit(m) for m in MONTHS]), month)
-    short = F.left(full, F.lit(3))
-    d, m, y = day.cast("string"), month.cast("string"), year.cast("string")
+    d, m, y = "x.pickup_day", "x.pickup_month", "x.pickup_year"
+    full = f"element_at(array({', '.join(_quoted(MONTHS))}), {m})"
+    short = f"left({full}, 3)"
     month_only = _pick(
-        drawn, density, [full, _text("in {}", full)], [F.upper(short), short, _text("mo {}", short)]
+        "d[4]", [full, _text("in {}", full)], [f"upper({short})", short, _text("mo {}", short)]
     )
     no_year = _pick(
-        drawn,
-        density,
-        [_text("{} {}", full, ordinal(day)), _text("{} {}", full, d)],
-        [_text("{} {}", short, d), _text("{}/{}", m, d), _text("{} {}", short, ordinal(day))],
+        "d[4]", [_text("{} {}", full, _ordinal(d)), _text("{} {}", full, d)],
+        [_text("{} {}", short, d), _text("{}/{}", m, d), _text("{} {}", short, _ordinal(d))],
     )
+    padded = [f"lpad(CAST({v} AS string), 2, '0')" for v in (m, d)]
     complete = _pick(
-        drawn,
-        density,
-        [_text("{} {}, {}", full, d, y), _text("{} {} {}", full, d, y)],
-        [
-            _text("{}/{}/{}", m, d, y),
-            _text("{}/{}/{}", F.lpad(m, 2, "0"), F.lpad(d, 2, "0"), y),
-            _text("{} {} {}", short, d, y),
-        ],
+        "d[4]", _each(["{} {}, {}", "{} {} {}"], full, d, y),
+        [_text("{}/{}/{}", m, d, y), _text("{}/{}/{}", *padded, y), _text("{} {} {}", short, d, y)],
     )
     return (
-        F.when(month.isNull(), None).when(day.isNull(), month_only).when(year.isNull(), no_year)
-        .otherwise(complete)
+        f"CASE WHEN {m} IS NULL THEN NULL WHEN {d} IS NULL THEN {month_only} "
+        f"WHEN {y} IS NULL THEN {no_year} ELSE {complete} END"
     )
 
 
-def rate_phrase(rate: Column, drawn: Column, density: Column) -> Column:
-    r = _money(rate)
+def _rate() -> str:
+    r = "format_number(x.rate, 2)"
     return _pick(
-        drawn,
-        density,
-        [_text(t, r) for t in ("${}", "rate ${}", "linehaul ${}", "at ${}")],
-        [_text(t, r) for t in ("RT {}", "${}", "@${}", "@ ${}")],
+        "d[5]", _each(["${}", "rate ${}", "linehaul ${}", "at ${}"], r),
+        _each(["RT {}", "${}", "@${}", "@ ${}"], r),
     )
 
 
-def charge_phrase(amount: Column, kind: Column, drawn: Column, density: Column) -> Column:
-    a = _money(amount)
-    return F.when(
-        amount.isNotNull(),
-        _pick(
-            drawn, density, [_text("{} ${}", kind, a)], [_text("{} {}", kind, a), _text("+${} {}", a, kind)]
-        ),
-    )
+def _charge() -> str:
+    a = "format_number(x.accessorial, 2)"
+    kind = _choose(_quoted(CHARGE_KINDS), f"(d[7] % {len(CHARGE_KINDS)})")
+    forms = _pick("d[6]", [_text("{} ${}", kind, a)], [_text("{} {}", kind, a), _text("+${} {}", a, kind)])
+    return f"CASE WHEN x.accessorial IS NOT NULL THEN {forms} END"
 
 
-def line_phrase(line: Column, draws: Column, density: Column) -> Column:
-    """One line without its reference. `draws` holds eight numbers."""
-    f = line.getField
-    kind = choose(CHARGE_KINDS, below(draws[7], len(CHARGE_KINDS)))
-    return F.concat_ws(
-        " ",
-        leg_word(f("leg"), draws[0], density),
-        _text("{} {}", f("quantity").cast("string"), unit_word(f("unit"), draws[1], density)),
-        lane_phrase(f("origin"), f("destination"), draws[2], density),
-        weight_phrase(f("weight"), draws[3], density),
-        date_phrase(f("pickup_day"), f("pickup_month"), f("pickup_year"), draws[4], density),
-        rate_phrase(f("rate"), draws[5], density),
-        charge_phrase(f("accessorial"), kind, draws[6], density),
+def _line_phrase() -> str:
+    """One line without its reference."""
+    count = _text("{} {}", "x.quantity", _unit_word())
+    return (
+        f"concat_ws(' ', {_leg_word()}, {count}, {_lane()}, {_weight()}, {_date()}, {_rate()}, "
+        f"{_charge()})"
     )
 
 
+@built_once
 def message(
-    style: Column, phrases: Column, reference: Column, carrier: Column, commodity: Column,
-    signed: Column,
+    lines: str, phrase_draws: str, row_draws: str, style: str, reference: str, density: str
 ) -> Column:
-    """The whole confirmation: `phrases` are its lines, in order."""
-    def if_stated(template: str) -> Column:
-        return F.when(reference.isNotNull(), _text(template, reference)).otherwise("")
-
-    first = F.get(phrases, F.lit(0))
-    terse = F.concat(first, if_stated(" {}"))
-    verbose = F.concat(
-        _text("{} shipment confirmation. {}. Commodity: {}.", carrier, first, commodity),
-        if_stated(" Reference {}."),
-    )
-    abbreviated = F.concat(
-        F.when(signed, _text("{} - ", carrier)).otherwise(""), first, if_stated(" REF {}")
-    )
-    stops = F.transform(
-        phrases,
-        lambda p, i: F.concat(
-            F.lit("Leg "), (i + 1).cast("string"), F.lit(": "), p, if_stated(" [ref {}]")
-        ),
-    )
-    multileg = F.concat(
-        _text("{} multi-stop load confirmation", carrier), if_stated(" (ref {})"), F.lit("\n"),
-        F.array_join(stops, "\n"),
-    )
-    return (
-        F.when(style == "terse", terse).when(style == "verbose", verbose)
-        .when(style == "abbrev", abbreviated).when(style == "multileg", multileg)
-    )
+    """The whole confirmation. The first six arguments name columns or are SQL."""
+    def if_stated(template: str) -> str:
+        return f"CASE WHEN {reference} IS NOT NULL THEN {_text(template, reference)} ELSE '' END"
+
+    carrier = _choose(_quoted(CARRIERS), f"({row_draws}[6] % {len(CARRIERS)})")
+    commodity = _choose(_quoted(COMMODITIES), f"({row_draws}[7] % {len(COMMODITIES)})")
+    signed = f"CASE WHEN {row_draws}[6] * 1000L < 500 * 4294967296L THEN concat({carrier}, ' - ') ELSE '' END"
+    stop = f"(y, i) -> concat('Leg ', i + 1, ': ', y, {if_stated(' [ref {}]')})"
+    multileg = (
+        f"concat({carrier}, ' multi-stop load confirmation', {if_stated(' (ref {})')}, '\\n', "
+        f"array_join(transform(ps, {stop}), '\\n'))"
+    )
+    verbose = _text("{} shipment confirmation. {}. Commodity: {}.", carrier, "ps[0]", commodity)
+    texts = {
+        "terse": f"concat(ps[0], {if_stated(' {}')})",
+        "verbose": f"concat({verbose}, {if_stated(' Reference {}.')})",
+        "abbrev": f"concat({signed}, ps[0], {if_stated(' REF {}')})",
+        "multileg": multileg,
+    }
+    arms = " ".join(f"WHEN '{name}' THEN {sql}" for name, sql in texts.items())
+    phrases = let(
+        density, "density", f"zip_with({lines}, {phrase_draws}, (x, d) -> {_line_phrase()})"
+    )
+    return F.expr(let(phrases, "ps", f"CASE {style} {arms} END"))
