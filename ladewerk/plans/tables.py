@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladewerk.functions.binding import built_once, computed
-from ladewerk.functions.draws import below, chance, choose, draws
+from ladewerk.functions.draws import below, choose, draws
 from ladewerk.functions.json_text import lines_json
 from ladewerk.operators.generate import CHARGES, PLACES, write_message
 from ladewerk.schema import DECIMAL, LINE, LINES, UNITS

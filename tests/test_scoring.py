@@ -1,6 +1,4 @@
-import json
 import random
-from decimal import Decimal
 
 import pytest
 from conftest import FULL, line

@@ -1,7 +1,6 @@
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from ladewerk.operators import selection
 from ladewerk.operators.contamination import exclude_texts
