@@ -11,36 +11,39 @@ from ladewerk.operators.registry import registry_table, resolve_models
 from ladewerk.operators.scoring import score
 
 WRITTEN = [
-    ("ACME - PU 12 pallets CHI -> LAX, rate 1,847.50", [line(origin="CHI", destination="LAX")]),
     (
-        "Orion delivery 6 skids from Columbus to Indianapolis. Rate 985.00",
-        [line(quantity=6, unit="skids", leg="delivery", rate=985, origin="Columbus", destination="Indianapolis")],
+        "Harbor desk: PU 9 pallets Tulsa -> BOI, rate 1,310.25",
+        [line(quantity=9, rate="1310.25", origin="Tulsa", destination="BOI")],
     ),
     (
-        "Meridian: PU Apr 5th, 20 cartons DAL to MEM, weight 4,200 lb, rate 2,150.00",
-        [line(quantity=20, unit="cartons", rate=2150, origin="DAL", destination="MEM", weight=4200,
-              pickup_day=5, pickup_month=4)],
+        "Morning! delivery 31 cartons from Omaha to Salt Lake. Rate 640.00",
+        [line(quantity=31, unit="cartons", leg="delivery", rate=640, origin="Omaha", destination="Salt Lake")],
     ),
     (
-        "Summit - ship in MAR, 3 containers LAX -> Denver, rate 3,250.00",
-        [line(quantity=3, unit="containers", rate=3250, origin="LAX", destination="Denver", pickup_month=3)],
+        "pu Oct 22nd, 17 skids OMA to BOI, weight 3,050 lb, rate 905.10",
+        [line(quantity=17, unit="skids", rate="905.1", origin="OMA", destination="BOI", weight=3050,
+              pickup_day=22, pickup_month=10)],
     ),
     (
-        "Blue Ridge PU 3/14/24 - 10 pallets ATL to Charlotte @ rate 1,425.00",
-        [line(quantity=10, rate=1425, origin="ATL", destination="Charlotte", pickup_day=14, pickup_month=3,
-              pickup_year=2024)],
+        "Leaving in NOV, 2 containers Reno -> Fresno, rate 4,000.00",
+        [line(quantity=2, unit="containers", rate=4000, origin="Reno", destination="Fresno", pickup_month=11)],
     ),
     (
-        "Kestrel PO#55120 - pickup 24 skids @940lbs ea, CHI to Cleveland, rate 2.16/mi",
-        [line(quantity=24, unit="skids", rate="2.16", origin="CHI", destination="Cleveland", weight=940,
-              reference="PO#55120")],
+        "PU 7/30/25 - 6 pallets RNO to Fresno @ rate 777.00",
+        [line(quantity=6, rate=777, origin="RNO", destination="Fresno", pickup_day=30, pickup_month=7,
+              pickup_year=2025)],
     ),
     (
-        "Ironwood - BOL-4471\nLeg 1: PU 15 pallets CHI -> DFW, rate 1,900.00\n"
-        "Leg 2: DLV 15 pallets DFW -> Kansas City, rate 1,250.00, fuel surcharge 125.50",
-        [line(quantity=15, rate=1900, origin="CHI", destination="DFW", reference="BOL-4471"),
-         line(quantity=15, rate=1250, leg="delivery", origin="DFW", destination="Kansas City",
-              accessorial="125.5", reference="BOL-4471")],
+        "SO#80412 - pickup 3 skids @615lbs ea, TUL to Omaha, rate 1.95/mi",
+        [line(quantity=3, unit="skids", rate="1.95", origin="TUL", destination="Omaha", weight=615,
+              reference="SO#80412")],
+    ),
+    (
+        "Two stops - PRO-9031\nStop 1: PU 8 cartons TUL -> OMA, rate 510.00\n"
+        "Stop 2: DLV 8 cartons OMA -> Salt Lake, rate 620.00, detention 80.50",
+        [line(quantity=8, unit="cartons", rate=510, origin="TUL", destination="OMA", reference="PRO-9031"),
+         line(quantity=8, unit="cartons", rate=620, leg="delivery", origin="OMA", destination="Salt Lake",
+              accessorial="80.5", reference="PRO-9031")],
     ),
 ]
 
