@@ -22,12 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import bwt
-from ladewerk.llm.common import blobs, joined, partitions
+from ladewerk.llm.common import blobs, joined
 
 GRAM = 24
 CHUNK_BYTES = 1 << 20
-#: Blocks of texts, and buckets of anchors, for each shuffle partition.
-BLOCKS_EACH, BUCKETS_EACH = 8, 4
+#: Bytes of text for each block of texts and each bucket of anchors.
+BLOCK_BYTES = 4 << 20
 POSITION_BITS = 24
 
 
@@ -111,7 +111,7 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[i
     return order, [(int(bucket[order[a]]), int(a), int(b)) for a, b in zip(cut[:-1], cut[1:], strict=True)] if len(order) else []
 
 
-def suffix_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] = ()) -> DataFrame:
+def suffix_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Documents (doc_id, text) without the bytes that an earlier string of length covers.
 
     docs: doc_id and text, and the columns named in carry; others are not read. One row
@@ -120,12 +120,13 @@ def suffix_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] =
     first; rows of one doc_id by their text), or an earlier start in the same document.
     A null text is empty; a repeated row (same id and text) counts as one document, each
     row getting its result. Texts shorter than length lose nothing. An empty table gives
-    no rows.
+    no rows. A task holds one block or bucket at a time, each of about block_bytes of text
+    or one longer text.
     """
     if length % bwt.STEP or length < 2 * GRAM:
         raise ValueError(f"length must be a multiple of {bwt.STEP} and at least {2 * GRAM}")
-    n = partitions(docs)
-    blocks, buckets = BLOCKS_EACH * n, BUCKETS_EACH * n
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = buckets = 1 + size // block_bytes
     dealt = docs.select(
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(blocks)).cast("int").alias("block"),
         F.col("doc_id").cast("long").alias("id"),
