@@ -23,7 +23,7 @@ from ladewerk.llm.common import cut, texts
 SEQUENCE = 1024
 END_ID = 0
 #: Chunks whose ids a worker keeps; the others are tokenized each time.
-CACHED = 300_000
+CACHED = 800_000
 _SPACE = "\t-\r \x85\xa0  -     　"
 #: White space with what follows it: no token of a byte-level vocabulary crosses the end.
 CHUNKS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -40,19 +40,22 @@ def token_ids(bodies: list[str], path: str) -> list[bytes]:
     """The ids of each text, as little-endian unsigned 32-bit numbers."""
     tokenizer, known = _tokenizer(path)
     cut_up = [CHUNKS.findall(t) for t in bodies]
-    new = list({c for chunks in cut_up for c in chunks if c not in known})
+    out = [list(map(known.get, chunks)) for chunks in cut_up]
+    lacking = [i for i, ids in enumerate(out) if None in ids]
+    new = list({c for i in lacking for c, ids in zip(cut_up[i], out[i], strict=True) if ids is None})
     found = {}
     for i in range(0, len(new), 10_000):
         some = new[i : i + 10_000]
         for c, e in zip(some, tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
             found[c] = np.array(e.ids, "<u4").tobytes()
+    for i in lacking:
+        out[i] = [found[c] if ids is None else ids for c, ids in zip(cut_up[i], out[i], strict=True)]
     for c, ids in found.items():
         if len(known) >= CACHED:
             break
         if len(c) <= 32:
             known[c] = ids
-    both = lambda c: known.get(c) or found[c]
-    return [b"".join(map(both, chunks)) for chunks in cut_up]
+    return [b"".join(ids) for ids in out]
 
 
 def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
