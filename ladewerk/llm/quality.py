@@ -19,7 +19,9 @@ from ladewerk.llm.common import texts
 ORDERS = (3, 5)
 BUCKET_BITS = 16
 SHARES = 64
-SMOOTHING = 1.0
+#: Raw counts get one more for each bucket; the target is drawn to the raw distribution as
+#: by this many n-grams, so that a small trusted set tells little.
+SMOOTHING, PRIOR = 1.0, float(1 << BUCKET_BITS)
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
@@ -130,8 +132,9 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     """The log-likelihood ratio of each bucket; 0 where no document is trusted."""
     if not counts[0].sum():
         return np.zeros(counts.shape[1:], np.float32)
-    p = (counts + SMOOTHING) / (counts + SMOOTHING).sum(axis=2, keepdims=True)
-    return (np.log(p[0]) - np.log(p[1])).astype(np.float32)
+    raw = (counts[1] + SMOOTHING) / (counts[1] + SMOOTHING).sum(axis=1, keepdims=True)
+    target = (counts[0] + PRIOR * raw) / (counts[0].sum(axis=1, keepdims=True) + PRIOR)
+    return (np.log(target) - np.log(raw)).astype(np.float32)
 
 
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_docs: int = TARGET_DOCS) -> DataFrame:

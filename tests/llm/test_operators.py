@@ -138,8 +138,8 @@ def test_quality_base_counts():
 
 
 def test_quality_rejects_what_is_unlike_the_trusted(spark, none):
-    good = [(i, _words(60, i), "en", 0) for i in range(40)]
-    junk = [(100 + i, " ".join(w + "###" for w in _words(60, 50 + i).split()), "en", 0) for i in range(8)]
+    good = [(i, _words(400, i), "en", 0) for i in range(40)]
+    junk = [(100 + i, " ".join(w + "###" for w in _words(100, 50 + i).split()), "en", 0) for i in range(8)]
     docs = spark.createDataFrame([*good, *junk, (200, None, None, None)], DOCS)
     labels = spark.createDataFrame([(i, 1, None) for i in range(30)] + [(None, 1, 0), (0, 1, 0)], "doc_id long, quality int, toxic int")
     kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs, labels).collect()}
@@ -205,7 +205,7 @@ def test_round_trip_of_awkward_rows(docs, none, rows):
 
 
 def test_personal_data(spark, none):
-    text = 'a@b.c+d@e.f x..y@z é𝔘 1.2.3.4.5.6.7.8 256.1.1.1 4111 1111 1111 1111 +1 (222) 333-4444 +12345678 "' + "7" * 30
+    text = 'a@b.c+d@e.f x..y@z é𝔘 1.2.3.4.5.6.7.8 256.1.1.1 card 4111 1111 1111 1111 and +1 (222) 333-4444 +12345678 "' + "7" * 30
     docs = spark.createDataFrame([(1, text, "en", 0), (1, text, "en", 0), (2, None, "en", 0), (3, "", None, None), (4, "nothing", "en", 0)], DOCS)
     found = pii.find_pii(docs).select("doc_id", "base", pii.redacted().alias("red")).collect()
     assert len(found) == 5
