@@ -56,3 +56,12 @@ def held_out(doc_id: Column) -> Column:
 
 def joined(parts: list[np.ndarray], dtype) -> np.ndarray:
     return np.concatenate(parts) if parts else np.empty(0, dtype)
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering how many rows its session hands to a Python worker at once: long
+    texts make Spark's usual 10,000 rows gigabytes. A lower setting stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key, "10000")) <= 512:
+        conf.set(key, "512")
+    return df

@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, texts
+from ladewerk.llm.common import cut, small_batches, texts
 
 SEQUENCE = 1024
 END_ID = 0
 #: Chunks whose ids a worker keeps; the others are tokenized each time.
-CACHED = 800_000
+CACHED = 500_000
 _SPACE = "\t-\r \x85\xa0  -     　"
 #: White space with what follows it: no token of a byte-level vocabulary crosses the end.
 CHUNKS = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
@@ -72,7 +72,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
                     rows += [(d, s, min(sequence, n - s), zlib.crc32(ids[4 * s : 4 * (s + sequence)]), n) for s in range(0, n, sequence)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def patterns(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:

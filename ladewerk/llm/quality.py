@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import texts
+from ladewerk.llm.common import small_batches, texts
 
 ORDERS = (3, 5)
 BUCKET_BITS = 16
@@ -114,7 +114,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
                 total = total + np.frombuffer(x.as_py(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
 
-    marked = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("target"))), "doc_id", "left")
+    marked = small_batches(docs).select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("target"))), "doc_id", "left")
     rows = marked.mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
     counts = np.zeros((SHARES, 2, size // SHARES), np.int64)
     for r in rows:

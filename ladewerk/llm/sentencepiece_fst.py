@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import texts
+from ladewerk.llm.common import small_batches, texts
 
 MARK = "\u2581"
 CACHED = 500_000
@@ -164,7 +164,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 part = batch.slice(at, 256)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([fst.encode(t) for t in texts(part.column("text"))], pa.binary())], ["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary")
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
@@ -182,4 +182,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             kinds = [pa.int64()] * 3 + [pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "n_ids", "ids_crc32", "decoded_sha256", "same"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, same boolean")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, decoded_sha256 string, same boolean")

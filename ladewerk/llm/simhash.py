@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import golay
-from ladewerk.llm.common import cut, partitions, texts
+from ladewerk.llm.common import cut, partitions, small_batches, texts
 from ladewerk.llm.components import components
 
 SEED = 42
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             out = [majority(hashes(shingles(words_of(t), size))) for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.int64())], ["doc_id", "fingerprint"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fingerprint long")
 
 
 def golay_keys(prints: np.ndarray, table: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -259,7 +259,7 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
                 keep.append(common >= similarity * (len(both) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    n = partitions(nodes)
+    n = partitions(small_batches(nodes))
     # The key spreads rows well; a node's rows are of one size whatever its text.
     found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
     needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()

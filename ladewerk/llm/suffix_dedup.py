@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import bwt
-from ladewerk.llm.common import blobs, joined
+from ladewerk.llm.common import blobs, joined, small_batches
 
 GRAM = 24
 CHUNK_BYTES = 1 << 20
@@ -125,7 +125,7 @@ def suffix_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] =
     """
     if length % bwt.STEP or length < 2 * GRAM:
         raise ValueError(f"length must be a multiple of {bwt.STEP} and at least {2 * GRAM}")
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = small_batches(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = buckets = 1 + size // block_bytes
     dealt = docs.select(
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(blocks)).cast("int").alias("block"),

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, partitions, shared_folder
+from ladewerk.llm.common import cut, partitions, shared_folder, small_batches
 
 LEAST_BYTES = 100
 BLOCK_LINES = 1000
@@ -86,6 +86,7 @@ def parse_record(data: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
 
 def _marked(pages: DataFrame) -> DataFrame:
     """pages with payload, digest and the page that each one revisits (null: none)."""
+    pages = small_batches(pages)
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), body.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     large = rows.where(F.length("payload") >= LEAST_BYTES)
