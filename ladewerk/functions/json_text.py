@@ -39,7 +39,7 @@ def string_text(s: Column) -> Column:
     """A string as a JSON token in ASCII."""
     plain = F.concat(F.lit('"'), s, F.lit('"'))
     escaped = F.array_join(F.transform(F.split(s, ""), _escaped_char), "")
-    return F.when(s.rlike(r"^[ !#-\[\]-~]*$"), plain).otherwise(
+    return F.when(s.rlike(r"\A[ !#-\[\]-~]*\z"), plain).otherwise(
         F.concat(F.lit('"'), escaped, F.lit('"'))
     )
 

@@ -98,16 +98,27 @@ def lines_of_variant(v: Column) -> Column:
     return once(checked, lambda c: F.when(F.forall(c, lambda x: x.isNotNull()), c))
 
 
+def whole_value(json_text: Column | str) -> Column:
+    """The variant of a text that is one JSON value and nothing else, or null.
+
+    Parsing stops at the end of the first value. What follows it cannot be right both
+    inside brackets and inside braces, so both are parsed."""
+    text = F.col(json_text) if isinstance(json_text, str) else json_text
+    in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v": '), text, F.lit("}")))
+    return F.when(in_list.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
+
+
 @built_once
 def parse_lines(json_text: Column | str) -> Column:
     """array<LINE> of a JSON list, or null if any rule is broken."""
-    return lines_of_variant(F.try_parse_json(json_text))
+    return lines_of_variant(whole_value(json_text))
 
 
 @built_once
 def parse_items(json_text: Column | str) -> Column:
     """array<LINE> of `{"items": [...]}`, or null."""
-    return lines_of_variant(F.try_variant_get(F.try_parse_json(json_text), "$.items", "variant"))
+    return lines_of_variant(F.try_variant_get(whole_value(json_text), "$.items", "variant"))
 
 
 def is_valid_lines(json_text: Column | str) -> Column:

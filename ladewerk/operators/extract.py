@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,12 +75,35 @@ def parse(
     )
 
 
+def _ask(
+    model: Callable[[list[str]], list[str]], prompts: list[str]
+) -> list[tuple[str | None, str | None, float]]:
+    """Answer, failure and seconds of each prompt."""
+    if not prompts:
+        return []
+    started = time.perf_counter()
+    try:
+        raw = list(model(prompts))
+        if len(raw) != len(prompts):
+            raise ValueError(f"{len(raw)} answers to {len(prompts)} prompts")
+        if not all(isinstance(r, str) for r in raw):
+            raise TypeError("an answer is not a text")
+    except Exception as exc:
+        if len(prompts) == 1:
+            return [(None, f"{type(exc).__name__}: {exc}", time.perf_counter() - started)]
+        half = len(prompts) // 2
+        return _ask(model, prompts[:half]) + _ask(model, prompts[half:])
+    took = (time.perf_counter() - started) / len(prompts)
+    return [(r, None, took) for r in raw]
+
+
 def extract_with(
     texts: DataFrame, model: Callable[[list[str]], list[str]], guidance: str | None = None
 ) -> DataFrame:
     """Extraction by a caller's model: `model` maps a batch of prompts to raw JSON
-    texts `{"items": [...]}`. A failing batch is tried again row by row, so that
-    one bad row costs only itself."""
+    texts `{"items": [...]}`. A batch that fails, or is answered with another number of
+    texts or with something else than texts, is halved and tried again, so that one bad
+    row costs only itself."""
     given = F.col(guidance) if guidance else F.lit(None).cast("string")
     prompted = texts.withColumn("_prompt", prompt(F.col("text"), given))
     schema = T.StructType(
@@ -92,27 +115,19 @@ def extract_with(
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The other columns pass as they are; only the prompts become Python values.
         for batch in batches:
-            prompts = batch["_prompt"].tolist()
-            started = time.perf_counter()
-            try:
-                raw, failure = list(model(prompts)), [None] * len(prompts)
-                took = [(time.perf_counter() - started) / max(1, len(prompts))] * len(prompts)
-            except Exception:
-                raw, failure, took = [], [], []
-                for p in prompts:
-                    started = time.perf_counter()
-                    try:
-                        raw.append(model([p])[0])
-                        failure.append(None)
-                    except Exception as exc:
-                        raw.append(None)
-                        failure.append(f"{type(exc).__name__}: {exc}")
-                    took.append(time.perf_counter() - started)
-            yield batch.assign(_raw=raw, _failure=failure, _took=took)
-
-    answered = prompted.mapInPandas(run, schema)
+            answers = _ask(model, batch.column("_prompt").to_pylist())
+            new = [
+                pa.array([a[i] for a in answers], kind)
+                for i, kind in enumerate((pa.string(), pa.string(), pa.float64()))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *new], [*batch.schema.names, "_raw", "_failure", "_took"]
+            )
+
+    answered = prompted.mapInArrow(run, schema)
     return _finish(
         answered, texts.columns, parse_items("_raw"), F.col("_failure"), F.col("_took")
     )

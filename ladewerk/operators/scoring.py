@@ -140,8 +140,11 @@ GOLD_BROADCAST_ROWS = 50_000
 def attach_gold(
     predicted: DataFrame, benchmark: DataFrame, broadcast_rows: int = GOLD_BROADCAST_ROWS
 ) -> DataFrame:
-    """Predictions by id with the `expected` lines of a benchmark stored once."""
-    gold = benchmark.select("id", "expected")
+    """Predictions by id with the `expected` lines of a benchmark stored once. Gold rows
+    that share an id fail the job: they would count a prediction twice."""
+    one = benchmark.groupBy("id").agg(F.first("expected").alias("expected"), F.count(F.lit(1)).alias("n"))
+    twice = F.raise_error(F.concat(F.lit("several gold rows have the id "), F.coalesce(F.col("id").cast("string"), F.lit("null"))))
+    gold = one.select("id", F.when(F.col("n") > 1, twice).otherwise(F.col("expected")).alias("expected"))
     return join_unique(predicted, gold, ["id"], "inner", broadcast_rows)
 
 

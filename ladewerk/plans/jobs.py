@@ -12,7 +12,7 @@ from ladewerk.functions.binding import computed
 from ladewerk.functions.draws import chance, digest, draw
 from ladewerk.functions.json_text import wrap_items
 from ladewerk.functions.text import count_hint, prompt
-from ladewerk.functions.validation import parse_lines
+from ladewerk.functions.validation import parse_lines, whole_value
 from ladewerk.operators import gate, scoring
 from ladewerk.operators.contamination import exclude_texts
 from ladewerk.operators.selection import (
@@ -99,8 +99,11 @@ def sft_rows(
     train: DataFrame, seed: int = 0, guidance_permille: int = GUIDANCE_PERMILLE,
 ) -> DataFrame:
     """Prompt and completion of each instruction row. A true count hint goes to
-    every list of several lines and to a seeded share of the others."""
-    n = F.size(F.try_variant_get(F.try_parse_json("output"), "$", "array<variant>"))
+    every list of several lines and to a seeded share of the others. An output that is
+    not one JSON list fails the job."""
+    read = F.size(F.try_variant_get(whole_value("output"), "$", "array<variant>"))
+    broken = F.raise_error(F.concat(F.lit("not one JSON list: "), F.substring("output", 1, 200)))
+    n = F.when(read.isNull() | (read < 0), broken).otherwise(read)
     counted = computed(
         train, n.alias("_n"), draw(digest(seed, F.col("input"), "hint"), 0).alias("_d")
     )

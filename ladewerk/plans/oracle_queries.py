@@ -73,7 +73,7 @@ ORACLES: dict[str, str] = {
     ),
     "score_json_text": O._with(
         O.SCORED,
-        "SELECT id::VARCHAR AS id, category, field_accuracy FROM judged WHERE model_name = 'older'",
+        "SELECT id::VARCHAR AS id, model_name, category, field_accuracy FROM judged",
     ),
     "category_breakdown": O._with(O.SCORED, _breakdown("judged")),
     "outcome_counts": O._with(
@@ -106,7 +106,7 @@ ORACLES: dict[str, str] = {
         {_flag_count('fired', 'unsupported_reference')},
         {_flag_count('n_refs > 1', 'several_references')}
         FROM (SELECT h.id, h.model_name, l.kind, l.i, l.pickup_day, l.pickup_month, l.pickup_year, l.fired, r.n_refs
-              FROM (SELECT id, model_name FROM kinds WHERE kind NOT IN ('error', 'blank_error')) h
+              FROM (SELECT id, model_name FROM kinds WHERE kind <> 'error') h
               LEFT JOIN guarded_lines l USING (id, model_name)
               LEFT JOIN (SELECT id, model_name, count(DISTINCT coalesce(reference, '')) AS n_refs
                          FROM pred_lines GROUP BY ALL) r USING (id, model_name))

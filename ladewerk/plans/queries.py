@@ -95,12 +95,12 @@ def score_rows(spark, folder):
 
 def score_json_text(spark, folder):
     """The same scoring from JSON text columns, validated on the way."""
-    raw = _raw(spark, folder).where(F.col("model_name") == "older")
+    raw = _raw(spark, folder)
     as_text = computed(
-        raw.select("id", "expected", "predicted", "error"),
+        raw.select("id", "model_name", "expected", "predicted", "error"),
         lines_json("expected").alias("e"), lines_json("predicted").alias("p"),
-    ).select("id", F.col("e").alias("expected"), F.col("p").alias("predicted"), "error")
-    return scoring.score(as_text).select("id", "category", "field_accuracy")
+    ).select("id", "model_name", F.col("e").alias("expected"), F.col("p").alias("predicted"), "error")
+    return scoring.score(as_text).select("id", "model_name", "category", "field_accuracy")
 
 
 def score_attached_gold(spark, folder):
@@ -176,7 +176,9 @@ def reference_guard(spark, folder):
 def label_rules(spark, folder):
     """Violations per model of the closed vocabulary, the date ladder, the
     reference rule and the one-reference rule."""
-    raw = _raw(spark, folder).where(F.col("predicted").isNotNull() & F.col("error").isNull())
+    # An empty error is none.
+    sound = F.coalesce(F.col("error"), F.lit("")) == ""
+    raw = _raw(spark, folder).where(F.col("predicted").isNotNull() & sound)
     p = F.col("predicted")
     return raw.groupBy("model_name").agg(
         F.count("*").alias("n"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,17 +26,24 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "ladewerk") -
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set,
-    as in local tests."""
+    """The shared folder the cluster names in spark.checkpoint.dir.
+
+    Where none is named, in local mode alone, each application gets one temporary folder,
+    which is gone when Python ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="run-ladewerk-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="run-ladewerk-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
+    return _LOCAL_FOLDERS[app]
 
 
 def spread(df: DataFrame) -> DataFrame:
