@@ -261,7 +261,7 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
 
     n = partitions(small_batches(nodes))
     # The key spreads rows well; a node's rows are of one size whatever its text.
-    found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
+    found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
     needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     shingled = nodes.join(needed, "node", "left_semi").mapInArrow(sets, "node long, shingles binary")
     x = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
