@@ -179,8 +179,8 @@ def test_packing_patterns_hold_the_histogram():
     assert held == histogram
 
 
-@pytest.mark.parametrize("text", ["a  b\n\n c \x1c! e<|endoftext|> f", "  ", "\n \n x", "don't  I'll\t\tgo 12 ...　x\xa0y"])
-def test_chunked_ids_are_the_tokenizer_s(text):
+@pytest.mark.parametrize("text", ["", " " * 1_200_000, "ab1" * 50_000, "<|endoftext|>" * 3 + "<|endoftext", "a  b\n\n c \x1c! e<|endoftext|> f", "  ", "\n \n x", "don't  I'll\t\tgo 12 ...　x\xa0y"])
+def test_ids_are_the_tokenizer_s(text):
     from tokenizers import Tokenizer
 
     assert np.frombuffer(packing.token_ids([text], BPE)[0], "<u4").tolist() == Tokenizer.from_file(BPE).encode(text, add_special_tokens=False).ids
