@@ -17,13 +17,14 @@ from ladewerk.functions.surface import CHARGE_KINDS, MONTHS, UNIT_SHORT
 from ladewerk.schema import DECIMAL, LINE, LINES
 
 _AMOUNT = r"(\d[\d,]*(?:\.\d+)?)"
-_KINDS = "|".join(CHARGE_KINDS)
+_KINDS = "|".join([*CHARGE_KINDS, "fuel surcharge", "surcharge", "FSC", "detention", "lumper", "layover"])
 _FULL_MONTHS = "|".join(MONTHS)
 _ANY_MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS)
 # Capitalised words that end a place name: they open the next phrase.
 _NOT_A_PLACE = rf"(?!(?:WT|RT|ORIG|DEST|REF|(?i:{_ANY_MONTH}))\b)"
 _WORD = rf"\b(?=[A-Z]){_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
 _PLACE = rf"({_WORD}(?: {_WORD})*)"
+_LOADING = rf"\bloading {_PLACE}, unloading {_PLACE}"
 REFERENCE = r"\b((?:PO|BOL|REF|SO|PRO|LOAD|acct)[-# ]?\d[\d-]*)"
 
 
@@ -46,9 +47,9 @@ CLEAN = Rules(
     name="clean",
     units={u: [u, u[:-1]] for u in UNIT_SHORT},
     delivery=r"(?i)\b(deliver|delivery|DLV)\b",
-    both_ends=[rf"{_PLACE} to {_PLACE}"],
-    start_only=rf"\b(?:from|out of) {_PLACE}",
-    end_only=rf"\b(?:to|delivering to) {_PLACE}",
+    both_ends=[rf"{_PLACE} (?:to|bound for) {_PLACE}", _LOADING],
+    start_only=rf"\b(?:from|out of|loading|origin) {_PLACE}",
+    end_only=rf"\b(?:to|unloading|bound for) {_PLACE}",
     weight=r"(\d[\d,]*) ?(?:lbs|pounds)\b",
     month_name=_FULL_MONTHS,
     numeric_date=None,
@@ -62,10 +63,12 @@ FULL = Rules(
     delivery=r"(?i)\b(deliver|delivery|dlv|del)\b",
     both_ends=[
         rf"\bORIG {_PLACE} DEST {_PLACE}",
-        rf"{_PLACE}(?: to | ?-> ?| ?> ?|-| bound for ){_PLACE}",
+        rf"\bO:{_PLACE} D:{_PLACE}",
+        rf"{_PLACE}(?: to | ?-> ?| ?=> ?| ?>> ?| ?> ?|-| bound for ){_PLACE}",
+        _LOADING,
     ],
-    start_only=rf"(?:\bfrom|\bout of|\borig|@) {_PLACE}",
-    end_only=rf"(?:\bto|\bdelivering to|\bdest|->) {_PLACE}",
+    start_only=rf"(?:(?:\b(?:from|out of|orig|origin|loading|ex)|@) |\bO:){_PLACE}",
+    end_only=rf"(?:(?:\b(?:to|dest|unloading|bound for)|->|=>) |\bD:){_PLACE}",
     weight=r"(\d[\d,]*) ?(?:lbs?\b|pounds\b|#)",
     month_name=f"(?i:{_ANY_MONTH})",
     numeric_date=r"(?<![\d/])(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?(?![\d/])",
@@ -74,7 +77,7 @@ FULL = Rules(
         rf"@ ?\$?{_AMOUNT}(?! ?lb)",
         rf"(?<!\+)\${_AMOUNT}",
     ],
-    charge=[rf"(?i)\b(?:{_KINDS}) \$?{_AMOUNT}", rf"(?i)\+\${_AMOUNT} (?:{_KINDS})"],
+    charge=[rf"(?i)\b(?:{_KINDS}) \$?{_AMOUNT}", rf"(?i)\+\$?{_AMOUNT} (?:{_KINDS})"],
 )
 RULE_SETS = {r.name: r for r in (CLEAN, FULL)}
 
@@ -180,12 +183,24 @@ def _line_of(s: str, p: str, reference: str, rules: Rules) -> str:
     return let(found, "q", line)
 
 
+_LEG_WORD = r"(?:pick ?up|p/?u|coll(?:ect)?|deliver(?:y)?|dlv|del)(?: (?:of|to))?:?"
+
+
+def _one_each(text: str, rules: Rules) -> str:
+    """The text with a line end before every count after the first of a text line; a leg
+    word in front of the count goes with it."""
+    count = _unit_pattern(rules)
+    following = rf"\s+(?=(?:(?:and|then|plus|&) )?(?:{_LEG_WORD} )?{count.removeprefix('(?i)')})"
+    return f"regexp_replace({text}, r'{count}(.*?){following}', '$1 $2$3\\n')"
+
+
 @built_once
 def read_lines(text: str, rule_set: str) -> Column:
-    """array<LINE>: one line per text segment that states a count and a unit. The
-    reference is stated once and goes on every line."""
+    """array<LINE>: one line for each count and unit, read from it (or, for the first, from
+    the start of its text line) up to the next one or the line's end. The reference is
+    stated once and goes on every line."""
     rules = RULE_SETS[rule_set]
-    segments = f"filter(split({text}, r'\n'), s -> rlike(s, r'{_unit_pattern(rules)}'))"
+    segments = f"filter(split({_one_each(text, rules)}, r'\n'), s -> rlike(s, r'{_unit_pattern(rules)}'))"
     line = let(_passages("s", rules), "p", _line_of("s", "p", "ref", rules))
     lines = let(_found(text, REFERENCE), "ref", f"transform({segments}, s -> {line})")
     return F.expr(f"CAST({lines} AS {LINES.simpleString()})")

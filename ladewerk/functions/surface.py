@@ -1,13 +1,16 @@
 """How a stored shipment line is written in a message.
 
-Each phrase has spelled-out and abbreviated forms; one draw decides both whether
-to abbreviate (its high part) and which form to take (its remainder). The
-expression is large, so it is written as SQL text: `x` is the line, `d` its eight
-draws and `density` the permille of abbreviated forms.
+All wordings stand in one table: for each kind of phrase its plain and its short forms,
+with the parts they name in braces. One draw decides both the class (its high part
+against the style's share of short forms) and the form (its remainder). The expression is
+large, so it is written as SQL text: `x` is the line, `d` its eight draws and `density`
+the permille of short forms.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,18 +27,53 @@ MONTHS = [
     "January", "February", "March", "April", "May", "June",
     "July", "August", "September", "October", "November", "December",
 ]
-CHARGE_KINDS = ["fuel surcharge", "detention", "lumper", "FSC", "layover"]
+# --- end of fixed values ----------------------------------------------------
+CHARGE_KINDS = ["tail lift", "waiting time", "tolls", "storage", "escort"]
 CARRIERS = [
-    "Ridgeline Freight", "Cascade Logistics", "Beacon Carriers", "Ironwood Transport",
-    "Northwind Freightways", "Summit Drayage", "Harbor Point Logistics", "Meridian Haulage",
+    "Juniper Line", "Kestrel Haul", "Old Quay Trucking", "Larkfield Transit",
+    "Pinewood Express", "Copper Gate Lines", "Tideway Movers", "Elm Road Carriage",
 ]
 COMMODITIES = [
-    "palletized dry goods", "auto parts", "canned goods", "HVAC units",
-    "building materials", "packaged beverages", "industrial fasteners", "mixed retail freight",
+    "ceramic tiles", "garden furniture", "printer paper", "bicycle frames",
+    "bottled water", "roof insulation", "copper cable", "school desks",
 ]
-PICKUP_WORDS = (["Pickup", "pickup", "pick up", "PU"], ["PU", "P/U", "pu"])
-DELIVERY_WORDS = (["Delivery", "delivery", "deliver to", "DLV"], ["DLV", "DEL", "dlv", "del"])
-# --- end of fixed values ----------------------------------------------------
+# kind of phrase: (plain forms, short forms)
+WORDING = {
+    "pickup": (["Collect", "Pickup of"], ["PU", "COLL", "pu"]),
+    "delivery": (["Deliver", "Delivery of"], ["DLV", "del"]),
+    "lane": (
+        ["{origin} bound for {destination}", "loading {origin}, unloading {destination}"],
+        ["{origin} >> {destination}", "O:{origin} D:{destination}", "{origin} => {destination}"],
+    ),
+    "start": (["loading {origin}", "origin {origin}"], ["O:{origin}", "ex {origin}"]),
+    "end": (["unloading {destination}", "bound for {destination}"], ["D:{destination}", "=> {destination}"]),
+    "weight": (["{grouped} pounds", "gross {grouped} lbs"], ["{pounds}#", "GW {grouped}lb"]),
+    "month": (["{month}", "during {month}"], ["{mon}", "mid {mon}"]),
+    "month_day": (["{month} {day}", "ready {month} {day}"], ["{mon} {day}", "{m}/{day}"]),
+    "full_date": (
+        ["{month} {day}, {year}", "ready {month} {day}, {year}"],
+        ["{mon} {day} {year}", "{m}/{day}/{year}"],
+    ),
+    "rate": (["rate ${rate}", "freight ${rate}", "all-in ${rate}"], ["RT {rate}", "@{rate}"]),
+    "charge": (["{kind} ${charge}"], ["{kind} {charge}", "+{charge} {kind}"]),
+}
+# style: (text, what is added where a reference is stated); a stop is a line of a multileg text.
+SHAPES = {
+    "terse": ("{phrase}", " / {reference}"),
+    "verbose": (
+        "We confirm with {carrier}: {phrase}. Goods are {commodity}.", " Your reference is {reference}."
+    ),
+    "abbrev": ("{signed}{phrase}", " ref={reference}"),
+    "signed": ("[{carrier}] ", ""),
+    "multileg": ("{carrier} run sheet", ", order {reference}"),
+    "stop": ("{n}) {phrase}", " ({reference})"),
+}
+
+
+def form_parts(form: str) -> list[tuple[str, str]]:
+    """A form as (literal text, name of the part after it), the last name empty."""
+    cut_up = re.split(r"{(\w+)}", form)
+    return list(zip(cut_up[::2], [*cut_up[1::2], ""], strict=True))
 
 
 def _quoted(words: list[str]) -> list[str]:
@@ -49,116 +87,46 @@ def _choose(options: list[str], k: str) -> str:
     return f"CASE {k} {arms} ELSE {options[-1]} END"
 
 
-def _pick(drawn: str, clean: list[str], short: list[str]) -> str:
+def _by_draw(drawn: str, plain: list[str], short: list[str]) -> str:
     kth = lambda forms: _choose(forms, f"(shiftrightunsigned({drawn}, 4) % {len(forms)})")
     return (
-        f"CASE WHEN {drawn} * 1000L < density * 4294967296L THEN {kth(short)} ELSE {kth(clean)} END"
+        f"CASE WHEN {drawn} * 1000L < density * 4294967296L THEN {kth(short)} ELSE {kth(plain)} END"
     )
 
 
-def _text(template: str, *values: str) -> str:
-    """The template with its `{}` filled; plain concatenation, no formatter."""
-    parts: list[str] = []
-    for i, piece in enumerate(template.split("{}")):
-        if i:
-            parts.append(values[i - 1])
-        if piece:
-            parts.append(f"'{piece}'")
-    return f"concat({', '.join(parts)})"
-
-
-def _each(templates: list[str], *values: str) -> list[str]:
-    return [_text(t, *values) for t in templates]
+def _filled(form: str, parts: dict[str, str]) -> str:
+    """Plain concatenation, no formatter."""
+    values = [v for text, name in form_parts(form) for v in (f"'{text}'" if text else "", parts.get(name, "")) if v]
+    return values[0] if len(values) == 1 else f"concat({', '.join(values)})"
 
 
-def _leg_word() -> str:
-    pickup, delivery = (_pick("d[0]", *map(_quoted, w)) for w in (PICKUP_WORDS, DELIVERY_WORDS))
-    return f"CASE WHEN x.leg = 'pickup' THEN {pickup} ELSE {delivery} END"
+def _worded(kind: str, drawn: str, parts: dict[str, str]) -> str:
+    return _by_draw(drawn, *([_filled(f, parts) for f in forms] for forms in WORDING[kind]))
 
 
-def _unit_word() -> str:
-    arms = " ".join(
-        f"WHEN '{unit}' THEN {_pick('d[1]', [f"'{unit}'"], _quoted(short))}"
+def _line_phrase() -> str:
+    """One line without its reference; only what is stored is stated."""
+    pounds = "CAST(floor(x.weight) AS string)"
+    month = f"element_at(array({', '.join(_quoted(MONTHS))}), x.pickup_month)"
+    parts = {
+        "origin": "x.origin", "destination": "x.destination", "pounds": pounds,
+        "grouped": "format_number(floor(x.weight), 0)", "month": month, "mon": f"left({month}, 3)",
+        "m": "x.pickup_month", "day": "x.pickup_day", "year": "x.pickup_year",
+        "rate": "format_number(x.rate, 2)", "charge": "format_number(x.accessorial, 2)",
+        "kind": _choose(_quoted(CHARGE_KINDS), f"(d[7] % {len(CHARGE_KINDS)})"),
+    }
+    worded = lambda kind, k: _worded(kind, f"d[{k}]", parts)
+    units = " ".join(
+        f"WHEN '{unit}' THEN {_by_draw('d[1]', [f"'{unit}'"], _quoted(short))}"
         for unit, short in UNIT_SHORT.items()
     )
-    return f"CASE x.unit {arms} ELSE x.unit END"
-
-
-def _lane() -> str:
-    a, b = "x.origin", "x.destination"
-    both = _pick(
-        "d[2]", _each(["{} to {}", "from {} to {}"], a, b),
-        _each(["{}->{}", "{}-{}", "{} > {}", "ORIG {} DEST {}"], a, b),
-    )
-    start = _pick("d[2]", _each(["from {}", "out of {}"], a), _each(["orig {}", "@ {}"], a))
-    end = _pick("d[2]", _each(["to {}", "delivering to {}"], b), _each(["dest {}", "-> {}"], b))
-    return (
-        f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN {both} "
-        f"WHEN {a} IS NOT NULL THEN {start} WHEN {b} IS NOT NULL THEN {end} END"
-    )
-
-
-def _weight() -> str:
-    pounds = "floor(x.weight)"
-    plain, grouped = f"CAST({pounds} AS string)", f"format_number({pounds}, 0)"
-    forms = _pick(
-        "d[3]", _each(["{} lbs", "{} pounds", "weighs {} lbs"], grouped),
-        [_text("{}#", plain), _text("{}#", grouped), _text("WT {}#", grouped), _text("{} lb", plain)],
-    )
-    return f"CASE WHEN x.weight IS NOT NULL THEN {forms} END"
-
-
-def _ordinal(n: str) -> str:
+    leg = f"CASE WHEN x.leg = 'pickup' THEN {worded('pickup', 0)} ELSE {worded('delivery', 0)} END"
+    # A null part makes its form null, and concat_ws leaves it out.
+    lane = f"coalesce({worded('lane', 2)}, {worded('start', 2)}, {worded('end', 2)})"
+    date = f"coalesce({worded('full_date', 4)}, {worded('month_day', 4)}, {worded('month', 4)})"
     return (
-        f"concat({n}, CASE WHEN {n} % 100 BETWEEN 10 AND 20 THEN 'th' WHEN {n} % 10 = 1 THEN 'st' "
-        f"WHEN {n} % 10 = 2 THEN 'nd' WHEN {n} % 10 = 3 THEN 'rd' ELSE 'th' END)"
-    )
-
-
-def _date() -> str:
-    """Exactly the parts that are stored."""
-    d, m, y = "x.pickup_day", "x.pickup_month", "x.pickup_year"
-    full = f"element_at(array({', '.join(_quoted(MONTHS))}), {m})"
-    short = f"left({full}, 3)"
-    month_only = _pick(
-        "d[4]", [full, _text("in {}", full)], [f"upper({short})", short, _text("mo {}", short)]
-    )
-    no_year = _pick(
-        "d[4]", [_text("{} {}", full, _ordinal(d)), _text("{} {}", full, d)],
-        [_text("{} {}", short, d), _text("{}/{}", m, d), _text("{} {}", short, _ordinal(d))],
-    )
-    padded = [f"lpad(CAST({v} AS string), 2, '0')" for v in (m, d)]
-    complete = _pick(
-        "d[4]", _each(["{} {}, {}", "{} {} {}"], full, d, y),
-        [_text("{}/{}/{}", m, d, y), _text("{}/{}/{}", *padded, y), _text("{} {} {}", short, d, y)],
-    )
-    return (
-        f"CASE WHEN {m} IS NULL THEN NULL WHEN {d} IS NULL THEN {month_only} "
-        f"WHEN {y} IS NULL THEN {no_year} ELSE {complete} END"
-    )
-
-
-def _rate() -> str:
-    r = "format_number(x.rate, 2)"
-    return _pick(
-        "d[5]", _each(["${}", "rate ${}", "linehaul ${}", "at ${}"], r),
-        _each(["RT {}", "${}", "@${}", "@ ${}"], r),
-    )
-
-
-def _charge() -> str:
-    a = "format_number(x.accessorial, 2)"
-    kind = _choose(_quoted(CHARGE_KINDS), f"(d[7] % {len(CHARGE_KINDS)})")
-    forms = _pick("d[6]", [_text("{} ${}", kind, a)], [_text("{} {}", kind, a), _text("+${} {}", a, kind)])
-    return f"CASE WHEN x.accessorial IS NOT NULL THEN {forms} END"
-
-
-def _line_phrase() -> str:
-    """One line without its reference."""
-    count = _text("{} {}", "x.quantity", _unit_word())
-    return (
-        f"concat_ws(' ', {_leg_word()}, {count}, {_lane()}, {_weight()}, {_date()}, {_rate()}, "
-        f"{_charge()})"
+        f"concat_ws('; ', concat({leg}, ' ', x.quantity, ' ', CASE x.unit {units} ELSE x.unit END), "
+        f"{lane}, {worded('weight', 3)}, {date}, {worded('rate', 5)}, {worded('charge', 6)})"
     )
 
 
@@ -167,24 +135,24 @@ def message(
     lines: str, phrase_draws: str, row_draws: str, style: str, reference: str, density: str
 ) -> Column:
     """The whole confirmation. The first six arguments name columns or are SQL."""
-    def if_stated(template: str) -> str:
-        return f"CASE WHEN {reference} IS NOT NULL THEN {_text(template, reference)} ELSE '' END"
-
-    carrier = _choose(_quoted(CARRIERS), f"({row_draws}[6] % {len(CARRIERS)})")
-    commodity = _choose(_quoted(COMMODITIES), f"({row_draws}[7] % {len(COMMODITIES)})")
-    signed = f"CASE WHEN {row_draws}[6] * 1000L < 500 * 4294967296L THEN concat({carrier}, ' - ') ELSE '' END"
-    stop = f"(y, i) -> concat('Leg ', i + 1, ': ', y, {if_stated(' [ref {}]')})"
-    multileg = (
-        f"concat({carrier}, ' multi-stop load confirmation', {if_stated(' (ref {})')}, '\\n', "
-        f"array_join(transform(ps, {stop}), '\\n'))"
-    )
-    verbose = _text("{} shipment confirmation. {}. Commodity: {}.", carrier, "ps[0]", commodity)
-    texts = {
-        "terse": f"concat(ps[0], {if_stated(' {}')})",
-        "verbose": f"concat({verbose}, {if_stated(' Reference {}.')})",
-        "abbrev": f"concat({signed}, ps[0], {if_stated(' REF {}')})",
-        "multileg": multileg,
+    parts = {
+        "carrier": _choose(_quoted(CARRIERS), f"({row_draws}[6] % {len(CARRIERS)})"),
+        "commodity": _choose(_quoted(COMMODITIES), f"({row_draws}[7] % {len(COMMODITIES)})"),
+        "phrase": "ps[0]",
+        "reference": reference,
     }
+    parts["signed"] = (
+        f"CASE WHEN {row_draws}[6] * 1000L < 500 * 4294967296L "
+        f"THEN {_filled(SHAPES['signed'][0], parts)} ELSE '' END"
+    )
+
+    def shaped(name: str, **more: str) -> str:
+        text, stated = (_filled(f, parts | more) for f in SHAPES[name])
+        return f"concat({text}, coalesce({stated}, ''))"
+
+    stops = f"transform(ps, (y, i) -> {shaped('stop', n='(i + 1)', phrase='y')})"
+    texts = {name: shaped(name) for name in ("terse", "verbose", "abbrev")}
+    texts["multileg"] = f"concat_ws('\\n', {shaped('multileg')}, {stops})"
     arms = " ".join(f"WHEN '{name}' THEN {sql}" for name, sql in texts.items())
     phrases = let(
         density, "density", f"zip_with({lines}, {phrase_draws}, (x, d) -> {_line_phrase()})"

@@ -137,7 +137,7 @@ ORACLES: dict[str, str] = {
     "review_search": O._with(
         O.REVIEWS,
         f"""SELECT id, {O._PREVIEW.format(t='text')} AS short_text FROM reviews
-        WHERE text ILIKE '%multi-stop%' AND text ILIKE '%harbor%' AND corrected IS NULL""",
+        WHERE text ILIKE '%run sheet%' AND text ILIKE '%kestrel%' AND corrected IS NULL""",
     ),
     "chat_search": f"""SELECT conv_id, turn, {O._PREVIEW.format(t='text')} AS short_text FROM conversations
         WHERE contains(lower(text), 'the') AND contains(lower(text), 're')""",

@@ -82,77 +82,40 @@ def _list_json(order: str = "i", value: str = "lj") -> str:
 
 
 # --- wording ----------------------------------------------------------------
+def _filled(form: str, parts: dict[str, str]) -> str:
+    pieces = [x for text, name in S.form_parts(form) for x in (_q(text) if text else None, parts.get(name)) if x]
+    return "(" + " || ".join(pieces) + ")" if pieces else "''"
+
+
 def _phrase(d: list[str], density: str) -> str:
     """A line's wording; its columns are in scope."""
-    pickup, delivery = S.PICKUP_WORDS, S.DELIVERY_WORDS
-    words = lambda ws: [_q(w) for w in ws]
-    leg = (
-        f"CASE WHEN leg = 'pickup' THEN {_pick(d[0], density, words(pickup[0]), words(pickup[1]))} "
-        f"ELSE {_pick(d[0], density, words(delivery[0]), words(delivery[1]))} END"
-    )
-    unit = "CASE unit " + " ".join(
-        f"WHEN {_q(u)} THEN {_pick(d[1], density, [_q(u)], words(short))}"
+    month = "([" + ", ".join(_q(m) for m in S.MONTHS) + "])[pickup_month]"
+    parts = {
+        "origin": "origin", "destination": "destination", "pounds": "weight::VARCHAR",
+        "grouped": _grouped("weight"), "month": month, "mon": f"left({month}, 3)",
+        "m": "pickup_month", "day": "pickup_day", "year": "pickup_year",
+        "rate": _money("rate_cents"), "charge": f"{_grouped('accessorial')} || '.00'",
+        "kind": f"({_choose_text(S.CHARGE_KINDS, f'({d[7]} % {len(S.CHARGE_KINDS)})')})",
+    }
+
+    def worded(kind: str, k: int) -> str:
+        plain, short = ([_filled(f, parts) for f in forms] for forms in S.WORDING[kind])
+        return _pick(d[k], density, plain, short)
+
+    units = " ".join(
+        f"WHEN {_q(u)} THEN {_pick(d[1], density, [_q(u)], [_q(w) for w in short])}"
         for u, short in S.UNIT_SHORT.items()
-    ) + " END"
-    lane = (
-        "CASE WHEN origin IS NOT NULL AND destination IS NOT NULL THEN "
-        + _pick(
-            d[2], density,
-            ["origin || ' to ' || destination", "'from ' || origin || ' to ' || destination"],
-            ["origin || '->' || destination", "origin || '-' || destination",
-             "origin || ' > ' || destination", "'ORIG ' || origin || ' DEST ' || destination"],
-        )
-        + " WHEN origin IS NOT NULL THEN "
-        + _pick(d[2], density, ["'from ' || origin", "'out of ' || origin"],
-                ["'orig ' || origin", "'@ ' || origin"])
-        + " WHEN destination IS NOT NULL THEN "
-        + _pick(d[2], density, ["'to ' || destination", "'delivering to ' || destination"],
-                ["'dest ' || destination", "'-> ' || destination"])
-        + " END"
-    )
-    g = _grouped("weight")
-    weight = "CASE WHEN weight IS NOT NULL THEN " + _pick(
-        d[3], density, [f"{g} || ' lbs'", f"{g} || ' pounds'", f"'weighs ' || {g} || ' lbs'"],
-        ["weight || '#'", f"{g} || '#'", f"'WT ' || {g} || '#'", "weight || ' lb'"],
-    ) + " END"
-    full = "([" + ", ".join(_q(m) for m in S.MONTHS) + "])[pickup_month]"
-    short = f"left({full}, 3)"
-    suffix = (
-        "CASE WHEN pickup_day % 100 BETWEEN 10 AND 20 THEN 'th' WHEN pickup_day % 10 = 1 THEN 'st' "
-        "WHEN pickup_day % 10 = 2 THEN 'nd' WHEN pickup_day % 10 = 3 THEN 'rd' ELSE 'th' END"
-    )
-    nth = f"pickup_day || {suffix}"
-    date = (
-        "CASE WHEN pickup_month IS NULL THEN NULL WHEN pickup_day IS NULL THEN "
-        + _pick(d[4], density, [full, f"'in ' || {full}"],
-                [f"upper({short})", short, f"'mo ' || {short}"])
-        + " WHEN pickup_year IS NULL THEN "
-        + _pick(d[4], density, [f"{full} || ' ' || {nth}", f"{full} || ' ' || pickup_day"],
-                [f"{short} || ' ' || pickup_day", "pickup_month || '/' || pickup_day",
-                 f"{short} || ' ' || {nth}"])
-        + " ELSE "
-        + _pick(d[4], density,
-                [f"{full} || ' ' || pickup_day || ', ' || pickup_year",
-                 f"{full} || ' ' || pickup_day || ' ' || pickup_year"],
-                ["pickup_month || '/' || pickup_day || '/' || pickup_year",
-                 "lpad(pickup_month::VARCHAR, 2, '0') || '/' || lpad(pickup_day::VARCHAR, 2, '0') "
-                 "|| '/' || pickup_year",
-                 f"{short} || ' ' || pickup_day || ' ' || pickup_year"])
-        + " END"
-    )
-    r = _money("rate_cents")
-    rate = _pick(d[5], density,
-                 [f"'$' || {r}", f"'rate $' || {r}", f"'linehaul $' || {r}", f"'at $' || {r}"],
-                 [f"'RT ' || {r}", f"'$' || {r}", f"'@$' || {r}", f"'@ $' || {r}"])
-    a = f"({_grouped('accessorial')} || '.00')"
-    kind = _choose_text(S.CHARGE_KINDS, f"({d[7]} % {len(S.CHARGE_KINDS)})")
-    charge = "CASE WHEN accessorial IS NOT NULL THEN " + _pick(
-        d[6], density, [f"{kind} || ' $' || {a}"],
-        [f"{kind} || ' ' || {a}", f"'+$' || {a} || ' ' || {kind}"],
-    ) + " END"
-    return (
-        f"concat_ws(' ', {leg}, quantity || ' ' || {unit}, {lane}, {weight}, {date}, {rate}, {charge})"
     )
+    both, one = "origin IS NOT NULL AND destination IS NOT NULL", "origin IS NOT NULL"
+    return f"""concat_ws('; ',
+      (CASE leg WHEN 'pickup' THEN {worded('pickup', 0)} ELSE {worded('delivery', 0)} END)
+        || ' ' || quantity || ' ' || CASE unit {units} END,
+      CASE WHEN {both} THEN {worded('lane', 2)} WHEN {one} THEN {worded('start', 2)}
+           WHEN destination IS NOT NULL THEN {worded('end', 2)} END,
+      CASE WHEN weight IS NOT NULL THEN {worded('weight', 3)} END,
+      CASE WHEN pickup_month IS NULL THEN NULL WHEN pickup_day IS NULL THEN {worded('month', 4)}
+           WHEN pickup_year IS NULL THEN {worded('month_day', 4)} ELSE {worded('full_date', 4)} END,
+      {worded('rate', 5)}, CASE WHEN accessorial IS NOT NULL THEN {worded('charge', 6)} END)"""
 
 
 def _density(style: str = "style") -> str:
@@ -160,29 +123,27 @@ def _density(style: str = "style") -> str:
     return f"CASE {style} {arms} END"
 
 
-def _message(r6: str, r7: str) -> str:
-    """From one row per confirmation: style, reference, first phrase and `stops`."""
-    carrier = _choose_text(S.CARRIERS, f"({r6} % 8)")
-    commodity = _choose_text(S.COMMODITIES, f"({r7} % 8)")
-    ref = lambda t: f"coalesce({t}, '')"
-    r_terse = ref("' ' || reference")
-    r_verbose = ref("' Reference ' || reference || '.'")
-    r_abbrev = ref("' REF ' || reference")
-    r_multi = ref("' (ref ' || reference || ')'")
-    signed = f"CASE WHEN {_chance(r6, 500)} THEN {carrier} || ' - ' ELSE '' END"
-    return (
-        f"CASE style WHEN 'terse' THEN first_phrase || {r_terse} "
-        f"WHEN 'verbose' THEN {carrier} || ' shipment confirmation. ' || first_phrase "
-        f"|| '. Commodity: ' || {commodity} || '.' || {r_verbose} "
-        f"WHEN 'abbrev' THEN {signed} || first_phrase || {r_abbrev} "
-        f"ELSE {carrier} || ' multi-stop load confirmation' || {r_multi} || chr(10) || stops END"
-    )
+def _shaped(name: str, parts: dict[str, str]) -> str:
+    text, stated = (_filled(f, parts) for f in S.SHAPES[name])
+    return f"{text} || coalesce({stated}, '')"
 
 
-_STOPS = (
-    "string_agg('Leg ' || (i + 1) || ': ' || phrase || coalesce(' [ref ' || reference || ']', ''), "
-    "chr(10) ORDER BY i)"
-)
+def _message(r6: str, r7: str) -> str:
+    """From one row per confirmation: style, reference, first phrase and `stops`."""
+    parts = {
+        "carrier": _choose_text(S.CARRIERS, f"({r6} % {len(S.CARRIERS)})"),
+        "commodity": _choose_text(S.COMMODITIES, f"({r7} % {len(S.COMMODITIES)})"),
+        "phrase": "first_phrase",
+        "reference": "reference",
+    }
+    parts = {k: f"({v})" for k, v in parts.items()}
+    parts["signed"] = f"(CASE WHEN {_chance(r6, 500)} THEN {_filled(S.SHAPES['signed'][0], parts)} ELSE '' END)"
+    arms = " ".join(f"WHEN '{n}' THEN {_shaped(n, parts)}" for n in ("terse", "verbose", "abbrev"))
+    return f"CASE style {arms} ELSE {_shaped('multileg', parts)} || chr(10) || stops END"
+
+
+_STOP = _shaped("stop", {"n": "(i + 1)", "phrase": "phrase", "reference": "reference"})
+_STOPS = f"string_agg({_STOP}, chr(10) ORDER BY i)"
 
 # --- confirmations from orders ----------------------------------------------
 _CODES = [c for c, _ in G.PLACES]

@@ -231,7 +231,7 @@ def review_queue_filtered(spark, folder):
 
 
 def review_search(spark, folder):
-    return review.queue(_reviews(spark, folder), search="Multi-STOP harbor", corrected="no").select("id", "short_text")
+    return review.queue(_reviews(spark, folder), search="Run SHEET kestrel", corrected="no").select("id", "short_text")
 
 
 def chat_search(spark, folder):

@@ -45,6 +45,17 @@ WRITTEN = [
          line(quantity=8, unit="cartons", rate=620, leg="delivery", origin="OMA", destination="Salt Lake",
               accessorial="80.5", reference="PRO-9031")],
     ),
+    (
+        "PU 4 pallets BOI to TUL rate 900.00 and PU 6 skids OMA to RNO rate 800.00",
+        [line(quantity=4, rate=900, origin="BOI", destination="TUL"),
+         line(quantity=6, unit="skids", rate=800, origin="OMA", destination="RNO")],
+    ),
+    (
+        "Desk 3: PU 4 pallets BOI to TUL rate 900.00; DLV 6 skids rate 800.00, 2 cartons rate 70.00 PO-77",
+        [line(quantity=4, rate=900, origin="BOI", destination="TUL", reference="PO-77"),
+         line(quantity=6, unit="skids", rate=800, leg="delivery", reference="PO-77"),
+         line(quantity=2, unit="cartons", rate=70, reference="PO-77")],
+    ),
 ]
 
 

@@ -58,7 +58,7 @@ def test_trusted_filter_is_pushed_to_the_scan(stored):
 
 def test_labels_alone_do_not_write_the_text(spark):
     p = generate(spark, 10, 1).select("parsed_json")._jdf.queryExecution().optimizedPlan().toString()
-    assert "multi-stop" not in p
+    assert "run sheet" not in p
 
 
 def test_filter_on_a_category_does_not_copy_the_comparison(spark, stored):
