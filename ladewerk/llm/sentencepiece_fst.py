@@ -50,7 +50,7 @@ class Transducer:
                 self.text[i] = name
                 self.piece[name] = i
                 self.score[name] = model.get_score(i)
-        self.longest = max(map(len, self.piece), default=1)
+        self.starts = {p[:i] for p in self.piece for i in range(1, len(p) + 1)}
         # No piece goes on over a space mark or holds a line end: paths meet in one state there.
         if any(MARK in p.lstrip(MARK) or "\n" in p for p in self.piece):
             self.parts = re.compile(r"(?s).+")
@@ -91,14 +91,24 @@ class Transducer:
         (-1 at the start and after a fallback, which nothing merges with).
         """
         n = len(part)
-        last, came = [-1] * (n + 1), [0] * (n + 1)
-        piece, follows, longest = self.piece.get, self.follows, self.longest
-        for end in range(1, n + 1):
-            for begin in range(max(0, end - longest), end):
-                arc = piece(part[begin:end])
+        last, came = [-1] * (n + 1), [-1] * (n + 1)
+        piece, follows, starts = self.piece.get, self.follows, self.starts
+        for begin in range(n):
+            # All arcs into begin are known: they come from earlier states.
+            if came[begin] < 0:
+                came[begin] = begin - 1
+            before = last[begin]
+            end = begin
+            while end < n:
+                end += 1
+                text = part[begin:end]
+                if text not in starts:
+                    break
+                if came[end] >= 0:  # a longer piece ends there
+                    continue
+                arc = piece(text)
                 if arc is None:
                     continue
-                before = last[begin]
                 if before >= 0:
                     fits = follows.get((before, arc))
                     if fits is None:
@@ -106,9 +116,8 @@ class Transducer:
                     if not fits:
                         continue
                 last[end], came[end] = arc, begin
-                break
-            else:
-                came[end] = end - 1
+        if came[n] < 0:
+            came[n] = n - 1
         out: list[int] = []
         end = n
         while end:
