@@ -63,6 +63,8 @@ def prepare_dataset(
 
     Synthetic rows are sampled to `synthetic_ratio` per real row. With
     `reuse_benchmark` the fixed benchmark stays and none of its texts is trained on.
+    `max_train`, off by default, keeps that many training rows, chosen by seeded hash;
+    the benchmark is settled before it.
     """
     n_real, n_synthetic = real.count(), synthetic.count()
     target = half_even(n_real * synthetic_ratio)
