@@ -13,6 +13,8 @@ one bit from both. So each is dealt to its 65 words, and a word gathers at most
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import golay
-from ladewerk.llm.common import cut, partitions, small_batches, texts
+from ladewerk.llm.common import cut, partitions, shared_folder, small_batches, texts
 from ladewerk.llm.components import components
 
 SEED = 42
@@ -32,6 +34,11 @@ RUN = 64
 #: the shingle fingerprints of a pair that goes on to the exact comparison.
 TABLES, FAR_BITS = 4, 24
 NEAR_RUN, NEXT = 8, 3
+#: Exact form: buckets that shingles are counted in, shares of them that tasks add up, the
+#: most prefix rows of a task, and the odd factor that mixes word hashes to shingle hashes.
+BUCKET_BITS, SHARES, TASK_ROWS, FACTOR = 20, 256, 1 << 20, np.uint64(0x9E3779B97F4A7C15)
+PREFIX = np.dtype([("key", "<i8"), ("node", "<i8"), ("weight", "<f4"), ("n", "<i4"), ("at", "<i4")])
+PREFIX_SCHEMA = "key long, node long, weight float, n int, at int"
 
 
 def words_of(text: str) -> list[bytes]:
@@ -54,6 +61,19 @@ def hashes(items: list[bytes]) -> np.ndarray:
     return np.fromiter((digest(x, SEED) for x in items), np.uint64, len(items))
 
 
+def shingle_set(words: list[bytes], size: int) -> np.ndarray:
+    """Sorted distinct hashes of the runs of size words; of all words if they are fewer."""
+    if not words:
+        return np.empty(0, np.uint64)
+    size = min(size, len(words))
+    word = hashes(words)
+    total = np.full(len(words) - size + 1, size, np.uint64)
+    for i in range(size):
+        total = (total ^ word[i : i + len(total)]) * FACTOR
+        total ^= total >> np.uint64(29)
+    return np.unique(total)
+
+
 def majority(values: np.ndarray) -> int:
     """The bits set in over half of the 64-bit values, as a signed number; none give 0."""
     if not len(values):
@@ -202,7 +222,7 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     """Pairs (a, b) of nodes (node, text) whose sets of size-word shingles overlap by
     similarity or more (Jaccard).
 
-    Candidates share a key of one of TABLES word fingerprints and have shingle fingerprints
+    Not all such pairs: candidates share a key of one of TABLES word fingerprints and have shingle fingerprints
     less than FAR_BITS apart. A run of up to NEAR_RUN nodes gives all its pairs, a longer
     one links each node to the run's first and the NEXT following ones.
     """
@@ -211,7 +231,7 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
         for batch in batches:
             words = [words_of(t) for t in texts(batch.column("text"))]
             node = batch.column("node").to_numpy(zero_copy_only=False)
-            value = np.array([majority(hashes(shingles(w, size))) for w in words], np.int64)
+            value = np.array([majority(shingle_set(w, size)) for w in words], np.int64)
             signs = np.array([_signature(w) for w in words], np.int64).reshape(-1, TABLES)
             for t in range(TABLES):
                 key, owner = golay_keys(np.ascontiguousarray(signs[:, t]), t)
@@ -244,9 +264,18 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
                 both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
+    n = partitions(small_batches(nodes))
+    # The key spreads rows well; a node's rows are of one size whatever its text.
+    found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
+    return _verified(nodes, found, size, similarity)
+
+
+def _verified(nodes: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of found whose sets of shingles overlap by similarity or more."""
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [np.unique(hashes(shingles(words_of(t), size))).tobytes() for t in texts(batch.column("text"))]
+            out = [shingle_set(words_of(t), size).tobytes() for t in texts(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "shingles"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,9 +288,6 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
                 keep.append(common >= similarity * (len(both) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    n = partitions(small_batches(nodes))
-    # The key spreads rows well; a node's rows are of one size whatever its text.
-    found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
     needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     shingled = nodes.join(needed, "node", "left_semi").mapInArrow(sets, "node long, shingles binary")
     x = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
@@ -269,6 +295,154 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     return found.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
+def _levels(nodes: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """How common the shingles of each bucket are, in eighths of a power of two, and the
+    number of shingles of all nodes."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BUCKET_BITS, np.int64)
+        for batch in batches:
+            found = [shingle_set(words_of(t), size) for t in texts(batch.column("text"))]
+            if found:
+                total += np.bincount((np.concatenate(found) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
+        shares = total.astype(np.uint32).reshape(SHARES, -1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(SHARES), pa.int32()), pa.array([x.tobytes() for x in shares], pa.binary())], ["share", "counts"])
+
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((1 << BUCKET_BITS) // SHARES, np.int64)
+        for batch in batches:
+            for x in batch.column("counts"):
+                total += np.frombuffer(x.as_py(), np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
+
+    total = np.zeros((SHARES, (1 << BUCKET_BITS) // SHARES), np.int64)
+    for r in nodes.mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect():
+        total[r["share"]] = np.frombuffer(r["counts"], np.int64)
+    return np.minimum(8 * np.log2(total.ravel() + 1), 255).astype(np.uint8), int(total.sum())
+
+
+def _prefixes(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Rows of PREFIX_SCHEMA: the shingles that decide if two nodes can be similar.
+
+    Of two sets of similarity or more, each has that share of its shingles in common with
+    the other. So in any one order of all shingles, the first n - similarity * n + 1 of both
+    (n: size of the set) share one. Rare shingles come first here. at is the place of the
+    shingle in its node, weight how common the shingles of the node are. Shingles that are
+    in the prefix of one node only are left out.
+    """
+    levels, total = _levels(nodes, size)
+    table = nodes.sparkSession.sparkContext.broadcast(levels)
+    n = max(partitions(nodes), int(total * (1 - similarity)) // TASK_ROWS + 1)
+    shares = max(1024, 4 * n)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = table.value
+        for batch in batches:
+            parts = []
+            for node, text in zip(batch.column("node").to_pylist(), texts(batch.column("text")), strict=True):
+                found = shingle_set(words_of(text), size)
+                if not len(found):
+                    continue
+                common = level[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
+                first = np.argsort(common, kind="stable")[: len(found) - max(1, math.ceil(similarity * len(found) - 1e-6)) + 1]
+                rows = np.empty(len(first), PREFIX)
+                rows["key"], rows["node"], rows["weight"] = found[first].view(np.int64), node, common.mean()
+                rows["n"], rows["at"] = len(found), np.arange(len(first))
+                parts.append(rows)
+            if not parts:
+                continue
+            rows = np.concatenate(parts)
+            share = (rows["key"].view(np.uint64) % np.uint64(shares)).astype(np.int64)
+            order = np.argsort(share, kind="stable")
+            share, rows = share[order], rows[order]
+            edges = np.flatnonzero(np.diff(share, prepend=-1))
+            pieces = [x.tobytes() for x in np.split(rows, edges[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(share[edges]), pa.array(pieces, pa.binary())], ["share", "rows"])
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = [np.frombuffer(x.as_py(), PREFIX) for batch in batches for x in batch.column("rows")]
+        if not pieces:
+            return
+        rows = np.concatenate(pieces)
+        rows = rows[np.argsort(rows["key"], kind="stable")]
+        same = rows["key"][1:] == rows["key"][:-1]
+        rows = rows[np.append(same, False) | np.append(False, same)]
+        for i in range(0, len(rows), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c][i : i + (1 << 16)])) for c in PREFIX.names], list(PREFIX.names))
+
+    return nodes.mapInArrow(deal, "share long, rows binary").repartition(n, "share").mapInArrow(met, PREFIX_SCHEMA)
+
+
+def exact_pairs(nodes: DataFrame, near: DataFrame, size: int, similarity: float) -> DataFrame:
+    """near, pairs (a, b) of similar nodes (node, text), with more such pairs, so that they
+    connect all that similar pairs connect.
+
+    Nodes that share a prefix shingle and are not connected yet are compared: first each
+    with the one of the most common shingles, which is the middle of a group of copies of
+    one text, then all with all.
+    """
+
+    def able(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """If sets of n and m shingles can be similar whose first common ones are at and to."""
+        most = np.minimum(np.minimum(n - at, m - to), np.minimum(n, m))
+        return most >= similarity * (n + m - most) - 1e-6
+
+    def spokes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = None
+        for batch in batches:
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "component", "n")]
+            if head is not None:
+                rows = [np.concatenate(([h], r)) for h, r in zip(head, rows, strict=True)]
+            if not len(rows[0]):
+                continue
+            edges = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
+            of = np.repeat(edges, np.diff(np.append(edges, len(rows[0]))))
+            head = [r[edges[-1]] for r in rows]
+            _, node, component, n = rows
+            own = (component != component[of]) & able(n, 0 * n, n[of], 0 * n)
+            both = np.unique(np.sort(np.stack((node[of][own], node[own]), axis=1), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
+
+    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "node", "component", "n", "at")
+        kept = [np.empty(0, np.int64)] * len(names)
+
+        def compare(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            _, node, component, n, at = rows
+            left, right, held = [], [], 0
+            for i in range(len(node) - 1):
+                other = np.flatnonzero((component[i + 1 :] != component[i]) & able(n[i], at[i], n[i + 1 :], at[i + 1 :])) + i + 1
+                left.append(np.minimum(node[i], node[other]))
+                right.append(np.maximum(node[i], node[other]))
+                held += len(other)
+                if held and (held > 1 << 16 or i == len(node) - 2):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
+                    left, right, held = [], [], 0
+
+        for batch in batches:
+            rows = [np.concatenate((k, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for k, c in zip(kept, names, strict=True)]
+            edges = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                yield from compare([r[a:b] for r in rows])
+            kept = [r[edges[-1] :] for r in rows]
+        yield from compare(kept)
+
+    def connected(pairs: DataFrame) -> DataFrame:
+        """rows, with the component of each node, whose shingle is in two components or more."""
+        whole = rows.join(components(pairs), "node", "left").withColumn("component", F.coalesce("component", "node"))
+        several = whole.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
+        return whole.join(several, "key", "left_semi")
+
+    rows = cut(_prefixes(nodes, size, similarity))
+    n = partitions(nodes)
+    ordered = connected(near).repartition(n, "key").sortWithinPartitions("key", F.desc("weight"), "node")
+    more = cut(_verified(nodes, cut(ordered.mapInArrow(spokes, "a long, b long").where("a <> b").distinct()), size, similarity))
+    near = near.unionByName(more)
+    rest = connected(near).repartition(n, "key").sortWithinPartitions("key", "node")
+    last = _verified(nodes, cut(rest.mapInArrow(crossed, "a long, b long").where("a <> b").distinct()), size, similarity)
+    return near.unionByName(last)
+
+
 def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without near-duplicates: of each group the document with the smallest doc_id stays.
 
@@ -282,6 +456,10 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     rows = docs.select(id_.alias("id"), F.sha2(body, 256).alias("digest"), body.alias("text"))
     nodes = cut(rows.groupBy("digest").agg(F.min("id").alias("node")).select("node").distinct())
     lead = rows.join(nodes, rows["id"] == nodes["node"], "left_semi").dropDuplicates(["id"]).select(F.col("id").alias("node"), "text")
-    gone = components(near_pairs(lead, size, similarity)).where("node <> component").select("node")
+    path = f"{shared_folder(docs.sparkSession)}/near-{uuid.uuid4().hex}"
+    lead.write.parquet(path)
+    lead = small_batches(docs.sparkSession.read.parquet(path))
+    found = exact_pairs(lead, cut(near_pairs(lead, size, similarity)), size, similarity)
+    gone = components(found).where("node <> component").select("node")
     stay = nodes.join(gone, "node", "left_anti")
     return docs.withColumn("id_", id_).join(stay, F.col("id_") == F.col("node"), "left_semi").dropDuplicates(["id_"]).drop("id_")

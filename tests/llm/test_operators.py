@@ -130,6 +130,55 @@ def test_near_duplicates_keep_one_of_each_group(spark, none):
     assert simhash.drop_near_duplicates(none).count() == 0
 
 
+def _edited(words, share, r):
+    """The words with the single ones at random places replaced by new ones, up to share."""
+    out = list(words)
+    for i in r.sample(range(len(out)), round(share * len(out))):
+        out[i] = f"x{r.randrange(10**9)}"
+    return out
+
+
+def _kept_by_brute_force(texts, size=5, similarity=0.8):
+    sets = {i: {tuple(w[k : k + size]) for k in range(max(1, len(w) - size + 1))} for i, w in texts.items()}
+    lead = {i: i for i in sets}
+
+    def top(i):
+        while lead[i] != i:
+            i = lead[i]
+        return i
+
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and (common := len(sets[a] & sets[b])) >= similarity * (len(sets[a]) + len(sets[b]) - common):
+                x, y = top(a), top(b)
+                lead[max(x, y)] = min(x, y)
+    return sorted(i for i in lead if top(i) == i)
+
+
+def test_near_duplicates_of_one_original_are_one_group(spark):
+    r = random.Random(7)
+    texts = {}
+    for base, copies in ((1000, 60), (2000, 300)):
+        original = [f"w{r.randrange(10**6)}" for _ in range(300)]
+        for i in range(copies):
+            texts[base + i] = _edited(original, 0.02, r)
+        texts[base + copies // 2] = original
+    docs = spark.createDataFrame([(i, " ".join(w), "en", 0) for i, w in texts.items()], DOCS)
+    got = sorted(x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect())
+    assert got == _kept_by_brute_force(texts) and len(got) < 20
+
+
+def test_near_pairs_of_all_similarities_are_found(spark):
+    r = random.Random(8)
+    texts = {}
+    for i in range(120):
+        original = [f"{i}w{int(r.paretovariate(0.6))}" for _ in range(r.choice((6, 40, 400, 1500)))]
+        texts[2 * i], texts[2 * i + 1] = original, _edited(original, r.choice((0.005, 0.01, 0.015, 0.02, 0.024, 0.04)), r)
+    docs = spark.createDataFrame([(i, " ".join(w), "en", 0) for i, w in texts.items()], DOCS)
+    got = sorted(x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect())
+    assert got == _kept_by_brute_force(texts)
+
+
 def test_quality_base_counts():
     text = "a b c d e f g h\n\na b c d e f g h\na b c d e f g h\n #*x <|>"
     assert quality.base_counts(text) == (26, 30, 5, 2, 24)
