@@ -265,6 +265,18 @@ def test_personal_data(spark, none):
     assert pii.find_pii(none).count() == 0
 
 
+def test_what_follows_a_cue_word_is_personal(spark):
+    r = random.Random(3)
+    secrets = {i: "".join(r.choice("0123456789abcdef") for _ in range(39)) + "7" for i in range(60)}
+    plain = {i: str(r.randrange(10**15, 10**16)) for i in range(100, 400)}
+    plain = {i: n for i, n in plain.items() if sum(sum(divmod(int(c) * (2 - k % 2), 10)) for k, c in enumerate(n)) % 10}
+    texts = {i: f'some words token = "{x}" go on' for i, x in secrets.items()} | {i: f"some words {x} go on" for i, x in plain.items()}
+    docs = spark.createDataFrame([(i, t, "en", 0) for i, t in texts.items()], DOCS)
+    found = {x["doc_id"]: x["red"] for x in pii.find_pii(docs).select("doc_id", pii.redacted().alias("red")).collect()}
+    assert all(found[i] == 'some words token = "[TOKEN]" go on' for i in secrets)
+    assert all(found[i] == texts[i] for i in plain)
+
+
 def test_trees_and_their_sql_agree(spark):
     r = np.random.default_rng(0)
     x = r.integers(0, 9, (400, 2)).astype(float)
