@@ -448,18 +448,24 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
 
     A group is what equal texts and pairs of similarity or more (Jaccard over sets of
     size-word shingles, words lower-cased) connect. A null text counts as empty, and empty
-    texts are equal. Rows that repeat a doc_id are one document, of which one row stays; a
-    null doc_id is the smallest. All columns are kept. An empty table gives no rows.
+    texts are equal. Rows with the same doc_id and text are one document, of which one row
+    stays; rows with the same doc_id and other texts, or with a null doc_id, are documents
+    of their own. A null doc_id is the smallest; of equal doc_ids the text with the smallest
+    digest leads. All columns are kept. An empty table gives no rows.
     """
-    id_ = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    # A text is a node, named by the first 60 bits of its digest.
     body = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(id_.alias("id"), F.sha2(body, 256).alias("digest"), body.alias("text"))
-    nodes = cut(rows.groupBy("digest").agg(F.min("id").alias("node")).select("node").distinct())
-    lead = rows.join(nodes, rows["id"] == nodes["node"], "left_semi").dropDuplicates(["id"]).select(F.col("id").alias("node"), "text")
+    digest = F.sha2(body, 256)
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("node"), body.alias("text"))
     path = f"{shared_folder(docs.sparkSession)}/near-{uuid.uuid4().hex}"
-    lead.write.parquet(path)
+    # min() passes over nulls, so the id of a text with one is told apart.
+    first = F.min(F.struct(F.col("id").isNotNull().alias("named"), "id")).getField("id").alias("id")
+    rows.groupBy("node").agg(first, F.first("text").alias("text")).write.parquet(path)
     lead = small_batches(docs.sparkSession.read.parquet(path))
-    found = exact_pairs(lead, cut(near_pairs(lead, size, similarity)), size, similarity)
-    gone = components(found).where("node <> component").select("node")
-    stay = nodes.join(gone, "node", "left_anti")
-    return docs.withColumn("id_", id_).join(stay, F.col("id_") == F.col("node"), "left_semi").dropDuplicates(["id_"]).drop("id_")
+    nodes = lead.select("node", "text")
+    found = components(exact_pairs(nodes, cut(near_pairs(nodes, size, similarity)), size, similarity))
+    whole = lead.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stay = whole.groupBy("component").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), "id", "node")).alias("top")).select("top.id", "top.node")
+    keyed = docs.withColumn("id_", F.col("doc_id").cast("long")).withColumn("node_", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
+    kept = keyed.join(stay, (F.col("node_") == F.col("node")) & F.col("id_").eqNullSafe(F.col("id")), "left_semi")
+    return kept.dropDuplicates(["id_", "node_"]).drop("id_", "node_")

@@ -168,6 +168,12 @@ def test_near_duplicates_of_one_original_are_one_group(spark):
     assert got == _kept_by_brute_force(texts) and len(got) < 20
 
 
+def test_rows_without_an_id_or_with_one_id_keep_their_texts(spark):
+    texts = [(None, "one two"), (None, "three four"), (None, "three four"), (4, "five six"), (4, "seven eight"), (4, "seven eight"), (5, "ONE two")]
+    got = simhash.drop_near_duplicates(spark.createDataFrame([(*t, "en", 0) for t in texts], DOCS)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, "one two"), (0, "three four"), (4, "five six"), (4, "seven eight")]
+
+
 def test_near_pairs_of_all_similarities_are_found(spark):
     r = random.Random(8)
     texts = {}
