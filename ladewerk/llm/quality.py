@@ -25,9 +25,6 @@ SMOOTHING, PRIOR = 1.0, float(1 << BUCKET_BITS)
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
-#: Documents of the trusted set that the target counts are taken from at most, by hash
-#: of doc_id; raw counts cover every document.
-TARGET_DOCS = 20_000
 #: Mean log ratio (nats for each n-gram) under which a document is rejected.
 THRESHOLD = -0.25
 COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -87,8 +84,7 @@ def grams(body: bytes) -> list[np.ndarray]:
 def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """Counts of all n-gram buckets: [target, raw] x order x bucket.
 
-    docs: doc_id, text. trusted: doc_id, at most TARGET_DOCS rows, which bounds what is
-    broadcast. Each task sends one row of counts for each share of the buckets.
+    docs: doc_id, text. trusted: distinct doc_ids, of any number. Each task sends one row of counts for each share of the buckets.
     """
     size = len(ORDERS) << BUCKET_BITS
 
@@ -114,7 +110,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
                 total = total + np.frombuffer(x.as_py(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
 
-    marked = small_batches(docs).select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("target"))), "doc_id", "left")
+    marked = small_batches(docs).select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("target")), "doc_id", "left")
     rows = marked.mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
     counts = np.zeros((SHARES, 2, size // SHARES), np.int64)
     for r in rows:
@@ -122,10 +118,9 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     return counts.transpose(1, 0, 2).reshape(2, len(ORDERS), -1)
 
 
-def trusted_documents(labels: DataFrame, most: int = TARGET_DOCS) -> DataFrame:
-    """Up to most distinct doc_ids that a label marks as good, smallest hash first."""
-    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+def trusted_documents(labels: DataFrame) -> DataFrame:
+    """The distinct doc_ids that a label marks as good."""
+    return labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long")).distinct()
 
 
 def log_ratio(counts: np.ndarray) -> np.ndarray:
@@ -137,7 +132,7 @@ def log_ratio(counts: np.ndarray) -> np.ndarray:
     return (np.log(target) - np.log(raw)).astype(np.float32)
 
 
-def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, target_docs: int = TARGET_DOCS) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     log_ratio and kept.
 
@@ -147,7 +142,7 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, ta
     rules reject. Columns of docs with one of the result's names are replaced. Each row
     gets its result, repeated ones too; an empty table gives no rows.
     """
-    found = ngram_counts(docs, trusted_documents(labels, target_docs))
+    found = ngram_counts(docs, trusted_documents(labels))
     table = docs.sparkSession.sparkContext.broadcast(log_ratio(found))
     names = [x.split()[0] for x in COLUMNS.split(", ")] + ["base_failed", "log_ratio", "kept"]
     own = docs.drop(*names)

@@ -203,6 +203,13 @@ def test_quality_rejects_what_is_unlike_the_trusted(spark, none):
     assert quality.quality(docs, labels.limit(0)).where("kept").count() == 48
 
 
+def test_target_counts_cover_all_trusted_documents(spark):
+    docs = spark.range(20_500).select(F.col("id").alias("doc_id"), F.lit("abcdefgh").alias("text"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = quality.ngram_counts(docs, quality.trusted_documents(labels))
+    assert (found[0] == found[1]).all() and found[0].sum() > 0
+
+
 def test_packing_places_every_id_once(docs, none, rows):
     from tokenizers import Tokenizer
 
