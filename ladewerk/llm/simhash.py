@@ -35,8 +35,8 @@ RUN = 64
 TABLES, FAR_BITS = 4, 24
 NEAR_RUN, NEXT = 8, 3
 #: Exact form: buckets that shingles are counted in, shares of them that tasks add up, the
-#: most prefix rows of a task, and the odd factor that mixes word hashes to shingle hashes.
-BUCKET_BITS, SHARES, TASK_ROWS, FACTOR = 20, 256, 1 << 20, np.uint64(0x9E3779B97F4A7C15)
+#: most prefix rows of a task, the places of a bitmap of nodes, and the odd factor that mixes word hashes to shingle hashes.
+BUCKET_BITS, SHARES, TASK_ROWS, BITMAP_BITS, FACTOR = 18, 256, 1 << 20, 26, np.uint64(0x9E3779B97F4A7C15)
 PREFIX = np.dtype([("key", "<i8"), ("node", "<i8"), ("weight", "<f4"), ("n", "<i4"), ("at", "<i4")])
 PREFIX_SCHEMA = "key long, node long, weight float, n int, at int"
 
@@ -218,11 +218,10 @@ def _signature(words: list[bytes]) -> list[int]:
     return out
 
 
-def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of nodes (node, text) whose sets of size-word shingles overlap by
-    similarity or more (Jaccard).
+def near_pairs(nodes: DataFrame, size: int) -> DataFrame:
+    """Pairs (a, b) of nodes (node, text) whose sets of size-word shingles may be similar.
 
-    Not all such pairs: candidates share a key of one of TABLES word fingerprints and have shingle fingerprints
+    Not all such pairs: they share a key of one of TABLES word fingerprints and have shingle fingerprints
     less than FAR_BITS apart. A run of up to NEAR_RUN nodes gives all its pairs, a longer
     one links each node to the run's first and the NEXT following ones.
     """
@@ -266,8 +265,7 @@ def near_pairs(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
 
     n = partitions(small_batches(nodes))
     # The key spreads rows well; a node's rows are of one size whatever its text.
-    found = cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
-    return _verified(nodes, found, size, similarity)
+    return cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
 
 
 def _verified(nodes: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -373,9 +371,31 @@ def _prefixes(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
     return nodes.mapInArrow(deal, "share long, rows binary").repartition(n, "share").mapInArrow(met, PREFIX_SCHEMA)
 
 
+def _few(nodes: DataFrame, needed: DataFrame) -> DataFrame:
+    """The nodes (node, text) that needed (node) names and few others, by a bitmap of
+    2^BITMAP_BITS places; saved, so that the other texts are not dealt out again."""
+    place = F.pmod(F.col("node"), F.lit(1 << BITMAP_BITS))
+    pieces = needed.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p)").alias("piece")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits")).collect()
+    bits = {r["piece"]: bytes(r["bits"]) for r in pieces}
+    most = 1 + (1 << BITMAP_BITS) // 32768
+    table = nodes.sparkSession.sparkContext.broadcast(b"".join(bits.get(i, b"").ljust(4096, b"\0") for i in range(most + 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.frombuffer(table.value, np.uint8)
+        for batch in batches:
+            # Piece 1 holds 1 to 32768, piece 0 holds 0 and less.
+            p = batch.column("node").to_numpy(zero_copy_only=False) % (1 << BITMAP_BITS)
+            piece, bit = np.where(p > 0, 1 + (p - 1) // 32768, 0), np.where(p > 0, (p - 1) % 32768, 0)
+            yield batch.filter(pa.array((whole[4096 * piece + bit // 8] >> (bit % 8) & 1).astype(bool)))
+
+    path = f"{shared_folder(nodes.sparkSession)}/near-{uuid.uuid4().hex}"
+    nodes.select("node", "text").mapInArrow(run, "node long, text string").write.parquet(path)
+    return nodes.sparkSession.read.parquet(path)
+
+
 def exact_pairs(nodes: DataFrame, near: DataFrame, size: int, similarity: float) -> DataFrame:
-    """near, pairs (a, b) of similar nodes (node, text), with more such pairs, so that they
-    connect all that similar pairs connect.
+    """Pairs (a, b) of similar nodes (node, text) that connect all that similar pairs
+    connect; near are candidates, which are compared first.
 
     Nodes that share a prefix shingle and are not connected yet are compared: first each
     with the one of the most common shingles, which is the middle of a group of copies of
@@ -435,6 +455,8 @@ def exact_pairs(nodes: DataFrame, near: DataFrame, size: int, similarity: float)
 
     rows = cut(_prefixes(nodes, size, similarity))
     n = partitions(nodes)
+    nodes = _few(nodes, near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rows.select("node")))
+    near = cut(_verified(nodes, near, size, similarity))
     ordered = connected(near).repartition(n, "key").sortWithinPartitions("key", F.desc("weight"), "node")
     more = cut(_verified(nodes, cut(ordered.mapInArrow(spokes, "a long, b long").where("a <> b").distinct()), size, similarity))
     near = near.unionByName(more)
@@ -463,7 +485,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     rows.groupBy("node").agg(first, F.first("text").alias("text")).write.parquet(path)
     lead = small_batches(docs.sparkSession.read.parquet(path))
     nodes = lead.select("node", "text")
-    found = components(exact_pairs(nodes, cut(near_pairs(nodes, size, similarity)), size, similarity))
+    found = components(exact_pairs(nodes, near_pairs(nodes, size), size, similarity))
     whole = lead.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     stay = whole.groupBy("component").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), "id", "node")).alias("top")).select("top.id", "top.node")
     keyed = docs.withColumn("id_", F.col("doc_id").cast("long")).withColumn("node_", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
