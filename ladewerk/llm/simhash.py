@@ -13,6 +13,7 @@ one bit from both. So each is dealt to its 65 words, and a word gathers at most
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladewerk.llm import golay
@@ -271,28 +272,31 @@ def near_pairs(nodes: DataFrame, size: int) -> DataFrame:
 def _verified(nodes: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of found whose sets of shingles overlap by similarity or more."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = [shingle_set(words_of(t), size).tobytes() for t in texts(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(out, pa.binary())], ["node", "shingles"])
-
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate((x, y)))
+            keep, sets = [], {}
+            sides = [list(zip(batch.column(c).to_pylist(), texts(batch.column(t)), strict=True)) for c, t in (("a", "x"), ("b", "y"))]
+            for (a, x), (b, y) in zip(*sides, strict=True):
+                for node, text in ((a, x), (b, y)):
+                    if node not in sets:
+                        sets[node] = shingle_set(words_of(text), size)
+                both = np.sort(np.concatenate((sets[a], sets[b])))
                 common = int((both[1:] == both[:-1]).sum())
                 keep.append(common >= similarity * (len(both) - common))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    needed = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    shingled = nodes.join(needed, "node", "left_semi").mapInArrow(sets, "node long, shingles binary")
-    x = shingled.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    y = shingled.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    # Texts take less room than sets of hashes.
+    x = nodes.select(F.col("node").alias("a"), F.col("text").alias("x"))
+    y = nodes.select(F.col("node").alias("b"), F.col("text").alias("y"))
     return found.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
 
 
+def _free(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of steps that are done."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _levels(nodes: DataFrame, size: int) -> tuple[np.ndarray, int]:
     """How common the shingles of each bucket are, in eighths of a power of two, and the
     number of shingles of all nodes."""
@@ -453,12 +457,16 @@ def exact_pairs(nodes: DataFrame, near: DataFrame, size: int, similarity: float)
         several = whole.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         return whole.join(several, "key", "left_semi")
 
+    _free(nodes.sparkSession)
     rows = cut(_prefixes(nodes, size, similarity))
     n = partitions(nodes)
     nodes = _few(nodes, near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rows.select("node")))
+    _free(nodes.sparkSession)
     near = cut(_verified(nodes, near, size, similarity))
+    _free(nodes.sparkSession)
     ordered = connected(near).repartition(n, "key").sortWithinPartitions("key", F.desc("weight"), "node")
     more = cut(_verified(nodes, cut(ordered.mapInArrow(spokes, "a long, b long").where("a <> b").distinct()), size, similarity))
+    _free(nodes.sparkSession)
     near = near.unionByName(more)
     rest = connected(near).repartition(n, "key").sortWithinPartitions("key", "node")
     last = _verified(nodes, cut(rest.mapInArrow(crossed, "a long, b long").where("a <> b").distinct()), size, similarity)
@@ -483,6 +491,7 @@ def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8
     # min() passes over nulls, so the id of a text with one is told apart.
     first = F.min(F.struct(F.col("id").isNotNull().alias("named"), "id")).getField("id").alias("id")
     rows.groupBy("node").agg(first, F.first("text").alias("text")).write.parquet(path)
+    _free(docs.sparkSession)
     lead = small_batches(docs.sparkSession.read.parquet(path))
     nodes = lead.select("node", "text")
     found = components(exact_pairs(nodes, near_pairs(nodes, size), size, similarity))
