@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.llm import chat, graph_search, packing, pii, quality, sentencepiece_fst, simhash, suffix_dedup, toxicity, warc
+from ladewerk.llm import chat, graph_search, minhash, packing, pii, quality, sentencepiece_fst, simhash, spelling, suffix_dedup, toxicity, warc, whitening
 from ladewerk.llm.common import table
 
 
@@ -67,9 +67,21 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(table(spark, folder, "documents"), 3, 2)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"), components=8)
+
+
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"), 4, 0.8)
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_toxicity, op3_graph_search, op4_warc, op5_packing, op6_quality, op7_pii, op8_chat, op9_sentencepiece, op10_simhash)
+    for f in (op1_suffix_dedup, op2_toxicity, op3_graph_search, op4_warc, op5_packing, op6_quality, op7_pii, op8_chat, op9_sentencepiece, op10_simhash, op11_whitening, op12_minhash, op13_spelling)
 }
 
 #: DuckDB SQL of those whose whole result SQL can state. For op4: the archives and the index
