@@ -12,8 +12,10 @@ how many both hold, estimate the similarity. Pairs below FLOOR go, and the whole
 others are compared. At FLOOR, a pair of similarity 0.8 is lost once in 10^12 times.
 
 Lists are worked off in rounds, and a pair of nodes that are connected already is not
-compared again: each list's first node with the others, then its node of most links with
-those of other components, then all of its pairs between components, in salted blocks.
+compared again: each list's first node with the others, then its node of most links, the
+hub, with those of other components. Pairs that the hub does not connect are found by what
+tells them from the hub, of which near nodes share a part (`_differences`); so a large group
+of copies that are not quite near each other does not come to all of its pairs.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from ladewerk.llm.components import components
 from ladewerk.llm.simhash import shingle_set, words_of
 
 SKETCH, FLOOR = 96, 0.45
-#: Nodes of a list that are met with others of it at once.
-BLOCK = 512
+#: Nodes that share a change and are met with others at once; classes of how many changes.
+BLOCK, CLASSES = 512, 32
 #: How many sets a task remembers to have given.
 REMEMBERED = 100_000
 
@@ -162,32 +164,78 @@ def _open_lists(lists: DataFrame, of: DataFrame) -> DataFrame:
     return _met(rows, many, "value")
 
 
-def _spokes(rows: DataFrame, weight: DataFrame | None, similarity: float) -> DataFrame:
-    """Pairs of each list's node of most weight (of equal ones the smallest; without weights
-    the smallest) with the list's nodes of other components."""
-    heavy = F.lit(0) if weight is None else F.coalesce("weight", F.lit(0))
-    weighted = rows if weight is None else _met(rows, weight, "node", "left")
-    first = weighted.groupBy("value").agg(F.min(F.struct((-heavy).alias("less"), F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"))).alias("first"))
-    met = _met(rows, first.select("value", "first.x", "first.n_x", "first.c_x"), "value").where("component <> c_x")
-    return _pairs(met.withColumnsRenamed({"node": "y", "n": "n_y"}), similarity)
+def _spokes(rows: DataFrame, weight: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of each list's hub with the list's nodes of other components."""
+    met = _met(rows, _hubs(rows, weight), "value").where("component <> c_hub")
+    return _pairs(met.select(F.col("hub").alias("x"), F.col("n_hub").alias("n_x"), F.col("node").alias("y"), F.col("n").alias("n_y")), similarity)
 
 
-def _crossings(rows: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of each list between different components, one of them not the list's largest.
+def _hubs(rows: DataFrame, weight: DataFrame) -> DataFrame:
+    """(value, hub, n_hub, c_hub): each list's node of most weight, of equal ones the smallest."""
+    weighted = _met(rows, weight, "node", "left")
+    heavy = F.struct((-F.coalesce("weight", F.lit(0))).alias("less"), F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("component").alias("c_hub"))
+    return weighted.groupBy("value").agg(F.min(heavy).alias("first")).select("value", "first.hub", "first.n_hub", "first.c_hub")
 
-    The nodes outside the largest component are met with all. Both sides are dealt to
-    blocks of about BLOCK nodes, so no task holds a list, and a pair comes up once a list.
+
+def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """Rows that decide which nodes of a list can be near though neither is near its hub.
+
+    Let X and Y be what tells nodes x and y from the hub (shingles that one has and the other
+    lacks). What tells x from y is then X without Y and Y without X, so near nodes share at
+    least (|X| + |Y| - far * (n_x + n_y)) / 2 of it, where far = (1 - s) / (1 + s): nothing
+    only if both are near the hub. And these differences are rare where the lists are long:
+    copies of one text share its shingles, but not their changes. So the nodes are listed
+    again under the rarest of their differences, for each class of |Y| as many as decide.
     """
-    sizes = rows.groupBy("value", "component").agg(F.count(F.lit(1)).alias("c"))
-    shape = sizes.groupBy("value").agg(F.sum("c").alias("all"), F.max(F.struct("c", "component")).alias("most"))
-    shape = shape.select("value", F.col("most.component").alias("main"), F.ceil(F.col("all") / BLOCK).alias("parts"), F.ceil((F.col("all") - F.col("most.c")) / BLOCK).alias("turns"))
-    shaped = _met(rows, shape, "value")
-    block = lambda count: F.pmod(F.xxhash64("node"), F.col(count))
-    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    members = shaped.select("value", F.col("node").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("c_y"), "main", block("parts").alias("part"), every("turns").alias("turn"))
-    probes = shaped.where("component <> main").select("value", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("component").alias("c_x"), block("turns").alias("turn"), every("parts").alias("part"))
-    met = _met(members, probes, ["value", "part", "turn"])
-    return _pairs(met.where("c_x <> c_y AND (c_y = main OR x < y)"), similarity)
+    far = (1 - similarity) / (1 + similarity)
+    met = _met(rows, hubs, "value").where("node <> hub").select("hub", "n_hub", "c_hub", "node", "n", "component").distinct()
+    for side in ("hub", "node"):
+        met = _met(met, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
+    apart = F.concat(F.array_except("w_node", "w_hub"), F.array_except("w_hub", "w_node"))
+    base = ["hub", "node", "n", "n_hub", "component", "near_hub", "size"]
+    single = met.select("hub", "node", "n", "n_hub", "component", (F.col("component") == F.col("c_hub")).alias("near_hub"), F.size(apart).alias("size"), F.explode(apart).alias("change"))
+    single = _stored(single, "changes")
+    shared = single.groupBy("hub", "change").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
+    # The changes that no other node of the hub has come first, and need no list.
+    found = _met(single, shared, ["hub", "change"]).groupBy(*base).agg(F.sort_array(F.collect_list(F.struct("holders", "change"))).alias("changes"))
+    step = F.greatest(F.lit(1), F.ceil(F.col("n_hub") / CLASSES)).cast("int")
+    widest = F.col("n") / similarity
+    slack = F.ceil(far * (F.col("n") + widest) + 1e-6)
+    own = F.floor(F.col("size") / step).cast("int")
+    low = F.floor(F.greatest(F.lit(0), F.col("size") - slack) / step).cast("int")
+    high = F.floor((F.col("size") + slack) / step).cast("int")
+    dealt = found.select("*", step.alias("step"), own.alias("own"), F.explode(F.sequence(low, high)).alias("other"))
+    least, most = F.col("other") * F.col("step"), (F.col("other") + 1) * F.col("step") - 1
+    n_other = F.least(widest, F.col("n_hub") + most)
+    needed = F.ceil((F.col("size") + least - far * (F.col("n") + n_other)) / 2 - 1e-6)
+    take = F.least(F.col("size"), F.col("size") - needed + 1) - (F.col("size") - F.size("changes"))
+    # Two nodes of the hub's own component need no comparison.
+    useful = ~F.col("near_hub") | (most > far * (F.col("n") * similarity + F.col("n_hub")) - 1)
+    chosen = dealt.where((take > 0) & useful).select(
+        "hub", "node", "n", "component", "own", "other", F.explode(F.slice("changes", F.lit(1), take.cast("int"))).alias("one")
+    )
+    return chosen.select("hub", F.col("one.change").alias("change"), "own", "other", "node", "n", "component")
+
+
+def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes of a list, of different components, that can be near though the list's
+    hub did not connect them. Both sides of a change that many nodes share are dealt to
+    blocks, so that no task holds it whole."""
+    listed = cut(_differences(rows, _hubs(rows, weight), whole, similarity))
+    key = ["hub", "change", "low", "high"]
+    listed = listed.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+    shape = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("all"), F.min("component").alias("c_low"), F.max("component").alias("c_high"))
+    shape = shape.where("c_low < c_high").select(*key, F.ceil(F.col("all") / BLOCK).alias("parts"))
+    shaped = _met(listed, shape, key)
+    block = F.pmod(F.xxhash64("node"), F.col("parts"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    names = {"x": ("part", "turn"), "y": ("turn", "part")}
+    sides = [
+        shaped.select(*key, F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}"), F.col("own").alias(f"own_{s}"), F.col("other").alias(f"other_{s}"), block.alias(mine), every.alias(others))
+        for s, (mine, others) in names.items()
+    ]
+    met = _met(*sides, [*key, "part", "turn"])
+    return _pairs(met.where("x < y AND c_x <> c_y AND own_x = other_y AND own_y = other_x"), similarity)
 
 
 def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float) -> DataFrame:
@@ -195,20 +243,23 @@ def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float)
     lists = _stored(inverted_lists(kept, similarity), "lists")
     some = lists.select("node").distinct()
     held = _stored(_met(kept, some, "node", "left_semi"), "held")
-    # Sets a little smaller than a sketch, which holds them whole, may be like larger ones.
-    small = held.where(F.col("n").between(SKETCH * similarity - 1, SKETCH)).select("node", F.col("sketch").alias("whole"))
+    # Sets no larger than a sketch are held whole by it.
+    small = held.where(F.col("n") <= SKETCH).select("node", F.col("sketch").alias("whole"))
     whole = _stored(whole_sets(docs, held.where(F.col("n") > SKETCH).select("digest", "node"), size).unionByName(small), "whole")
-    single = docs.sparkSession.createDataFrame([], "node long, component long")
-    links = cut(_near(_spokes(_open_lists(lists, single), None, similarity), held, whole, similarity))
-    of = components(links)
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
-    weight = ends.groupBy("node").agg(F.count(F.lit(1)).alias("weight"))
-    rows = cut(_open_lists(lists, of))
-    links = links.unionByName(cut(_near(_spokes(rows, weight, similarity), held, whole, similarity)))
-    of = components(links)
-    rows = cut(_open_lists(lists, of))
-    links = links.unionByName(cut(_near(_crossings(rows, similarity), held, whole, similarity)))
-    return components(links)
+    spark = docs.sparkSession
+    links = spark.createDataFrame([], "a long, b long")
+    of = spark.createDataFrame([], "node long, component long")
+    for turn in range(3):
+        rows = cut(_open_lists(lists, of))
+        if not turn:
+            weight = spark.createDataFrame([], "node long, weight long")
+        else:
+            ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
+            weight = cut(ends.groupBy("node").agg(F.count(F.lit(1)).alias("weight")))
+        pairs = _spokes(rows, weight, similarity) if turn < 2 else _crossings(rows, last, whole, similarity)
+        links = cut(links.unionByName(_near(pairs, held, whole, similarity)))
+        of, last = components(links), weight
+    return of
 
 
 def near_duplicates(docs: DataFrame, size: int = 4, similarity: float = 0.8) -> DataFrame:

@@ -78,6 +78,21 @@ def test_groups_are_those_of_all_pairs(spark, block, monkeypatch):
     assert sorted(found, key=str) == sorted(_expected(rows), key=str)
 
 
+def test_copies_near_each_other_but_not_their_centre(spark):
+    """A large group around one text, most too far from it and each other, some in pairs."""
+    r = random.Random(5)
+    base = _words(r, 260)
+    texts = [base]
+    for k in range(220):
+        far = _changed(r, base, r.choice([4, 9, 14, 17, 25]))
+        texts += [far] if k % 3 else [far, _changed(r, far, r.choice([2, 8, 11, 13]))]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    found = [tuple(x) for x in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
+    expected = _expected(rows)
+    assert len({x[2] for x in expected}) > 40
+    assert sorted(found) == sorted(expected)
+
+
 def test_other_shingles_and_similarity(spark):
     rows = _rows()[:120]
     found = [tuple(r) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 0.9).collect()]
