@@ -52,12 +52,15 @@ def category_breakdown(predictions: DataFrame) -> DataFrame:
     )
 
 
-def percent_correct(predictions: DataFrame, name: str = "pct_correct") -> DataFrame:
-    """One row; every prediction counts, and no predictions make 0."""
-    share = F.try_divide(
+def _percent() -> Column:
+    return F.try_divide(
         100.0 * F.count_if(F.col("category") == "CORRECT"), F.count("*").cast("double")
     )
-    return predictions.agg(F.coalesce(share, F.lit(0.0)).alias(name))
+
+
+def percent_correct(predictions: DataFrame, name: str = "pct_correct") -> DataFrame:
+    """One row; every prediction counts, and no predictions make 0."""
+    return predictions.agg(F.coalesce(_percent(), F.lit(0.0)).alias(name))
 
 
 def outcome_counts(predictions: DataFrame) -> DataFrame:
@@ -68,6 +71,14 @@ def outcome_counts(predictions: DataFrame) -> DataFrame:
     )
 
 
+def _decision() -> Column:
+    return (
+        F.when(F.col("incumbent_pct").isNull(), "PROMOTED_BASELINE")
+        .when(F.col("candidate_pct") > F.col("incumbent_pct"), "PROMOTED")
+        .otherwise("KEPT")
+    )
+
+
 def gate_decision(candidate: DataFrame, incumbent: DataFrame | None) -> DataFrame:
     """One row: decision, candidate_pct, incumbent_pct. Only a strictly better
     candidate is promoted; with no incumbent any candidate is."""
@@ -85,9 +96,34 @@ def gate_decision(candidate: DataFrame, incumbent: DataFrame | None) -> DataFram
     both = tagged.agg(
         side("candidate").alias("candidate_pct"), side("incumbent").alias("incumbent_pct")
     )
-    decision = (
-        F.when(F.col("incumbent_pct").isNull(), "PROMOTED_BASELINE")
-        .when(F.col("candidate_pct") > F.col("incumbent_pct"), "PROMOTED")
-        .otherwise("KEPT")
+    return both.select(_decision().alias("decision"), "candidate_pct", "incumbent_pct")
+
+
+def gate_decisions(
+    predictions: DataFrame, pairs: list[tuple[str, str | None]], column: str = "model_name"
+) -> DataFrame:
+    """candidate, decision, candidate_pct and incumbent_pct of each (candidate, incumbent)
+    pair of models, by the rules of `gate_decision`; a pair may have no incumbent.
+
+    The predictions are read and aggregated once, to one row per model; the pairs, which
+    the caller lists, are then met with those rows.
+    """
+    spark = predictions.sparkSession
+    shares = predictions.groupBy(F.col(column).alias("model")).agg(_percent().alias("pct"))
+    rows = [(i, *pair) for i, pair in enumerate(pairs)]
+    asked = spark.createDataFrame(rows, "pair int, candidate string, incumbent string")
+    sides = asked.select(
+        "*",
+        F.inline(
+            F.array(
+                F.struct(F.lit(True).alias("is_candidate"), F.col("candidate").alias("model")),
+                F.struct(F.lit(False).alias("is_candidate"), F.col("incumbent").alias("model")),
+            )
+        ),
     )
-    return both.select(decision.alias("decision"), "candidate_pct", "incumbent_pct")
+    # A model without predictions has no row, and is right in no share of them.
+    met = shares.join(F.broadcast(sides), "model", "right")
+    pct = F.max(F.when(F.col("is_candidate"), F.coalesce("pct", F.lit(0.0))))
+    old = F.max(F.when(~F.col("is_candidate") & F.col("model").isNotNull(), F.coalesce("pct", F.lit(0.0))))
+    both = met.groupBy("pair", "candidate", "incumbent").agg(pct.alias("candidate_pct"), old.alias("incumbent_pct"))
+    return both.select("candidate", _decision().alias("decision"), "candidate_pct", "incumbent_pct")

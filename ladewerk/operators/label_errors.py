@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ladewerk.functions.binding import built_once
@@ -78,16 +78,17 @@ def corrupt(kind: str, lines: str) -> Column:
 def plan_first_suitable(seed_rows: DataFrame, position: str = "row_idx") -> dict[int, str]:
     """{row position: kind}: each kind claims the first suitable row not taken.
 
-    A kind loses at most one row to each kind before it, so the four smallest
-    suitable positions of each are enough: four bounded top-k jobs.
+    A kind loses at most one row to each kind before it, so the four smallest suitable
+    positions of each are enough. One pass finds them for all kinds: a task hands on at
+    most four rows of a kind.
     """
+    fitting = F.array_compact(F.array(*[F.when(suitable(k, F.col("gold")), F.lit(k)) for k in KINDS]))
+    offered = seed_rows.select(F.col(position).alias("at"), F.explode(fitting).alias("kind"))
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("at"))
+    few = offered.withColumn("_place", place).where(F.col("_place") <= len(KINDS)).collect()
     plan: dict[int, str] = {}
     for kind in KINDS:
-        candidates = (
-            seed_rows.where(suitable(kind, F.col("gold"))).select(position)
-            .orderBy(position).limit(len(KINDS)).collect()
-        )
-        free = [r[0] for r in candidates if r[0] not in plan]
+        free = sorted(r["at"] for r in few if r["kind"] == kind and r["at"] not in plan)
         if free:
             plan[free[0]] = kind
     return plan

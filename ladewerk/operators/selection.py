@@ -8,6 +8,7 @@ and full copies, which are interchangeable, are taken by number.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,6 +20,7 @@ _KEY_BITS = 60
 _STEP_BITS = 15  # at most 32,768 counts reach the driver per step
 _FEW_ROWS = 10_000  # so many keys may be brought to the driver
 _COPIES_PER_ROW = 10_000
+_WINDOW_KEYS = 500_000  # so many places near a cut may be brought to the driver
 
 
 def half_even(x: float) -> int:
@@ -53,21 +55,102 @@ def _find_cut(keys: DataFrame, n: int) -> Cut:
     return Cut(prefix, n - taken, equal)
 
 
-def _content(df: DataFrame) -> Column:
-    return F.to_json(F.struct(*[F.col(c) for c in df.columns]), {"ignoreNullFields": "false"})
+def _content(columns: list[str]) -> Column:
+    return F.to_json(F.struct(*[F.col(c) for c in columns]), {"ignoreNullFields": "false"})
 
 
 def _content_key(df: DataFrame, seed: int) -> Column:
-    return order_key(seed, _content(df))
+    return order_key(seed, _content(df.columns))
 
 
-def seeded_place(df: DataFrame, seed: int, id_column: str = "id", tag: str = "") -> Column:
-    """Key of the seeded order: from the id, or from the content without one."""
+def seeded_place(
+    df: DataFrame, seed: int, id_column: str = "id", tag: str = "", columns: list[str] | None = None
+) -> Column:
+    """Key of the seeded order: from the id, or from the content (of `columns`) without one."""
     return order_key(
-        seed, F.lit(tag), F.coalesce(F.col(id_column).cast("string"), _content(df))
+        seed, F.lit(tag), F.coalesce(F.col(id_column).cast("string"), _content(columns or df.columns))
     )
 
 
+def _window(rank: int, n: int) -> tuple[int, int] | None:
+    """Between which keys the rank-th of n lies, but for about one chance in 10^9: places
+    are uniform hashes. None if too many keys lie there to be brought to the driver."""
+    share = rank / n
+    spread = 6 * math.sqrt(share * (1 - share) / n) + 16 / n
+    if 2 * spread * n > _WINDOW_KEYS:
+        return None
+    top = 1 << _KEY_BITS
+    return max(0, int((share - spread) * top)), min(top, int((share + spread) * top))
+
+
+def _place_of(rank: int, before: int, keys: list[tuple[int, int]]) -> int | None:
+    """The key up to which just `rank` rows lie, of sorted (key, rows) and `before` rows
+    ahead of them; None if there is none among them."""
+    for key, rows in sorted(keys):
+        before += rows
+        if before >= rank:
+            return key if before == rank else None
+    return None
+
+
+def find_places(
+    rows: DataFrame, n_sampled: int, sample: int | None, n_kept: int, ranks: list[int]
+) -> tuple[int | None, list[int]] | None:
+    """(the last sample place that is taken, the places of `ranks`), in one pass.
+
+    `rows` hold `_sample`, the place in the order that a sample of `sample` of `n_sampled`
+    rows is taken by (null where a row is always kept), and `_place`, the place in the order
+    of all n_kept rows that are kept. Where each cut lies is known beforehand to about a
+    square root of the rows, so only the keys near it come to the driver, with those rows'
+    other places, and counts of all else. None if a key is not found so (rows share it, or
+    there are too many): it then takes narrowing step by step.
+    """
+    taken = _window(sample, n_sampled) if sample is not None else (0, 0)
+    near = [_window(rank, n_kept) for rank in ranks]
+    if taken is None or None in near:
+        return None
+    unsure = F.lit(False) if sample is None else F.coalesce(F.col("_sample").between(*taken), F.lit(False))
+    out = F.lit(False) if sample is None else F.coalesce(F.col("_sample") > taken[1], F.lit(False))
+    # How many windows begin at or before the place tells which stretch it lies in.
+    edges = sorted({e for low, high in near for e in (low, high + 1)})
+    stretch = F.lit(0)
+    for edge in edges:
+        stretch = stretch + (F.col("_place") >= edge).cast("int")
+    at_cut = F.lit(False)
+    for low, high in near:
+        at_cut = at_cut | F.col("_place").between(low, high)
+    kind = F.when(out, -2).when(unsure, -1).otherwise(stretch)
+    counts = (
+        rows.groupBy(
+            kind.alias("kind"), F.col("_sample").isNotNull().alias("sampled"),
+            F.when(unsure, F.col("_sample")).alias("s"),
+            F.when(unsure | (~out & at_cut), F.col("_place")).alias("p"),
+        ).count().collect()
+    )
+    last = None
+    if sample is not None:
+        before = sum(c["count"] for c in counts if c["sampled"] and c["kind"] >= 0)
+        by_key: dict[int, int] = {}
+        for c in counts:
+            if c["kind"] == -1:
+                by_key[c["s"]] = by_key.get(c["s"], 0) + c["count"]
+        last = _place_of(sample, before, list(by_key.items()))
+        if last is None:
+            return None
+    sure = [c for c in counts if c["kind"] >= 0]
+    late = [(c["p"], c["count"]) for c in counts if c["kind"] == -1 and c["s"] <= last]
+    places = []
+    for rank, (low, high) in zip(ranks, near, strict=True):
+        first = edges.index(low) + 1
+        before = sum(c["count"] for c in sure if c["kind"] < first) + sum(k for p, k in late if p < low)
+        keys = [(c["p"], c["count"]) for c in sure if c["p"] is not None and low <= c["p"] <= high]
+        merged: dict[int, int] = {}
+        for key, k in keys + [(p, k) for p, k in late if low <= p <= high]:
+            merged[key] = merged.get(key, 0) + k
+        places.append(_place_of(rank, before, list(merged.items())))
+    return None if None in places else (last, places)
+
+
 def seeded_split(
     df: DataFrame, n: int, seed: int, id_column: str = "id", tag: str = ""
 ) -> tuple[DataFrame, DataFrame]:
@@ -130,15 +213,43 @@ def in_seeded_order(df: DataFrame, seed: int, id_column: str = "id") -> DataFram
     )
 
 
-def fill_missing_ids(df: DataFrame, seed: int, prefix: str = "bench-") -> DataFrame:
-    """Rows without an id are named by their 0-based place in the seeded order.
+def seeded_parts(
+    df: DataFrame, seed: int, rows_per_part: int = 1_000_000, id_column: str = "id"
+) -> DataFrame:
+    """The shuffled table as numbered partitions of about `rows_per_part` rows, so that a
+    writer's part files hold the seeded order one after another.
+
+    The places are uniform hashes, so equal ranges of them are equal parts, and the rows go
+    straight to the partition of their range; nothing is sampled. One counting pass, a count
+    for each part, makes sure: if an id that very many rows share fills a range to more than
+    twice its share, the ranges are taken from a sample of the rows instead, with the rows
+    of one place spread by their contents.
+    """
+    place = seeded_place(df, seed, id_column)
+    n = df.count()
+    parts = max(1, min(math.ceil(n / rows_per_part), 1 << _STEP_BITS))
+    part = F.shiftright((F.shiftright(place, _KEY_BITS - 30) * parts), 30).cast("int")
+    most = df.groupBy(part.alias("part")).count().agg(F.max("count")).first()[0] or 0
+    if most > 2 * rows_per_part:
+        return in_seeded_order(df, seed, id_column)
+    keyed = df.select("*", place.alias("_place"), _content_key(df, seed).alias("_content"), part.alias("_part"))
+    return keyed.repartitionById(parts, "_part").sortWithinPartitions("_place", "_content").select(*df.columns)
+
+
+def fill_missing_ids(
+    df: DataFrame, seed: int, prefix: str = "bench-", any_missing: bool | None = None
+) -> DataFrame:
+    """Rows without an id are named by their 0-based place in the seeded order; a caller
+    who knows whether there are any saves a pass.
 
     The place is the number of rows in lower hash ranges (a few thousand counts)
     plus the rank inside the range. Rows with an id only count, one group per id,
     and copies are counted before they are ranked, so no task sees a mass of them.
     """
     unnamed = F.col("id").isNull()
-    if df.where(unnamed).limit(1).count() == 0:
+    if any_missing is None:
+        any_missing = df.where(unnamed).limit(1).count() > 0
+    if not any_missing:
         return df
     place = seeded_place(df, seed).alias("_place")
     named_counts = df.where(~unnamed).select(place).groupBy("_place").agg(F.count("*").alias("_copies"))

@@ -57,6 +57,8 @@ FROM conf_texts"""
 
 _RETRAIN_ORDER = f"('0x' || substr(md5('{Q.SEED}||' || id || '|order'), 1, 15))::BIGINT"
 
+_STEPS = ", ".join(f"({i}, {O._q(m)})" for i, m in enumerate(Q.CANDIDATES))
+
 ORACLES: dict[str, str] = {
     "gate_report": O._with(O.SCORED, f"{O._gate(_VERSIONED)} {_RANK}"),
     "gate_winner": O._with(O.SCORED, f"{O._gate(_VERSIONED)} {_RANK} LIMIT 1"),
@@ -225,13 +227,32 @@ ORACLES: dict[str, str] = {
         requested_model NOT IN ('click', 'newer') AS fell_back
         FROM (SELECT event_id, CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'newer' ELSE event_type END
               AS requested_model FROM events)""",
+    # A candidate is right where its lines, written canonically, are the held-out label.
     "retrain_cycle": O._with(
-        f"""{O.REVIEWS},
-        pool AS (SELECT id::VARCHAR AS id, text FROM trusted WHERE chosen IS NOT NULL),
+        f"""{_PREDICTED_TEXT},{O.REVIEWS[len(O.CONF_TEXT) + 1:]},{_PRED_LISTS},
+        pool AS (SELECT id, text, chosen AS label FROM trusted WHERE chosen IS NOT NULL),
         cut AS (SELECT *, row_number() OVER (ORDER BY {_RETRAIN_ORDER}) <= greatest(1, round_even((count(*) OVER ()) * 0.2::DOUBLE, 0)) AS held FROM pool),
         sizes AS (SELECT count(*) FILTER (held) AS n_benchmark,
-          count(*) FILTER (NOT EXISTS (SELECT 1 FROM cut h WHERE h.held AND h.text = cut.text)) AS n_train FROM cut)""",
-        """SELECT step::INT AS step, rules, decision, n_train, n_benchmark FROM sizes, (VALUES
-        (0, 'clean', 'PROMOTED_BASELINE'), (1, 'full', 'PROMOTED'), (2, 'clean', 'KEPT')) v(step, rules, decision)""",
+          count(*) FILTER (NOT EXISTS (SELECT 1 FROM cut h WHERE h.held AND h.text = cut.text)) AS n_train FROM cut),
+        answers AS (SELECT k.model_name, k.kind NOT IN ('error', 'broken') AND coalesce(p.predicted, '[]') = c.label AS ok
+          FROM cut c JOIN kinds k USING (id) LEFT JOIN pred_lists p USING (id, model_name) WHERE c.held),
+        steps AS (SELECT v.step, v.model, 100.0::DOUBLE * count(*) FILTER (ok) / count(*) AS pct
+          FROM answers JOIN (VALUES {_STEPS}) v(step, model) ON v.model = model_name GROUP BY ALL),
+        ruled AS (SELECT *, max(pct) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best FROM steps)""",
+        """SELECT step::INT AS step, model, CASE WHEN best IS NULL THEN 'PROMOTED_BASELINE' WHEN pct > best THEN 'PROMOTED' ELSE 'KEPT' END AS decision,
+        round(pct, 6) AS candidate_pct, round(best, 6) AS incumbent_pct, n_train, n_benchmark FROM ruled, sizes""",
+    ),
+    "seed_file_load": O._with(
+        f"{O.CONF_TEXT},{O.FIRST_PLAN},{O._corrupted('plan')},ranks AS (SELECT id, row_number() OVER (ORDER BY id) AS rk FROM gold)",
+        f"""SELECT any_value(rk) AS id, any_value(t.text) AS text, {O._list_json(value='b.lj')} AS parsed,
+        CASE WHEN any_value(b.kind) IS NOT NULL THEN any_value(gold_json) END AS corrected, true AS is_reviewed, false AS exclude
+        FROM bad_lines b JOIN gold USING (id) JOIN ranks USING (id) JOIN conf_texts t USING (id) GROUP BY id""",
+    ),
+    "gate_from_files": O._with(O.SCORED, f"{O._gate(_VERSIONED)} {_RANK}"),
+    "breakdown_from_files": O._with(O.SCORED, _breakdown("judged")),
+    "pool_sources": O._with(
+        _PREP, "SELECT CASE WHEN is_real THEN 'real' ELSE 'synthetic' END AS source, count(*) AS n, count(DISTINCT id) AS n_ids FROM shuffled GROUP BY ALL"
     ),
+    "seeded_export": O._with(_PREP, "SELECT rk - 1 AS row_idx, id, text FROM shuffled"),
+    "synth_count": "SELECT count(*) AS written, count(*) AS n FROM orders",
 }

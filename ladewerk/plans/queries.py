@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladewerk.functions.binding import computed
-from ladewerk.functions.json_text import items_json, lines_json
+from ladewerk.functions.json_text import items_json, lines_json, string_text
 from ladewerk.functions.text import count_hint, preview, prompt
 from ladewerk.functions.validation import (
     date_ladder_ok, guard_references, in_vocabulary, one_reference, parse_items, parse_lines,
@@ -19,16 +19,20 @@ from ladewerk.operators import extract as X
 from ladewerk.operators import gate, generate, label_errors, review, scoring
 from ladewerk.operators.contamination import exclude_texts
 from ladewerk.operators.registry import registry_table, resolve_models
+from ladewerk.operators.selection import seeded_parts
 from ladewerk.plans import jobs
 from ladewerk.plans import tables as B
 from ladewerk.schema import EXAMPLES_EXPORT, GATE_COLUMNS, LABELLED
 from ladewerk.session import work_folder
 from ladewerk.sources import files, stores
+from ladewerk.sources.positions import numbered_lines
 
 SEED = 7
 FRACTION_PERMILLE = 250
 NOW = "2026-01-01 00:00:00"
 DECISIONS = [("newer", "older"), ("older", "newer"), ("newer", "newer"), ("production", None)]
+#: Models that try to replace the incumbent, in turn.
+CANDIDATES = ["older", "newer", "older", "production"]
 REGISTRY = [
     {"name": "click", "base": "base-a", "has_adapter": True},
     {"name": "newer", "base": "base-b", "has_adapter": True},
@@ -120,17 +124,10 @@ def outcome_counts(spark, folder):
 
 
 def gate_decisions(spark, folder):
-    scored = _scored(spark, folder)
-    out = None
-    for candidate, incumbent in DECISIONS:
-        old = scored.where(F.col("model_name") == incumbent) if incumbent else None
-        one = gate.gate_decision(scored.where(F.col("model_name") == candidate), old).select(
-            F.lit(candidate).alias("candidate"), "decision",
-            F.round("candidate_pct", 6).alias("candidate_pct"),
-            F.round("incumbent_pct", 6).alias("incumbent_pct"),
-        )
-        out = one if out is None else out.unionByName(one)
-    return out
+    return gate.gate_decisions(_scored(spark, folder), DECISIONS).select(
+        "candidate", "decision", F.round("candidate_pct", 6).alias("candidate_pct"),
+        F.round("incumbent_pct", 6).alias("incumbent_pct"),
+    )
 
 
 # --- JSON and validation --------------------------------------------------------
@@ -280,6 +277,24 @@ def review_load_plan(spark, folder):
     return label_errors.injected_errors(planned).select("row_idx", "kind")
 
 
+def seed_file_load(spark, folder):
+    """A seed file of many parts, with blank lines, read by line number into the queue."""
+    where = _new_folder(spark, "seed")
+    rows = _seed_rows(spark, folder).orderBy("id")
+    line = F.concat(
+        F.lit('{"id": '), string_text(F.format_string("seed-%03d", "id")), F.lit(', "text": '), string_text(F.col("text")), F.lit(', "gold": '), lines_json("gold"), F.lit("}"),
+    )
+    blank = F.when(F.col("id") % 7 == 0, F.lit("  ")).when(F.col("id") % 5 == 0, F.lit(""))
+    rows.select(F.explode(F.array_compact(F.array(blank, line))).alias("value")).write.text(f"{where}/seed.jsonl")
+    store = stores.ReviewStore(spark, f"{where}/reviews")
+    jobs.load_reviews(
+        spark, f"{where}/seed.jsonl", store, f"{where}/work", now=F.lit(NOW).cast("timestamp"), auto_review=True
+    )
+    return store.read().select(
+        "id", "text", "parsed", "corrected", F.col("reviewed").isNotNull().alias("is_reviewed"), "exclude"
+    )
+
+
 def _fraction(spark, folder):
     return label_errors.with_fraction(_seed_rows(spark, folder), FRACTION_PERMILLE, SEED)
 
@@ -325,6 +340,13 @@ def synth_store_round_trip(spark, folder):
     return files.read_jsonl(spark, f"{where}/jsonl", EXAMPLES_EXPORT)
 
 
+def synth_count(spark, folder):
+    """Rows of the stored table, by its count and by what its writer counted."""
+    store = stores.ExampleStore(spark, _new_folder(spark, "examples"))
+    written = store.replace(_examples(spark, folder))
+    return spark.createDataFrame([(written, store.count())], "written bigint, n bigint")
+
+
 def synth_invariants(spark, folder):
     """Violations in generated labels; every count must be zero."""
     e = F.col("lines")
@@ -381,6 +403,23 @@ def contamination_left(spark, folder):
     return kept.agg(F.count("*").alias("kept"), F.count_distinct("text").alias("kept_texts"))
 
 
+def seeded_export(spark, folder):
+    """Training rows written in seeded order as numbered parts, and read back by line."""
+    made = _prepared(spark, folder, synthetic_ratio=2.5, holdout_count=0)
+    shuffled = seeded_parts(made.pool.select("id", "text", "parsed_json"), SEED, rows_per_part=1_000)
+    path = _new_folder(spark, "export") + "/train.jsonl"
+    files.write_jsonl(shuffled, path)
+    lines = numbered_lines(spark, path)
+    row = F.from_json("line", LABELLED)
+    return lines.select("row_idx", row.getField("id").alias("id"), row.getField("text").alias("text"))
+
+
+def pool_sources(spark, folder):
+    """Where the rows of the pool come from, before the benchmark is held out."""
+    pool = _prepared(spark, folder, synthetic_ratio=2.5, holdout_count=0).pool
+    return pool.groupBy("source").agg(F.count("*").alias("n"), F.count_distinct("id").alias("n_ids"))
+
+
 def sft_rows(spark, folder):
     return jobs.sft_rows(_prepared(spark, folder, synthetic_ratio=2.5).train, SEED)
 
@@ -479,6 +518,23 @@ def gate_from_store(spark, folder):
     return _rounded(gate.comparison_table(store.scored().select(*GATE_COLUMNS.fieldNames())))
 
 
+def _gate_files(spark, folder):
+    where = _new_folder(spark, "gate")
+    scored = _scored(spark, folder).select(*GATE_COLUMNS.fieldNames(), "id", "expected", "predicted")
+    files.write_gate_files(scored, where)
+    return jobs.gate_files(spark, f"{where}/*.jsonl")
+
+
+def gate_from_files(spark, folder):
+    """Models ranked from scored JSON-lines files, one per model."""
+    return _rounded(_gate_files(spark, folder)[1])
+
+
+def breakdown_from_files(spark, folder):
+    """Category counts of each file, the model named by the file."""
+    return _gate_files(spark, folder)[0]
+
+
 def export_round_trip(spark, folder):
     """Trusted labels through a JSON-lines file."""
     path = _new_folder(spark, "labels") + "/jsonl"
@@ -487,30 +543,31 @@ def export_round_trip(spark, folder):
 
 
 def retrain_cycle(spark, folder):
-    """Labels, benchmark, training set without it, candidate against incumbent."""
-    store = stores.PredictionStore(spark, _new_folder(spark, "retrain"))
-    real = review.trusted_labels(_reviews(spark, folder))
-    labels = _new_folder(spark, "trusted") + "/table"
-    real.write.parquet(labels)
-    real = spark.read.schema(LABELLED).parquet(labels)
+    """The loop, four times: labels, training set around the fixed benchmark, a candidate's
+    answers recorded once, the decision against the incumbent."""
+    where = _new_folder(spark, "retrain")
+    store = stores.PredictionStore(spark, f"{where}/predictions")
+    data = stores.DatasetFolder(spark, f"{where}/dataset")
+    reviews = _reviews(spark, folder)
     nothing = spark.createDataFrame([], LABELLED)
-    first = jobs.prepare_dataset(real, nothing, holdout_percent=20.0, seed=SEED)
-    fixed_path = _new_folder(spark, "benchmark") + "/table"
-    first.benchmark.write.parquet(fixed_path)
-    fixed = spark.read.parquet(fixed_path)
-    again = jobs.prepare_dataset(
-        real, nothing, seed=SEED, fixed_benchmark=fixed, reuse_benchmark=True
+    first = jobs.prepare_dataset(
+        review.trusted_labels(reviews), nothing, holdout_percent=20.0, seed=SEED
     )
+    data.write(first.train, first.benchmark)
+    confirmed = confirmations(spark, folder)
     steps = []
-    for rules in ("clean", "full", "clean"):
-        raw = X.predictions(X.extract(fixed, rules), "candidate", "v1")
-        scored, decision = jobs.retrain_decision(raw, store.incumbent())
-        row = decision.first()
-        if row["decision"].startswith("PROMOTED"):
-            store.promote(scored)
-        steps.append((len(steps), rules, row["decision"], again.counts["train"], fixed.count()))
+    for model in CANDIDATES:
+        made = B.predictions(confirmed).where(F.col("model_name") == model).drop("expected", "text")
+        done = jobs.retrain(
+            reviews, nothing, data, store,
+            lambda train, fixed, made=made: scoring.attach_gold(made, fixed.select("id", "expected")).withColumn("text", F.lit(None).cast("string")),
+            labels_at=f"{where}/labels-{len(steps)}", seed=SEED,
+        )
+        pcts = [None if p is None else round(p, 6) for p in (done.candidate_pct, done.incumbent_pct)]
+        steps.append((len(steps), model, done.decision, *pcts, done.n_train, done.n_benchmark))
     return spark.createDataFrame(
-        steps, "step int, rules string, decision string, n_train bigint, n_benchmark bigint"
+        steps, "step int, model string, decision string, candidate_pct double, incumbent_pct double, "
+        "n_train bigint, n_benchmark bigint",
     )
 
 
@@ -518,7 +575,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         gate_report, gate_winner, gate_event_log, breakdown_event_log, score_rows, score_json_text,
-        score_attached_gold,         category_breakdown, outcome_counts, gate_decisions, canonical_json, message_text,
+        score_attached_gold, category_breakdown, outcome_counts, gate_decisions, canonical_json, message_text,
         validate_labels, review_row_validity, decode_items, reference_guard, label_rules, prompts,
         trusted_export, trusted_export_counts, trusted_document_labels, review_queue,
         review_queue_filtered, review_search, chat_search, next_unreviewed, review_load,
@@ -529,5 +586,6 @@ QUERIES = {
         extract_confirmations, extract_clean, extractor_gate, parse_requests,
         parse_batch, dataset_folder, extract_external,
         gate_from_store, export_round_trip, retrain_cycle,
+        seed_file_load, seeded_export, gate_from_files, breakdown_from_files, pool_sources, synth_count,
     )
 }

@@ -64,3 +64,15 @@ def test_decision(spark, candidate, incumbent, decision):
 def test_counts(spark):
     df = frame(spark, [("m", "v", c, None, None) for c in ("CORRECT", "ERROR", "ERROR", None)])
     assert tuple(gate.outcome_counts(df).first()) == ("m", "v", 1, 2, 4)
+
+
+def test_decisions_of_many_pairs_are_those_of_each(spark):
+    rows = [("a", "CORRECT"), ("a", "ERROR"), ("a", None), ("b", "CORRECT"), ("d", "ERROR")]
+    p = spark.createDataFrame(rows, "model_name string, category string")
+    pairs = [("a", "b"), ("b", "a"), ("b", "b"), ("a", None), ("none", None), ("none", "d"), ("a", "none"), ("b", "a"), ("d", "none")]
+    found = sorted((tuple(r) for r in gate.gate_decisions(p, pairs).collect()), key=str)
+    expected = []
+    for candidate, incumbent in pairs:
+        old = None if incumbent is None else p.where(F.col("model_name") == incumbent)
+        expected.append((candidate, *gate.gate_decision(p.where(F.col("model_name") == candidate), old).first()))
+    assert found == sorted(expected, key=str)

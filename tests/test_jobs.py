@@ -3,8 +3,12 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from ladewerk.operators import review
+from ladewerk.operators.extract import predictions
+from ladewerk.operators.selection import sample_exact, seeded_split
 from ladewerk.plans import jobs
 from ladewerk.schema import INSTRUCTION, LABELLED
+from ladewerk.sources import stores
 
 ONE = '[{"quantity": 1, "unit": "skids", "leg": "pickup", "rate": 2}]'
 TWO = ONE[:-1] + ", " + ONE[1:]
@@ -54,6 +58,37 @@ def test_sizes(spark, n_real, n_syn, options, want):
     assert p.benchmark.count() == want[3]
 
 
+def test_preparing_takes_two_passes(spark, tmp_path):
+    """Five jobs at most before the first row, and the rows that step by step selection gives."""
+    labelled(spark, "real", 200).write.parquet(str(tmp_path / "real"))
+    synthetic(spark, 3000).write.parquet(str(tmp_path / "syn"))
+    real, syn = spark.read.parquet(str(tmp_path / "real")), spark.read.parquet(str(tmp_path / "syn"))
+    spark.sparkContext.setJobGroup("prepare", "prepare")
+    try:
+        p = jobs.prepare_dataset(real, syn, seed=5, max_train=400)
+        ran = spark.sparkContext.statusTracker().getJobIdsForGroup("prepare")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(ran) <= 5
+    pool = real.withColumn("source", F.lit("real")).unionByName(
+        sample_exact(syn, 800, 5).withColumn("source", F.lit("synthetic")), allowMissingColumns=True
+    )
+    held, rest = seeded_split(pool, 150, 5)
+    assert texts(p.benchmark, "text") == texts(held, "text")
+    assert texts(p.train, "input") == texts(seeded_split(rest, 400, 5)[0], "text")
+    assert p.counts == {"real": 200, "synthetic_used": 800, "train": 400, "benchmark": 150}
+
+
+def test_shared_ids_and_rows_without_one(spark):
+    rows = [("same", f"a{k}", ONE) for k in range(60)] + [(None, f"b{k}", TWO) for k in range(60)] + [(f"id{k}", f"c{k}", ONE) for k in range(30)]
+    real = spark.createDataFrame(rows, LABELLED)
+    p = jobs.prepare_dataset(real, synthetic(spark, 900), seed=2, holdout_count=70, max_train=300)
+    assert (p.train.count(), p.benchmark.count()) == (300, 70)
+    assert p.counts == {"real": 150, "synthetic_used": 600, "train": 300, "benchmark": 70}
+    assert p.benchmark.where("id IS NULL").count() == 0
+    assert not set(texts(p.train, "input")) & set(texts(p.benchmark, "text"))
+
+
 def test_fixed_benchmark_never_reaches_training(spark):
     real, syn = labelled(spark, "real", 20), synthetic(spark, 80)
     first = jobs.prepare_dataset(real, syn, seed=3)
@@ -108,3 +143,38 @@ def test_retrain_decision(spark):
     assert jobs.retrain_decision(raw, scored)[1].first()["decision"] == "KEPT"
     better = raw.where("id = 1")
     assert tuple(jobs.retrain_decision(better, scored)[1].first()) == ("PROMOTED", 100.0, 50.0)
+
+
+def test_retrain_needs_a_benchmark_and_promotes_only_better(spark, tmp_path):
+    reviews = spark.createDataFrame(
+        [(i, f"text {i % 30}", ONE, None, "2026-01-01", i % 10 == 9) for i in range(60)],
+        "id bigint, text string, parsed string, corrected string, reviewed string, exclude boolean",
+    ).withColumn("reviewed", F.col("reviewed").cast("timestamp"))
+    nothing = spark.createDataFrame([], LABELLED)
+    data = stores.DatasetFolder(spark, str(tmp_path / "data"))
+    store = stores.PredictionStore(spark, str(tmp_path / "predictions"))
+    asked = []
+
+    def answer(share):
+        def give(train, fixed):
+            asked.append((train.count(), {r["text"] for r in fixed.collect()} & {r["input"] for r in train.collect()}))
+            right = F.crc32(F.col("id").cast("binary")) % 100 < share
+            answered = fixed.select("*", F.when(right, F.col("expected")).alias("items"), F.lit(None).cast("double").alias("duration"), F.when(~right, "X: no").alias("error"))
+            return predictions(answered, "m", "v1")
+
+        return give
+
+    def turn(share):
+        return jobs.retrain(reviews, nothing, data, store, answer(share), labels_at=str(tmp_path / f"labels{len(asked)}"), seed=3)
+
+    with pytest.raises(FileNotFoundError, match="benchmark"):
+        turn(50)
+    assert not asked and store.incumbent() is None
+    made = jobs.prepare_dataset(review.trusted_labels(reviews), nothing, holdout_count=20, seed=3)
+    data.write(made.train, made.benchmark)
+    done = [turn(share) for share in (60, 60, 100, 60)]
+    assert [d.decision for d in done] == ["PROMOTED_BASELINE", "KEPT", "PROMOTED", "KEPT"]
+    assert done[3].incumbent_pct == 100.0 and done[1].candidate_pct == done[1].incumbent_pct
+    assert store.incumbent().where("category = 'CORRECT'").count() == 20 and len(store.snapshots()) == 2
+    # None of the benchmark's texts is trained on, and the rows counted are those written.
+    assert all(n == done[0].n_train and not shared for n, shared in asked)

@@ -3,13 +3,15 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ladewerk.operators import extract, gate, review, scoring
+from ladewerk.operators import extract, gate, label_errors, review, scoring
 from ladewerk.operators.generate import generate
 from ladewerk.operators.review import trusted
 from ladewerk.plans import tables
-from ladewerk.schema import GATE_COLUMNS, PREDICTIONS, REVIEWS
+from ladewerk.schema import GATE_COLUMNS, LINES, PREDICTIONS, REVIEWS
 
 
 def plan(df):
@@ -71,3 +73,28 @@ def test_top_k_is_not_a_full_sort(spark):
     from ladewerk.sources.stores import ordered_sample
 
     assert "TakeOrderedAndProject" in plan(ordered_sample(generate(spark, 10, 1), 5))
+
+
+def test_first_suitable_rows_take_one_scan(spark, stored):
+    rows = stored(T.StructType([T.StructField("row_idx", T.LongType()), T.StructField("gold", LINES)]), "seed")
+    jobs = []
+    tracker, group = spark.sparkContext.statusTracker(), "plan-one-scan"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert label_errors.plan_first_suitable(rows) == {}
+        jobs = tracker.getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) <= 2  # the pass, and what it hands on
+
+
+def test_first_suitable_rows_are_cut_before_the_exchange(spark, stored):
+    rows = stored(T.StructType([T.StructField("at", T.LongType()), T.StructField("kind", T.StringType())]), "offered")
+    place = F.row_number().over(Window.partitionBy("kind").orderBy("at"))
+    p = plan(rows.withColumn("_place", place).where("_place <= 4"))
+    assert p.index("Final") < p.index("Exchange") < p.index("Partial")
+
+
+def test_decisions_of_many_pairs_read_once(spark, stored):
+    pairs = [("a", "b"), ("b", "a"), ("a", None), ("c", "a"), ("a", "c")]
+    assert plan(gate.gate_decisions(stored(PREDICTIONS, "d"), pairs)).count("FileScan") == 1

@@ -5,7 +5,7 @@ from conftest import FULL, line
 from pyspark.sql import functions as F
 
 from ladewerk.operators.scoring import attach_gold, is_accurate, score
-from ladewerk.schema import CATEGORIES, LINE_FIELDS, LINES
+from ladewerk.schema import CATEGORIES, LINE, LINE_FIELDS, LINES
 
 E = [line(**FULL)]
 A, B = line(quantity=1, rate=10), line(quantity=2, unit="skids", leg="delivery", rate=20)
@@ -95,16 +95,30 @@ def test_input_columns_are_kept_and_filters_work(spark):
     assert out.where(is_accurate(F.col("category"))).count() == 1
 
 
-@pytest.mark.parametrize("limit", [1000, 0])
+@pytest.mark.parametrize("limit", [1 << 20, 0])
 def test_gold_stored_once(spark, limit):
     gold = spark.createDataFrame([("1", [A]), ("2", [A, B]), ("9", [])], f"id string, expected {LINES.simpleString()}")
     rows = [("1", "m", [A])] * 40 + [("2", "m", [B, A]), ("3", "m", [A])]
     raw = spark.createDataFrame(rows, f"id string, model_name string, predicted {LINES.simpleString()}")
-    out = score(attach_gold(raw, gold, broadcast_rows=limit))
+    out = score(attach_gold(raw, gold, broadcast_bytes=limit))
     got = {(r["id"], r["category"]): r["n"] for r in out.groupBy("id", "category").agg(F.count("*").alias("n")).collect()}
     assert got == {("1", "CORRECT"): 40, ("2", "UNORDERED"): 1}
 
 
+def test_few_but_long_gold_lists_are_not_broadcast(spark):
+    long = spark.range(3).select(
+        F.col("id").cast("string").alias("id"),
+        F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda i: F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(LINE.fields, A, strict=True)])).alias("expected"),
+    )
+    raw = spark.createDataFrame([("1", [A])] * 5, f"id string, predicted {LINES.simpleString()}")
+    def joined(limit):
+        out = attach_gold(raw, long, broadcast_bytes=limit)
+        assert out.count() == 5
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    assert "SortMergeJoin" in joined(100_000) and "SortMergeJoin" not in joined(100 << 20)
+
+
 def brute_category(exp, pred):
     def field(x, f):
         return x[LINE_FIELDS.index(f)]
