@@ -53,9 +53,10 @@ def _hash(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def _partnered(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """`left` with `_maybe`: whether its key can be in `right`, by a bitmap of its keys."""
-    word, bit = F.pmod(F.shiftright(_hash(keys), 6), F.lit(WORDS)), F.pmod(_hash(keys), F.lit(64))
+def partnered(left: DataFrame, right: DataFrame, keys: list[str], words: int = WORDS) -> DataFrame:
+    """`left` with `_maybe`: whether its key can be in `right`, by a bitmap of its keys of
+    `words` words of 64 bits, at most so many rows of two numbers."""
+    word, bit = F.pmod(F.shiftright(_hash(keys), 6), F.lit(words)), F.pmod(_hash(keys), F.lit(64))
     one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int"))
     bits = right.select(word.alias("_word"), one.alias("_one")).groupBy("_word").agg(F.bit_or("_one").alias("_bits"))
     looked = left.withColumn("_word", word).join(F.broadcast(bits), "_word", "left")
@@ -87,7 +88,7 @@ def join_unique(
         right_bytes = right.agg(F.sum(row_bytes(right))).first()[0] or 0
     if right_bytes <= broadcast_bytes:
         return left.join(F.broadcast(right), keys, how)
-    looked = _partnered(left, right, keys)
+    looked = partnered(left, right, keys)
     able = looked.where("_maybe").drop("_maybe")
     salts = able.sparkSession.createDataFrame(hot_salts(able, keys, hot_rows), "_h bigint, _salts int")
     # At most HOT_KEYS rows.

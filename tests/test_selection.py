@@ -118,7 +118,7 @@ def test_half_the_pool_on_one_text(spark):
     assert ids(kept) == [i for i in range(1, 20_000, 2) if i % 50 != 1]
     salts = joins.hot_salts(pool, ["text"], hot_rows=500)
     assert len(salts) == 1 and 18 <= salts[0][1] <= 22  # measured, not fixed
-    looked = joins._partnered(pool, held, ["text"])
+    looked = joins.partnered(pool, held, ["text"])
     able = looked.where("_maybe").count()
     assert 10_400 <= able < 10_800  # all that match, and few others
 
