@@ -35,6 +35,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete what a finished step no longer needs."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

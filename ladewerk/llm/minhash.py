@@ -26,10 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, shared_folder, small_batches, texts
+from ladewerk.llm.common import cut, drop_folder, shared_folder, small_batches, texts
 from ladewerk.llm.components import components
 from ladewerk.llm.simhash import shingle_set, words_of
 
@@ -40,19 +40,22 @@ BLOCK, CLASSES = 512, 32
 REMEMBERED = 100_000
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder and read from there."""
-    path = f"{shared_folder(df.sparkSession)}/minhash-{uuid.uuid4().hex}/{name}"
+def new_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/minhash-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """df written to a folder and read from there."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _met(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+def merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     """A join that is the same at every size of its sides."""
     return left.join(right.hint("merge"), on, how)
 
 
-def _digest(values: np.ndarray) -> bytes | None:
+def set_digest(values: np.ndarray) -> bytes | None:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
 
 
@@ -63,7 +66,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
         for batch in batches:
             sets = [np.sort(shingle_set(words_of(t), size).view(np.int64)) for t in texts(batch.column("text"))]
             columns = [
-                batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array(map(_digest, sets), pa.binary()),
+                batch.column("doc_id"), pa.array(map(len, sets), pa.int64()), pa.array(map(set_digest, sets), pa.binary()),
                 pa.array([s[:SKETCH] for s in sets], pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "sketch"])
@@ -83,7 +86,7 @@ def inverted_lists(kept: DataFrame, similarity: float) -> DataFrame:
     where more than one node holds the value."""
     held = kept.select("node", "n", F.explode("sketch").alias("value"))
     shared = held.groupBy("value").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    rows = _met(held, shared, "value")
+    rows = merge_join(held, shared, "value")
     # A node's other values are its own alone: they come first, and need no list.
     found = rows.groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("values"))
     own = F.least("n", F.lit(SKETCH)) - F.size("values")
@@ -110,7 +113,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             digests, sets = [], []
             for text in texts(batch.column("text")):
                 values = np.sort(shingle_set(words_of(text), size).view(np.int64))
-                digest = _digest(values)
+                digest = set_digest(values)
                 if digest is None or digest in given:
                     continue
                 at = int.from_bytes(digest[:3], "big")
@@ -125,7 +128,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
     read = small_batches(docs).select("text").mapInArrow(run, "digest binary, whole array<long>")
     # Copies in different tasks give the same set.
-    return _met(read, nodes.select("digest", "node"), "digest").groupBy("node").agg(F.first("whole").alias("whole"))
+    return merge_join(read, nodes.select("digest", "node"), "digest").groupBy("node").agg(F.first("whole").alias("whole"))
 
 
 def _alike(both: Column, a: Column, b: Column, similarity: float) -> Column:
@@ -137,7 +140,7 @@ def _near(pairs: DataFrame, held: DataFrame, whole: DataFrame, similarity: float
     """The pairs (a, b) whose sets are similar, judged by their sketches and, where a sketch
     is not the whole set, by the whole sets."""
     for side in ("a", "b"):
-        pairs = _met(pairs, held.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
+        pairs = merge_join(pairs, held.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}")), side)
     union = F.slice(F.array_sort(F.array_union("s_a", "s_b")), 1, SKETCH)
     judged = pairs.select(
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("both"),
@@ -146,7 +149,7 @@ def _near(pairs: DataFrame, held: DataFrame, whole: DataFrame, similarity: float
     judged = cut(judged.where((F.col("known") & _alike(F.col("both"), F.col("n_a"), F.col("n_b"), similarity)) | (~F.col("known") & (F.col("seen") >= FLOOR * SKETCH))))
     rest = judged.where("NOT known").select("a", "b", "n_a", "n_b")
     for side in ("a", "b"):
-        rest = _met(rest, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
+        rest = merge_join(rest, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
     both = F.size(F.array_intersect("w_a", "w_b"))
     confirmed = rest.where(_alike(both, F.col("n_a"), F.col("n_b"), similarity)).select("a", "b")
     return judged.where("known").select("a", "b").unionByName(confirmed)
@@ -159,25 +162,25 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
 
 def _open_lists(lists: DataFrame, of: DataFrame) -> DataFrame:
     """lists with each node's component, without lists that lie in one component."""
-    rows = _met(lists, of, "node", "left").select("value", "node", "n", F.coalesce("component", "node").alias("component"))
+    rows = merge_join(lists, of, "node", "left").select("value", "node", "n", F.coalesce("component", "node").alias("component"))
     many = rows.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("value")
-    return _met(rows, many, "value")
+    return merge_join(rows, many, "value")
 
 
 def _spokes(rows: DataFrame, weight: DataFrame, similarity: float) -> DataFrame:
     """Pairs of each list's hub with the list's nodes of other components."""
-    met = _met(rows, _hubs(rows, weight), "value").where("component <> c_hub")
+    met = merge_join(rows, _hubs(rows, weight), "value").where("component <> c_hub")
     return _pairs(met.select(F.col("hub").alias("x"), F.col("n_hub").alias("n_x"), F.col("node").alias("y"), F.col("n").alias("n_y")), similarity)
 
 
 def _hubs(rows: DataFrame, weight: DataFrame) -> DataFrame:
     """(value, hub, n_hub, c_hub): each list's node of most weight, of equal ones the smallest."""
-    weighted = _met(rows, weight, "node", "left")
+    weighted = merge_join(rows, weight, "node", "left")
     heavy = F.struct((-F.coalesce("weight", F.lit(0))).alias("less"), F.col("node").alias("hub"), F.col("n").alias("n_hub"), F.col("component").alias("c_hub"))
     return weighted.groupBy("value").agg(F.min(heavy).alias("first")).select("value", "first.hub", "first.n_hub", "first.c_hub")
 
 
-def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity: float, folder: str) -> DataFrame:
     """Rows that decide which nodes of a list can be near though neither is near its hub.
 
     Let X and Y be what tells nodes x and y from the hub (shingles that one has and the other
@@ -188,16 +191,16 @@ def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity:
     again under the rarest of their differences, for each class of |Y| as many as decide.
     """
     far = (1 - similarity) / (1 + similarity)
-    met = _met(rows, hubs, "value").where("node <> hub").select("hub", "n_hub", "c_hub", "node", "n", "component").distinct()
+    met = merge_join(rows, hubs, "value").where("node <> hub").select("hub", "n_hub", "c_hub", "node", "n", "component").distinct()
     for side in ("hub", "node"):
-        met = _met(met, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
+        met = merge_join(met, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
     apart = F.concat(F.array_except("w_node", "w_hub"), F.array_except("w_hub", "w_node"))
     base = ["hub", "node", "n", "n_hub", "component", "near_hub", "size"]
     single = met.select("hub", "node", "n", "n_hub", "component", (F.col("component") == F.col("c_hub")).alias("near_hub"), F.size(apart).alias("size"), F.explode(apart).alias("change"))
-    single = _stored(single, "changes")
+    single = stored(single, f"{folder}/changes")
     shared = single.groupBy("hub", "change").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     # The changes that no other node of the hub has come first, and need no list.
-    found = _met(single, shared, ["hub", "change"]).groupBy(*base).agg(F.sort_array(F.collect_list(F.struct("holders", "change"))).alias("changes"))
+    found = merge_join(single, shared, ["hub", "change"]).groupBy(*base).agg(F.sort_array(F.collect_list(F.struct("holders", "change"))).alias("changes"))
     step = F.greatest(F.lit(1), F.ceil(F.col("n_hub") / CLASSES)).cast("int")
     widest = F.col("n") / similarity
     slack = F.ceil(far * (F.col("n") + widest) + 1e-6)
@@ -217,16 +220,16 @@ def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity:
     return chosen.select("hub", F.col("one.change").alias("change"), "own", "other", "node", "n", "component")
 
 
-def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity: float, folder: str) -> DataFrame:
     """Pairs of nodes of a list, of different components, that can be near though the list's
     hub did not connect them. Both sides of a change that many nodes share are dealt to
     blocks, so that no task holds it whole."""
-    listed = cut(_differences(rows, _hubs(rows, weight), whole, similarity))
+    listed = cut(_differences(rows, _hubs(rows, weight), whole, similarity, folder))
     key = ["hub", "change", "low", "high"]
     listed = listed.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
     shape = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("all"), F.min("component").alias("c_low"), F.max("component").alias("c_high"))
     shape = shape.where("c_low < c_high").select(*key, F.ceil(F.col("all") / BLOCK).alias("parts"))
-    shaped = _met(listed, shape, key)
+    shaped = merge_join(listed, shape, key)
     block = F.pmod(F.xxhash64("node"), F.col("parts"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
     names = {"x": ("part", "turn"), "y": ("turn", "part")}
@@ -234,21 +237,27 @@ def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity:
         shaped.select(*key, F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}"), F.col("own").alias(f"own_{s}"), F.col("other").alias(f"other_{s}"), block.alias(mine), every.alias(others))
         for s, (mine, others) in names.items()
     ]
-    met = _met(*sides, [*key, "part", "turn"])
+    met = merge_join(*sides, [*key, "part", "turn"])
     return _pairs(met.where("x < y AND c_x <> c_y AND own_x = other_y AND own_y = other_x"), similarity)
 
 
-def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float) -> DataFrame:
-    """(node, component) of nodes (node, n, digest, sketch) that have similar ones."""
-    lists = _stored(inverted_lists(kept, similarity), "lists")
+def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float, first: DataFrame | None = None) -> DataFrame:
+    """(node, component) of nodes (node, n, digest, sketch) that have similar ones; `first`
+    may hold pairs (a, b) of nodes that are likely near, which are compared before all."""
+    spark = docs.sparkSession
+    folder = new_folder(spark)
+    lists = stored(inverted_lists(kept, similarity), f"{folder}/lists")
     some = lists.select("node").distinct()
-    held = _stored(_met(kept, some, "node", "left_semi"), "held")
+    held = stored(merge_join(kept, some, "node", "left_semi"), f"{folder}/held")
     # Sets no larger than a sketch are held whole by it.
     small = held.where(F.col("n") <= SKETCH).select("node", F.col("sketch").alias("whole"))
-    whole = _stored(whole_sets(docs, held.where(F.col("n") > SKETCH).select("digest", "node"), size).unionByName(small), "whole")
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    of = spark.createDataFrame([], "node long, component long")
+    whole = stored(whole_sets(docs, held.where(F.col("n") > SKETCH).select("digest", "node"), size).unionByName(small), f"{folder}/whole")
+    if first is None:
+        links = spark.createDataFrame([], "a long, b long")
+        of = spark.createDataFrame([], "node long, component long")
+    else:
+        links = cut(_near(first, held, whole, similarity))
+        of = components(links)
     for turn in range(3):
         rows = cut(_open_lists(lists, of))
         if not turn:
@@ -256,9 +265,11 @@ def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float)
         else:
             ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
             weight = cut(ends.groupBy("node").agg(F.count(F.lit(1)).alias("weight")))
-        pairs = _spokes(rows, weight, similarity) if turn < 2 else _crossings(rows, last, whole, similarity)
+        pairs = _spokes(rows, weight, similarity) if turn < 2 else _crossings(rows, last, whole, similarity, folder)
         links = cut(links.unionByName(_near(pairs, held, whole, similarity)))
         of, last = components(links), weight
+    # What is left to do reads the components alone, which are saved.
+    drop_folder(spark, folder)
     return of
 
 
@@ -274,14 +285,14 @@ def near_duplicates(docs: DataFrame, size: int = 4, similarity: float = 0.8) ->
     all kept. An empty table gives no rows; other columns are not read.
     """
     rows = sketches(docs, size).withColumn("row", F.monotonically_increasing_id())
-    found = _stored(rows, "sketches")
+    found = stored(rows, f"{new_folder(docs.sparkSession)}/sketches")
     first = found.where("digest IS NOT NULL").groupBy("digest").agg(F.min("row").alias("node"), F.min("doc_id").alias("doc_id"))
     nodes = cut(first)
-    kept = _met(found.select(F.col("row").alias("node"), "n", "digest", "sketch"), nodes.select("node"), "node", "left_semi")
+    kept = merge_join(found.select(F.col("row").alias("node"), "n", "digest", "sketch"), nodes.select("node"), "node", "left_semi")
     of = near_groups(docs, kept, size, similarity)
-    named = _met(nodes, of, "node", "left").select("digest", "doc_id", F.coalesce("component", "node").alias("component"))
+    named = merge_join(nodes, of, "node", "left").select("digest", "doc_id", F.coalesce("component", "node").alias("component"))
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    known = _met(named, ids, "component").select("digest", "component_id")
-    out = _met(found.select("doc_id", "n", "digest"), known, "digest", "left")
+    known = merge_join(named, ids, "component").select("digest", "component_id")
+    out = merge_join(found.select("doc_id", "n", "digest"), known, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

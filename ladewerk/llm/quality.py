@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm.common import small_batches, texts
+from ladewerk.operators.joins import partnered
 
 ORDERS = (3, 5)
 BUCKET_BITS = 16
 SHARES = 64
+#: Words of the bitmap of trusted ids, and how many tasks the rows of one id are dealt to.
+BITMAP_WORDS, SALTS = 1 << 20, 16
 #: Raw counts get one more for each bucket; the target is drawn to the raw distribution as
 #: by this many n-grams, so that a small trusted set tells little.
 SMOOTHING, PRIOR = 1.0, float(1 << BUCKET_BITS)
@@ -84,23 +87,24 @@ def grams(body: bytes) -> list[np.ndarray]:
 def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """Counts of all n-gram buckets: [target, raw] x order x bucket.
 
-    docs: doc_id, text. trusted: distinct doc_ids, of any number. Each task sends one row of counts for each share of the buckets.
+    docs: doc_id, text. trusted: distinct doc_ids, of any number. The raw counts are taken
+    where the texts are read. For the target's, a bitmap of the trusted ids says which texts
+    may be trusted; only those are dealt out and joined with the ids, salted, as one id may
+    stand in many rows. Each task sends one row of counts for each share of the buckets.
     """
     size = len(ORDERS) << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, size), np.int64)
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            for text, target in zip(texts(batch.column("text")), batch.column("target").to_pylist(), strict=True):
+            for text in texts(batch.column("text")):
                 for i, g in enumerate(grams(text.encode())):
-                    own = np.bincount(g, minlength=1 << BUCKET_BITS) if len(g) >= 4096 else None
-                    for row in (0, 1) if target else (1,):
-                        part = total[row, i << BUCKET_BITS : (i + 1) << BUCKET_BITS]
-                        if own is None:
-                            np.add.at(part, g, 1)
-                        else:
-                            part += own
-        shares = total.reshape(2, SHARES, -1).transpose(1, 0, 2)
+                    part = total[i << BUCKET_BITS : (i + 1) << BUCKET_BITS]
+                    if len(g) >= 4096:
+                        part += np.bincount(g, minlength=1 << BUCKET_BITS)
+                    else:
+                        np.add.at(part, g, 1)
+        shares = total.reshape(SHARES, -1)
         yield pa.RecordBatch.from_arrays([pa.array(range(SHARES), pa.int32()), pa.array([s.tobytes() for s in shares], pa.binary())], ["share", "counts"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,12 +114,18 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
                 total = total + np.frombuffer(x.as_py(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
 
-    marked = small_batches(docs).select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("target")), "doc_id", "left")
-    rows = marked.mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
-    counts = np.zeros((SHARES, 2, size // SHARES), np.int64)
-    for r in rows:
-        counts[r["share"]] = np.frombuffer(r["counts"], np.int64).reshape(2, -1)
-    return counts.transpose(1, 0, 2).reshape(2, len(ORDERS), -1)
+    def counted(rows: DataFrame) -> np.ndarray:
+        found = rows.select("text").mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
+        counts = np.zeros((SHARES, size // SHARES), np.int64)
+        for r in found:
+            counts[r["share"]] = np.frombuffer(r["counts"], np.int64)
+        return counts.reshape(len(ORDERS), -1)
+
+    own = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    able = partnered(own, trusted.select("doc_id"), ["doc_id"], BITMAP_WORDS).where("_maybe")
+    salted = able.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+    ids = trusted.select("doc_id", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("salt"))
+    return np.stack([counted(salted.join(ids.hint("merge"), ["doc_id", "salt"], "left_semi")), counted(own)])
 
 
 def trusted_documents(labels: DataFrame) -> DataFrame:

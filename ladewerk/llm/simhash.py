@@ -13,33 +13,23 @@ one bit from both. So each is dealt to its 65 words, and a word gathers at most
 
 from __future__ import annotations
 
-import gc
-import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import golay
-from ladewerk.llm.common import cut, partitions, shared_folder, small_batches, texts
+from ladewerk.llm.common import cut, partitions, small_batches, texts
 from ladewerk.llm.components import components
 
 SEED = 42
 SEGMENTS = ((42, 22), (21, 21), (0, 21))  # lowest bit, width
 RUN = 64
-#: Pipeline form: independent fingerprints of each text, and the most differing bits of
-#: the shingle fingerprints of a pair that goes on to the exact comparison.
-TABLES, FAR_BITS = 4, 24
-NEAR_RUN, NEXT = 8, 3
-#: Exact form: buckets that shingles are counted in, shares of them that tasks add up, the
-#: most prefix rows of a task, the places of a bitmap of nodes, and the odd factor that mixes word hashes to shingle hashes.
-BUCKET_BITS, SHARES, TASK_ROWS, BITMAP_BITS, FACTOR = 18, 256, 1 << 20, 26, np.uint64(0x9E3779B97F4A7C15)
-PREFIX = np.dtype([("key", "<i8"), ("node", "<i8"), ("weight", "<f4"), ("n", "<i4"), ("at", "<i4")])
-PREFIX_SCHEMA = "key long, node long, weight float, n int, at int"
+#: The odd factor that mixes word hashes to shingle hashes.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -206,297 +196,3 @@ def simhash_components(docs: DataFrame, size: int = 3, bits: int = 2) -> DataFra
     found = components(links(nodes.where("node IS NOT NULL"), bits))
     of = nodes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of, "fingerprint").select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def _signature(words: list[bytes]) -> list[int]:
-    """TABLES fingerprints of the distinct words."""
-    distinct = set(words)
-    out = []
-    for seed in range(TABLES // 2):
-        digest = xxhash.xxh3_128_digest
-        both = np.frombuffer(b"".join([digest(w, seed) for w in distinct]), np.uint64).reshape(-1, 2)
-        out += [majority(both[:, 0]), majority(both[:, 1])]
-    return out
-
-
-def near_pairs(nodes: DataFrame, size: int) -> DataFrame:
-    """Pairs (a, b) of nodes (node, text) whose sets of size-word shingles may be similar.
-
-    Not all such pairs: they share a key of one of TABLES word fingerprints and have shingle fingerprints
-    less than FAR_BITS apart. A run of up to NEAR_RUN nodes gives all its pairs, a longer
-    one links each node to the run's first and the NEXT following ones.
-    """
-
-    def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [words_of(t) for t in texts(batch.column("text"))]
-            node = batch.column("node").to_numpy(zero_copy_only=False)
-            value = np.array([majority(shingle_set(w, size)) for w in words], np.int64)
-            signs = np.array([_signature(w) for w in words], np.int64).reshape(-1, TABLES)
-            for t in range(TABLES):
-                key, owner = golay_keys(np.ascontiguousarray(signs[:, t]), t)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[owner]), pa.array(value[owner])], ["key", "node", "value"])
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first: tuple[int, int, int] | None = None
-        for key, node, value, is_long in _runs(batches, NEAR_RUN):
-            reach = min(len(key) - 1, NEXT if is_long else NEAR_RUN - 1)
-            left, right = [], []
-            for d in range(1, reach + 1):
-                same = np.flatnonzero(key[d:] == key[:-d])
-                same = same[_differing(value[same], value[same + d]) < FAR_BITS]
-                left.append(node[same])
-                right.append(node[same + d])
-            if is_long:
-                edges = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-                head = np.repeat(edges, np.diff(np.append(edges, len(key))))
-                heads, head_values = node[head], value[head]
-                if first and first[0] == key[0]:
-                    own = key == first[0]
-                    heads[own], head_values[own] = first[1], first[2]
-                else:
-                    first = int(key[head[-1]]), int(node[head[-1]]), int(value[head[-1]])
-                near = (_differing(head_values, value) < FAR_BITS) & (heads != node)
-                left.append(heads[near])
-                right.append(node[near])
-            a, b = np.concatenate(left) if left else node[:0], np.concatenate(right) if right else node[:0]
-            if len(a):
-                both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-    n = partitions(small_batches(nodes))
-    # The key spreads rows well; a node's rows are of one size whatever its text.
-    return cut(nodes.mapInArrow(key_rows, "key long, node long, value long").repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(pairs, "a long, b long").where("a <> b").distinct())
-
-
-def _verified(nodes: DataFrame, found: DataFrame, size: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of found whose sets of shingles overlap by similarity or more."""
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, sets = [], {}
-            sides = [list(zip(batch.column(c).to_pylist(), texts(batch.column(t)), strict=True)) for c, t in (("a", "x"), ("b", "y"))]
-            for (a, x), (b, y) in zip(*sides, strict=True):
-                for node, text in ((a, x), (b, y)):
-                    if node not in sets:
-                        sets[node] = shingle_set(words_of(text), size)
-                both = np.sort(np.concatenate((sets[a], sets[b])))
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(common >= similarity * (len(both) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    # Texts take less room than sets of hashes.
-    x = nodes.select(F.col("node").alias("a"), F.col("text").alias("x"))
-    y = nodes.select(F.col("node").alias("b"), F.col("text").alias("y"))
-    return found.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(verified, "a long, b long")
-
-
-def _free(spark: SparkSession) -> None:
-    """Have Spark remove the shuffle files of steps that are done."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def _levels(nodes: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """How common the shingles of each bucket are, in eighths of a power of two, and the
-    number of shingles of all nodes."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << BUCKET_BITS, np.int64)
-        for batch in batches:
-            found = [shingle_set(words_of(t), size) for t in texts(batch.column("text"))]
-            if found:
-                total += np.bincount((np.concatenate(found) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(total))
-        shares = total.astype(np.uint32).reshape(SHARES, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(SHARES), pa.int32()), pa.array([x.tobytes() for x in shares], pa.binary())], ["share", "counts"])
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((1 << BUCKET_BITS) // SHARES, np.int64)
-        for batch in batches:
-            for x in batch.column("counts"):
-                total += np.frombuffer(x.as_py(), np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
-
-    total = np.zeros((SHARES, (1 << BUCKET_BITS) // SHARES), np.int64)
-    for r in nodes.mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect():
-        total[r["share"]] = np.frombuffer(r["counts"], np.int64)
-    return np.minimum(8 * np.log2(total.ravel() + 1), 255).astype(np.uint8), int(total.sum())
-
-
-def _prefixes(nodes: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Rows of PREFIX_SCHEMA: the shingles that decide if two nodes can be similar.
-
-    Of two sets of similarity or more, each has that share of its shingles in common with
-    the other. So in any one order of all shingles, the first n - similarity * n + 1 of both
-    (n: size of the set) share one. Rare shingles come first here. at is the place of the
-    shingle in its node, weight how common the shingles of the node are. Shingles that are
-    in the prefix of one node only are left out.
-    """
-    levels, total = _levels(nodes, size)
-    table = nodes.sparkSession.sparkContext.broadcast(levels)
-    n = max(partitions(nodes), int(total * (1 - similarity)) // TASK_ROWS + 1)
-    shares = max(1024, 4 * n)
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = table.value
-        for batch in batches:
-            parts = []
-            for node, text in zip(batch.column("node").to_pylist(), texts(batch.column("text")), strict=True):
-                found = shingle_set(words_of(text), size)
-                if not len(found):
-                    continue
-                common = level[(found >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
-                first = np.argsort(common, kind="stable")[: len(found) - max(1, math.ceil(similarity * len(found) - 1e-6)) + 1]
-                rows = np.empty(len(first), PREFIX)
-                rows["key"], rows["node"], rows["weight"] = found[first].view(np.int64), node, common.mean()
-                rows["n"], rows["at"] = len(found), np.arange(len(first))
-                parts.append(rows)
-            if not parts:
-                continue
-            rows = np.concatenate(parts)
-            share = (rows["key"].view(np.uint64) % np.uint64(shares)).astype(np.int64)
-            order = np.argsort(share, kind="stable")
-            share, rows = share[order], rows[order]
-            edges = np.flatnonzero(np.diff(share, prepend=-1))
-            pieces = [x.tobytes() for x in np.split(rows, edges[1:])]
-            yield pa.RecordBatch.from_arrays([pa.array(share[edges]), pa.array(pieces, pa.binary())], ["share", "rows"])
-
-    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = [np.frombuffer(x.as_py(), PREFIX) for batch in batches for x in batch.column("rows")]
-        if not pieces:
-            return
-        rows = np.concatenate(pieces)
-        rows = rows[np.argsort(rows["key"], kind="stable")]
-        same = rows["key"][1:] == rows["key"][:-1]
-        rows = rows[np.append(same, False) | np.append(False, same)]
-        for i in range(0, len(rows), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(rows[c][i : i + (1 << 16)])) for c in PREFIX.names], list(PREFIX.names))
-
-    return nodes.mapInArrow(deal, "share long, rows binary").repartition(n, "share").mapInArrow(met, PREFIX_SCHEMA)
-
-
-def _few(nodes: DataFrame, needed: DataFrame) -> DataFrame:
-    """The nodes (node, text) that needed (node) names and few others, by a bitmap of
-    2^BITMAP_BITS places; saved, so that the other texts are not dealt out again."""
-    place = F.pmod(F.col("node"), F.lit(1 << BITMAP_BITS))
-    pieces = needed.select(place.alias("p")).groupBy(F.expr("bitmap_bucket_number(p)").alias("piece")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits")).collect()
-    bits = {r["piece"]: bytes(r["bits"]) for r in pieces}
-    most = 1 + (1 << BITMAP_BITS) // 32768
-    table = nodes.sparkSession.sparkContext.broadcast(b"".join(bits.get(i, b"").ljust(4096, b"\0") for i in range(most + 1)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        whole = np.frombuffer(table.value, np.uint8)
-        for batch in batches:
-            # Piece 1 holds 1 to 32768, piece 0 holds 0 and less.
-            p = batch.column("node").to_numpy(zero_copy_only=False) % (1 << BITMAP_BITS)
-            piece, bit = np.where(p > 0, 1 + (p - 1) // 32768, 0), np.where(p > 0, (p - 1) % 32768, 0)
-            yield batch.filter(pa.array((whole[4096 * piece + bit // 8] >> (bit % 8) & 1).astype(bool)))
-
-    path = f"{shared_folder(nodes.sparkSession)}/near-{uuid.uuid4().hex}"
-    nodes.select("node", "text").mapInArrow(run, "node long, text string").write.parquet(path)
-    return nodes.sparkSession.read.parquet(path)
-
-
-def exact_pairs(nodes: DataFrame, near: DataFrame, size: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of similar nodes (node, text) that connect all that similar pairs
-    connect; near are candidates, which are compared first.
-
-    Nodes that share a prefix shingle and are not connected yet are compared: first each
-    with the one of the most common shingles, which is the middle of a group of copies of
-    one text, then all with all.
-    """
-
-    def able(n: np.ndarray, at: np.ndarray, m: np.ndarray, to: np.ndarray) -> np.ndarray:
-        """If sets of n and m shingles can be similar whose first common ones are at and to."""
-        most = np.minimum(np.minimum(n - at, m - to), np.minimum(n, m))
-        return most >= similarity * (n + m - most) - 1e-6
-
-    def spokes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = None
-        for batch in batches:
-            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "node", "component", "n")]
-            if head is not None:
-                rows = [np.concatenate(([h], r)) for h, r in zip(head, rows, strict=True)]
-            if not len(rows[0]):
-                continue
-            edges = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
-            of = np.repeat(edges, np.diff(np.append(edges, len(rows[0]))))
-            head = [r[edges[-1]] for r in rows]
-            _, node, component, n = rows
-            own = (component != component[of]) & able(n, 0 * n, n[of], 0 * n)
-            both = np.unique(np.sort(np.stack((node[of][own], node[own]), axis=1), axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
-
-    def crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "node", "component", "n", "at")
-        kept = [np.empty(0, np.int64)] * len(names)
-
-        def compare(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            _, node, component, n, at = rows
-            left, right, held = [], [], 0
-            for i in range(len(node) - 1):
-                other = np.flatnonzero((component[i + 1 :] != component[i]) & able(n[i], at[i], n[i + 1 :], at[i + 1 :])) + i + 1
-                left.append(np.minimum(node[i], node[other]))
-                right.append(np.maximum(node[i], node[other]))
-                held += len(other)
-                if held and (held > 1 << 16 or i == len(node) - 2):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], ["a", "b"])
-                    left, right, held = [], [], 0
-
-        for batch in batches:
-            rows = [np.concatenate((k, batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64))) for k, c in zip(kept, names, strict=True)]
-            edges = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
-            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                yield from compare([r[a:b] for r in rows])
-            kept = [r[edges[-1] :] for r in rows]
-        yield from compare(kept)
-
-    def connected(pairs: DataFrame) -> DataFrame:
-        """rows, with the component of each node, whose shingle is in two components or more."""
-        whole = rows.join(components(pairs), "node", "left").withColumn("component", F.coalesce("component", "node"))
-        several = whole.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        return whole.join(several, "key", "left_semi")
-
-    _free(nodes.sparkSession)
-    rows = cut(_prefixes(nodes, size, similarity))
-    n = partitions(nodes)
-    nodes = _few(nodes, near.select(F.explode(F.array("a", "b")).alias("node")).unionByName(rows.select("node")))
-    _free(nodes.sparkSession)
-    near = cut(_verified(nodes, near, size, similarity))
-    _free(nodes.sparkSession)
-    ordered = connected(near).repartition(n, "key").sortWithinPartitions("key", F.desc("weight"), "node")
-    more = cut(_verified(nodes, cut(ordered.mapInArrow(spokes, "a long, b long").where("a <> b").distinct()), size, similarity))
-    _free(nodes.sparkSession)
-    near = near.unionByName(more)
-    rest = connected(near).repartition(n, "key").sortWithinPartitions("key", "node")
-    last = _verified(nodes, cut(rest.mapInArrow(crossed, "a long, b long").where("a <> b").distinct()), size, similarity)
-    return near.unionByName(last)
-
-
-def drop_near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """docs without near-duplicates: of each group the document with the smallest doc_id stays.
-
-    A group is what equal texts and pairs of similarity or more (Jaccard over sets of
-    size-word shingles, words lower-cased) connect. A null text counts as empty, and empty
-    texts are equal. Rows with the same doc_id and text are one document, of which one row
-    stays; rows with the same doc_id and other texts, or with a null doc_id, are documents
-    of their own. A null doc_id is the smallest; of equal doc_ids the text with the smallest
-    digest leads. All columns are kept. An empty table gives no rows.
-    """
-    # A text is a node, named by the first 60 bits of its digest.
-    body = F.coalesce(F.col("text"), F.lit(""))
-    digest = F.sha2(body, 256)
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("node"), body.alias("text"))
-    path = f"{shared_folder(docs.sparkSession)}/near-{uuid.uuid4().hex}"
-    # min() passes over nulls, so the id of a text with one is told apart.
-    first = F.min(F.struct(F.col("id").isNotNull().alias("named"), "id")).getField("id").alias("id")
-    rows.groupBy("node").agg(first, F.first("text").alias("text")).write.parquet(path)
-    _free(docs.sparkSession)
-    lead = small_batches(docs.sparkSession.read.parquet(path))
-    nodes = lead.select("node", "text")
-    found = components(exact_pairs(nodes, near_pairs(nodes, size), size, similarity))
-    whole = lead.select("node", "id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    stay = whole.groupBy("component").agg(F.min(F.struct(F.col("id").isNotNull().alias("named"), "id", "node")).alias("top")).select("top.id", "top.node")
-    keyed = docs.withColumn("id_", F.col("doc_id").cast("long")).withColumn("node_", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"))
-    kept = keyed.join(stay, (F.col("node_") == F.col("node")) & F.col("id_").eqNullSafe(F.col("id")), "left_semi")
-    return kept.dropDuplicates(["id_", "node_"]).drop("id_", "node_")

@@ -10,7 +10,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
-from ladewerk.llm import boosting, bwt, chat, golay, graph_search, packing, pii, quality, sentencepiece_fst, simhash, suffix_dedup, template, toxicity, warc
+from ladewerk.llm import boosting, bwt, chat, golay, graph_search, near_documents, packing, pii, quality, sentencepiece_fst, simhash, suffix_dedup, template, toxicity, warc
 from ladewerk.llm.components import components
 from pyspark.sql import functions as F
 
@@ -125,9 +125,9 @@ def test_near_duplicates_keep_one_of_each_group(spark, none):
     near = base[:100] + ["new"] + base[101:]
     far = base[:150] + [f"z{i}" for i in range(150)]
     texts = [(3, " ".join(base)), (1, " ".join(near)), (2, " ".join(far)), (5, " ".join(base)), (5, " ".join(base)), (6, None), (7, ""), (8, "one two"), (9, "one TWO")]
-    got = simhash.drop_near_duplicates(spark.createDataFrame([(*t, "en", 0) for t in texts], DOCS))
+    got = near_documents.drop_near_duplicates(spark.createDataFrame([(*t, "en", 0) for t in texts], DOCS))
     assert sorted(r["doc_id"] for r in got.collect()) == [1, 2, 6, 8]
-    assert simhash.drop_near_duplicates(none).count() == 0
+    assert near_documents.drop_near_duplicates(none).count() == 0
 
 
 def _edited(words, share, r):
@@ -164,16 +164,24 @@ def test_near_duplicates_of_one_original_are_one_group(spark):
             texts[base + i] = _edited(original, 0.02, r)
         texts[base + copies // 2] = original
     docs = spark.createDataFrame([(i, " ".join(w), "en", 0) for i, w in texts.items()], DOCS)
-    got = sorted(x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect())
+    got = sorted(x["doc_id"] for x in near_documents.drop_near_duplicates(docs).collect())
     assert got == _kept_by_brute_force(texts) and len(got) < 20
 
 
 def test_rows_without_an_id_or_with_one_id_keep_their_texts(spark):
     texts = [(None, "one two"), (None, "three four"), (None, "three four"), (4, "five six"), (4, "seven eight"), (4, "seven eight"), (5, "ONE two")]
-    got = simhash.drop_near_duplicates(spark.createDataFrame([(*t, "en", 0) for t in texts], DOCS)).collect()
+    got = near_documents.drop_near_duplicates(spark.createDataFrame([(*t, "en", 0) for t in texts], DOCS)).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, "one two"), (0, "three four"), (4, "five six"), (4, "seven eight")]
 
 
+def test_near_duplicates_keep_columns_of_any_name(spark):
+    names = ["doc_id", "text", "node", "id", "id_", "node_", "key", "row", "n", "a b.c"]
+    rows = [(i, t, *[f"{c}{i}" for c in names[2:]]) for i, t in ((3, "x y z"), (1, "x y z"), (2, None), (1, "x y z"))]
+    docs = spark.createDataFrame(rows, names).repartition(3)
+    got = near_documents.drop_near_duplicates(docs)
+    assert got.columns == names and sorted(map(tuple, got.collect())) == sorted({rows[1], rows[2]})
+
+
 def test_near_pairs_of_all_similarities_are_found(spark):
     r = random.Random(8)
     texts = {}
@@ -181,7 +189,7 @@ def test_near_pairs_of_all_similarities_are_found(spark):
         original = [f"{i}w{int(r.paretovariate(0.6))}" for _ in range(r.choice((6, 40, 400, 1500)))]
         texts[2 * i], texts[2 * i + 1] = original, _edited(original, r.choice((0.005, 0.01, 0.015, 0.02, 0.024, 0.04)), r)
     docs = spark.createDataFrame([(i, " ".join(w), "en", 0) for i, w in texts.items()], DOCS)
-    got = sorted(x["doc_id"] for x in simhash.drop_near_duplicates(docs).collect())
+    got = sorted(x["doc_id"] for x in near_documents.drop_near_duplicates(docs).collect())
     assert got == _kept_by_brute_force(texts)
 
 
@@ -192,6 +200,47 @@ def test_quality_base_counts():
     assert quality.base_counts("é é\n \n \n")[:4] == (2, 2, 0, 0)
 
 
+def _base_by_hand(text):
+    """The same five counts, letter by letter and line by line."""
+    gap = " \t\n\x0b\x0c\r"
+    words, word = [], ""
+    for c in text + " ":
+        if c in gap:
+            words += [word] * bool(word)
+            word = ""
+        else:
+            word += c
+    lines, again = [], 0
+    for line in text.split("\n"):
+        if any(c not in gap for c in line):
+            again += line in lines
+            lines.append(line)
+    runs = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    inside = {i + k for i, run in enumerate(runs) if runs.count(run) > 1 for k in range(8)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), again, len(inside)
+
+
+def test_quality_base_counts_by_hand():
+    r = random.Random(2)
+    for _ in range(300):
+        pieces = [r.choice(["a", "b", "é", "#x", "<|>", "ab", " ", "\n", "\t", "\x0b", "\r\n", "\x85", "\u2028", "\xa0"]) + r.choice(["", " ", " ", "\n"]) for _ in range(r.randrange(90))]
+        text = "".join(pieces * r.choice([1, 1, 2]))
+        assert quality.base_counts(text) == _base_by_hand(text)
+
+
+def test_target_counts_leave_others_out(spark):
+    docs = spark.createDataFrame([(i if i % 7 else None, f"text {i} " * 5) for i in range(400)] + [(3, "same id, other text")], "doc_id int, text string")
+    labels = spark.createDataFrame([(i, i % 3 == 0 and 1 or 0) for i in range(400)] + [(3, 1), (None, 1)], "doc_id long, quality int")
+    found = quality.ngram_counts(docs, quality.trusted_documents(labels))
+    plain = np.zeros_like(found)
+    for doc_id, text in docs.collect():
+        for i, g in enumerate(quality.grams(text.encode())):
+            np.add.at(plain[1, i], g, 1)
+            if doc_id is not None and doc_id % 3 == 0:
+                np.add.at(plain[0, i], g, 1)
+    assert (found == plain).all()
+
+
 def test_quality_rejects_what_is_unlike_the_trusted(spark, none):
     good = [(i, _words(400, i), "en", 0) for i in range(40)]
     junk = [(100 + i, " ".join(w + "###" for w in _words(100, 50 + i).split()), "en", 0) for i in range(8)]
