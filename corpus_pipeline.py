@@ -12,7 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.llm import packing, pii, quality, simhash, suffix_dedup
+from ladewerk.llm import near_documents as near
+from ladewerk.llm import packing, pii, quality, suffix_dedup
 from ladewerk.llm.common import shared_folder, table
 from ladewerk.llm.queries import tokenizer_path
 
@@ -30,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest doc_id, of each group of near-duplicates."""
-    return simhash.drop_near_duplicates(docs.select(*COLUMNS), 5, 0.8)
+    return near.drop_near_duplicates(docs.select(*COLUMNS), 5, 0.8)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
