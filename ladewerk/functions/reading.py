@@ -17,15 +17,25 @@ from ladewerk.functions.surface import CHARGE_KINDS, MONTHS, UNIT_SHORT
 from ladewerk.schema import DECIMAL, LINE, LINES
 
 _AMOUNT = r"(\d[\d,]*(?:\.\d+)?)"
-_KINDS = "|".join([*CHARGE_KINDS, "fuel surcharge", "surcharge", "FSC", "detention", "lumper", "layover"])
+# --- fixed values -----------------------------------------------------------
+# What charges and references are called in the given messages, beside the wording table.
+OTHER_CHARGES = ["fuel surcharge", "surcharge", "FSC", "detention", "lumper", "layover"]
+REFERENCE_WORDS = ["PO", "BOL", "REF", "SO", "PRO", "LOAD", "acct"]
+# --- end of fixed values ----------------------------------------------------
+_KINDS = "|".join([*CHARGE_KINDS, *OTHER_CHARGES])
 _FULL_MONTHS = "|".join(MONTHS)
 _ANY_MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS)
 # Capitalised words that end a place name: they open the next phrase.
 _NOT_A_PLACE = rf"(?!(?:WT|RT|ORIG|DEST|REF|(?i:{_ANY_MONTH}))\b)"
 _WORD = rf"\b(?=[A-Z]){_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
 _PLACE = rf"({_WORD}(?: {_WORD})*)"
+_SITE = "(?: (?:dock|yard|terminal|warehouse|plant|depot))?"
 _LOADING = rf"\bloading {_PLACE}, unloading {_PLACE}"
-REFERENCE = r"\b((?:PO|BOL|REF|SO|PRO|LOAD|acct)[-# ]?\d[\d-]*)"
+_TURNED = rf"\b(?:in)?to {_PLACE}{_SITE} from {_PLACE}"  # the destination comes first
+# A number, or a short prefix and a number, behind the word.
+REFERENCE = rf"\b((?:{'|'.join(REFERENCE_WORDS)})[-# ]?(?:[A-Z]{{1,4}}-)?\d[\d-]*)"
+_BILLED = "(?: (?:is )?(?:billed|charged))?(?: at)?"
+_PER_TIME = r"(?![\d,.]*/ ?(?:hr|hour|day)\b)"  # such an amount is no rate
 
 
 @dataclass(frozen=True)
@@ -47,14 +57,14 @@ CLEAN = Rules(
     name="clean",
     units={u: [u, u[:-1]] for u in UNIT_SHORT},
     delivery=r"(?i)\b(deliver|delivery|DLV)\b",
-    both_ends=[rf"{_PLACE} (?:to|bound for) {_PLACE}", _LOADING],
+    both_ends=[rf"{_PLACE}{_SITE} (?:to|bound for) {_PLACE}", _LOADING],
     start_only=rf"\b(?:from|out of|loading|origin) {_PLACE}",
     end_only=rf"\b(?:to|unloading|bound for) {_PLACE}",
     weight=r"(\d[\d,]*) ?(?:lbs|pounds)\b",
     month_name=_FULL_MONTHS,
     numeric_date=None,
-    rate=[rf"(?i)\b(?:rate|linehaul|at) \$?{_AMOUNT}", rf"\${_AMOUNT}"],
-    charge=[rf"(?i)\b(?:{_KINDS}) \${_AMOUNT}"],
+    rate=[rf"(?i)\b(?:rate|linehaul) \$?{_AMOUNT}", rf"(?i)\bat {_PER_TIME}\$?{_AMOUNT}", rf"\${_AMOUNT}"],
+    charge=[rf"(?i)\b(?:{_KINDS}){_BILLED} \${_AMOUNT}"],
 )
 
 FULL = Rules(
@@ -64,7 +74,7 @@ FULL = Rules(
     both_ends=[
         rf"\bORIG {_PLACE} DEST {_PLACE}",
         rf"\bO:{_PLACE} D:{_PLACE}",
-        rf"{_PLACE}(?: to | ?-> ?| ?=> ?| ?>> ?| ?> ?|-| bound for ){_PLACE}",
+        rf"{_PLACE}(?:{_SITE} to | ?-> ?| ?=> ?| ?>> ?| ?> ?|-|{_SITE} bound for ){_PLACE}",
         _LOADING,
     ],
     start_only=rf"(?:(?:\b(?:from|out of|orig|origin|loading|ex)|@) |\bO:){_PLACE}",
@@ -73,11 +83,12 @@ FULL = Rules(
     month_name=f"(?i:{_ANY_MONTH})",
     numeric_date=r"(?<![\d/])(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?(?![\d/])",
     rate=[
-        rf"(?i)\b(?:rate|RT|linehaul|at) \$?{_AMOUNT}",
+        rf"(?i)\b(?:rate|RT|linehaul) \$?{_AMOUNT}",
+        rf"(?i)\bat {_PER_TIME}\$?{_AMOUNT}",
         rf"@ ?\$?{_AMOUNT}(?! ?lb)",
         rf"(?<!\+)\${_AMOUNT}",
     ],
-    charge=[rf"(?i)\b(?:{_KINDS}) \$?{_AMOUNT}", rf"(?i)\+\$?{_AMOUNT} (?:{_KINDS})"],
+    charge=[rf"(?i)\b(?:{_KINDS}){_BILLED} \$?{_AMOUNT}", rf"(?i)\+\$?{_AMOUNT} (?:{_KINDS})"],
 )
 RULE_SETS = {r.name: r for r in (CLEAN, FULL)}
 
@@ -155,8 +166,8 @@ def _ends(s: str, lane: str, rules: Rules) -> str:
     both = _struct(
         origin=_first(lane, rules.both_ends, 1), destination=_first(lane, rules.both_ends, 2)
     )
-    only_end = f"CASE WHEN o IS NULL THEN {_found(s, rules.end_only)} END"
-    one = let(_found(s, rules.start_only), "o", _struct(origin="o", destination=only_end))
+    end = f"CASE WHEN o IS NULL THEN {_found(s, rules.end_only)} ELSE {_found(s, _TURNED)} END"
+    one = let(_found(s, rules.start_only), "o", _struct(origin="o", destination=end))
     return f"CASE WHEN {lane} IS NOT NULL THEN {both} ELSE {one} END"
 
 
@@ -186,21 +197,46 @@ def _line_of(s: str, p: str, reference: str, rules: Rules) -> str:
 _LEG_WORD = r"(?:pick ?up|p/?u|coll(?:ect)?|deliver(?:y)?|dlv|del)(?: (?:of|to))?:?"
 
 
-def _one_each(text: str, rules: Rules) -> str:
-    """The text with a line end before every count after the first of a text line; a leg
-    word in front of the count goes with it."""
+def _one_each(line: str, rules: Rules) -> str:
+    """A text line cut before every count after its first, if both the part before and the
+    part after state a rate: a second count of one shipment does not. A leg word in front
+    of the count goes with it."""
     count = _unit_pattern(rules)
-    following = rf"\s+(?=(?:(?:and|then|plus|&) )?(?:{_LEG_WORD} )?{count.removeprefix('(?i)')})"
-    return f"regexp_replace({text}, r'{count}(.*?){following}', '$1 $2$3\\n')"
+    bare = count.removeprefix("(?i)")
+    rated = r"(?:\b(?:rate|RT|linehaul|at) |@ ?|\$)\$?\d"
+    part = rf"((?:(?!{bare}).)*?{rated}.*?)"
+    following = rf"\s+(?=(?:(?:and|then|plus|&) )?(?:{_LEG_WORD} )?{bare}.*?{rated})"
+    cut = f"split(regexp_replace({line}, r'{count}{part}{following}', '$1 $2$3\n'), r'\n')"
+    return f"CASE WHEN rlike({line}, r'{count}.*{bare}') THEN {cut} ELSE array({line}) END"
+
+
+def _shared_charges(text: str, rules: Rules) -> str:
+    """struct(every, by_leg): a charge that is stated for all legs, and the ones stated
+    behind the legs for one of them, as "<leg>" -> amount."""
+    said = rf"(?:{_KINDS}){_BILLED} \$?{_AMOUNT}"
+    every = _number(_found(text, rf"(?i)\b{said}[^\n]{{0,20}}\b(?:both|all|each|every) legs?\b"))
+    one = rf"(?i)\b{said} on leg (\d{{1,3}})\b"
+    amounts, legs = (f"regexp_extract_all({text}, r'{one}', {k})" for k in (1, 2))
+    return _struct(every=every, legs=legs, amounts=amounts)
 
 
 @built_once
 def read_lines(text: str, rule_set: str) -> Column:
     """array<LINE>: one line for each count and unit, read from it (or, for the first, from
     the start of its text line) up to the next one or the line's end. The reference is
-    stated once and goes on every line."""
+    stated once and goes on every line, and so does a charge for all legs; a charge "on leg
+    2" goes on the second line."""
     rules = RULE_SETS[rule_set]
-    segments = f"filter(split({_one_each(text, rules)}, r'\n'), s -> rlike(s, r'{_unit_pattern(rules)}'))"
+    parts = f"flatten(transform(split({text}, r'\n'), t -> {_one_each('t', rules)}))"
+    segments = f"filter({parts}, s -> rlike(s, r'{_unit_pattern(rules)}'))"
     line = let(_passages("s", rules), "p", _line_of("s", "p", "ref", rules))
     lines = let(_found(text, REFERENCE), "ref", f"transform({segments}, s -> {line})")
+    if rules is FULL:
+        own = "get(c.amounts, CAST(array_position(c.legs, CAST(i + 1 AS string)) AS int) - 1)"
+        fields = {f.name: f"x.{f.name}" for f in LINE.fields}
+        fields["accessorial"] = f"coalesce(x.accessorial, {_number(own)}, c.every)"
+        charged = f"transform(l, (x, i) -> {_struct(**fields)})"
+        stated = r"(?i)\blegs?\b"
+        shared = let(_shared_charges(text, rules), "c", charged)
+        lines = let(lines, "l", f"CASE WHEN rlike({text}, r'{stated}') THEN {shared} ELSE l END")
     return F.expr(f"CAST({lines} AS {LINES.simpleString()})")

@@ -99,14 +99,22 @@ def lines_of_variant(v: Column) -> Column:
 
 
 def whole_value(json_text: Column | str) -> Column:
-    """The variant of a text that is one JSON value and nothing else, or null.
+    """The variant of a text that is one JSON value with a list in it and nothing else, or
+    null; of a value without a list, what follows it is not always noticed.
 
-    Parsing stops at the end of the first value. What follows it cannot be right both
-    inside brackets and inside braces, so both are parsed."""
+    Parsing stops at the end of the first value, so the text is parsed in brackets: what
+    follows it must then be no more than the closing one. A text that closes that bracket
+    itself has a "]" beside that of its list, or none of a list before it. Only such a
+    text is parsed in braces too, where a bracket closes nothing."""
     text = F.col(json_text) if isinstance(json_text, str) else json_text
     in_list = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v": '), text, F.lit("}")))
-    return F.when(in_list.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
+    closing = F.instr(text, "]")
+    second = F.contains(F.substr(text, closing + 1), F.lit("]")) | (closing < F.instr(text, "["))
+    value = F.when((closing > 0) & second, F.try_variant_get(in_object, "$.v", "variant")).otherwise(
+        F.when(F.try_variant_get(in_list, "$[1]", "variant").isNull(), F.try_variant_get(in_list, "$[0]", "variant"))
+    )
+    return F.when(in_list.isNotNull(), value)
 
 
 @built_once

@@ -15,16 +15,16 @@ DEFAULT_MODEL = "newer"
 
 def registry_table(
     spark: SparkSession, entries: Iterable[Mapping], default: str = DEFAULT_MODEL,
-    env: Mapping[str, str] | None = None,
+    env: Mapping[str, str] | None = None, env_prefix: str = "MODEL_BASE_",
 ) -> DataFrame:
-    """One row per entry, in order; FREIGHT_MODEL_<NAME> replaces its base."""
+    """One row per entry, in order; the variable <env_prefix><NAME> replaces its base."""
     env = os.environ if env is None else env
     rows = []
     for e in entries:
         name = e["name"]
         rows.append(
             (
-                name, env.get(f"FREIGHT_MODEL_{name.upper()}") or e["base"],
+                name, env.get(f"{env_prefix}{name.upper()}") or e["base"],
                 e.get("generation", ""), e.get("label", name), e.get("note", ""),
                 bool(e.get("has_adapter", False)), name == default,
             )

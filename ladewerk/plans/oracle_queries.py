@@ -253,6 +253,13 @@ ORACLES: dict[str, str] = {
     "pool_sources": O._with(
         _PREP, "SELECT CASE WHEN is_real THEN 'real' ELSE 'synthetic' END AS source, count(*) AS n, count(DISTINCT id) AS n_ids FROM shuffled GROUP BY ALL"
     ),
+    "indexed_search": O._with(
+        O.CONF_TEXT,
+        f"SELECT id, {O._PREVIEW.format(t='text')} AS short_text FROM conf_texts WHERE text ILIKE '%po-177%' AND text ILIKE '%rate%'",
+    ),
+    "score_bucketed_gold": O._with(
+        O.SCORED, "SELECT id::VARCHAR AS id, model_name, category, field_accuracy FROM judged"
+    ),
     "seeded_export": O._with(_PREP, "SELECT rk - 1 AS row_idx, id, text FROM shuffled"),
     "synth_count": "SELECT count(*) AS written, count(*) AS n FROM orders",
 }

@@ -26,6 +26,7 @@ from ladewerk.schema import EXAMPLES_EXPORT, GATE_COLUMNS, LABELLED
 from ladewerk.session import work_folder
 from ladewerk.sources import files, stores
 from ladewerk.sources.positions import numbered_lines
+from ladewerk.sources.search import SearchStore
 
 SEED = 7
 FRACTION_PERMILLE = 250
@@ -107,6 +108,19 @@ def score_json_text(spark, folder):
     return scoring.score(as_text).select("id", "model_name", "category", "field_accuracy")
 
 
+def score_bucketed_gold(spark, folder):
+    """Gold and predictions stored in buckets of their id: scored without a shuffle."""
+    confirmed = confirmations(spark, folder)
+    gold = confirmed.select(F.col("id").cast("string").alias("id"), F.col("gold").alias("expected"))
+    read = []
+    for kind, rows in (("gold", gold), ("predicted", B.predictions(confirmed).drop("expected"))):
+        store = stores.BucketedStore(spark, f"{kind}_{uuid.uuid4().hex}", _new_folder(spark, kind), buckets=8)
+        store.replace(rows)
+        read.append(store.read())
+    raw = scoring.attach_bucketed(read[1], read[0])
+    return scoring.score(raw).select("id", "model_name", "category", "field_accuracy")
+
+
 def score_attached_gold(spark, folder):
     """Gold stored once, joined to the predictions by id."""
     confirmed = confirmations(spark, folder)
@@ -238,6 +252,13 @@ def chat_search(spark, folder):
     )
 
 
+def indexed_search(spark, folder):
+    """A rare word, looked for only in the files that can hold it."""
+    store = SearchStore(spark, _new_folder(spark, "search"))
+    store.replace(confirmations(spark, folder).select("id", "text"), rows_per_file=200)
+    return store.search("po-177 RATE").select("id", preview(F.col("text")).alias("short_text"))
+
+
 def next_unreviewed(spark, folder):
     """The next open row after the middle and after the end of the queue."""
     rows = _reviews(spark, folder).select("id", "reviewed")
@@ -586,6 +607,6 @@ QUERIES = {
         extract_confirmations, extract_clean, extractor_gate, parse_requests,
         parse_batch, dataset_folder, extract_external,
         gate_from_store, export_round_trip, retrain_cycle,
-        seed_file_load, seeded_export, gate_from_files, breakdown_from_files, pool_sources, synth_count,
+        seed_file_load, seeded_export, indexed_search, score_bucketed_gold, gate_from_files, breakdown_from_files, pool_sources, synth_count,
     )
 }

@@ -240,3 +240,34 @@ class PredictionStore:
         path = f"{self.root}/promoted/{name}"
         scored.select(*PREDICTIONS.fieldNames()).write.mode("errorifexists").parquet(path)
         return path
+
+
+@dataclass(frozen=True)
+class BucketedStore:
+    """Rows stored in buckets of their id, as a table `name` whose files lie at `path`.
+
+    Gold and predictions in equally many buckets are joined without a shuffle, however often
+    they are scored.
+    """
+
+    spark: SparkSession
+    name: str
+    path: str
+    buckets: int = 64
+
+    def replace(self, rows: DataFrame) -> None:
+        (
+            rows.write.mode("overwrite").bucketBy(self.buckets, "id").sortBy("id")
+            .option("path", self.path).saveAsTable(self.name)
+        )
+
+    def read(self, schema: T.StructType | None = None) -> DataFrame:
+        """The table; a session that does not know it yet is told of its `schema`."""
+        if schema is not None and not self.spark.catalog.tableExists(self.name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+            where = self.path.replace("'", "\\'")
+            self.spark.sql(
+                f"CREATE TABLE {self.name} ({columns}) USING parquet "
+                f"CLUSTERED BY (id) SORTED BY (id) INTO {self.buckets} BUCKETS LOCATION '{where}'"
+            )
+        return self.spark.table(self.name)

@@ -56,6 +56,32 @@ WRITTEN = [
          line(quantity=6, unit="skids", rate=800, leg="delivery", reference="PO-77"),
          line(quantity=2, unit="cartons", rate=70, reference="PO-77")],
     ),
+    (  # a second count of one shipment is no shipment of its own
+        "PU 4 pallets, 90 cartons BOI to TUL rate 900.00",
+        [line(quantity=4, rate=900, origin="BOI", destination="TUL")],
+    ),
+    (
+        "Depot note acct#KX-7731\nPU 5 skids BOI -> TUL rate 410.00\nDLV 5 skids TUL -> OMA rate 620.00",
+        [line(quantity=5, unit="skids", rate=410, origin="BOI", destination="TUL", reference="acct#KX-7731"),
+         line(quantity=5, unit="skids", leg="delivery", rate=620, origin="TUL", destination="OMA", reference="acct#KX-7731")],
+    ),
+    (
+        "FSC 45.50 on all legs\nPU 5 skids rate 410.00\nDLV 5 skids rate 620.00, detention 80.00",
+        [line(quantity=5, unit="skids", rate=410, accessorial="45.5"),
+         line(quantity=5, unit="skids", leg="delivery", rate=620, accessorial=80)],
+    ),
+    (
+        "Leg 1: PU 5 skids rate 410.00\nLeg 2: DLV 5 skids rate 620.00\nLumper 33.00 on leg 2.",
+        [line(quantity=5, unit="skids", rate=410), line(quantity=5, unit="skids", leg="delivery", rate=620, accessorial=33)],
+    ),
+    (
+        "Pick up 6 pallets at the Omaha yard bound for Tulsa, rate 505.00",
+        [line(quantity=6, rate=505, origin="Omaha", destination="Tulsa")],
+    ),
+    (
+        "Deliver 6 pallets into Tulsa from Omaha. Detention billed at 70.00/hr. Rate 505.00",
+        [line(quantity=6, leg="delivery", rate=505, origin="Omaha", destination="Tulsa", accessorial=70)],
+    ),
 ]
 
 
@@ -135,7 +161,7 @@ def test_model_resolution(spark, default_ready):
 
 
 def test_registry_table(spark):
-    rows = registry_table(spark, ENTRIES, env={"FREIGHT_MODEL_LIGHT": "mirror"}).collect()
+    rows = registry_table(spark, ENTRIES, env={"MODEL_BASE_LIGHT": "mirror"}).collect()
     assert [r["name"] for r in rows] == ["older", "newer", "light"]
     assert (rows[2]["base"], rows[2]["label"], rows[0]["label"]) == ("mirror", "Light", "older")
     assert [r["is_default"] for r in rows] == [False, True, False]

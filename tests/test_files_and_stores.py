@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from ladewerk.functions.validation import parse_lines
 from ladewerk.operators.generate import generate
+from ladewerk.operators import scoring
 from ladewerk.operators.extract import extract_with, predictions
 from ladewerk.plans import jobs
 from ladewerk.schema import GATE_COLUMNS, LABELLED, LINES, PREDICTIONS
-from ladewerk.sources import files, positions, stores, versions
+from ladewerk.sources import files, positions, search, stores, versions
 
 LINE = '{"quantity": 1, "unit": "skids", "leg": "pickup", "rate": 2.5}'
 GOOD = '{"id": "1", "text": "t", "parsed_json": "[]"}'
@@ -289,3 +290,41 @@ def test_dataset_folder(spark, tmp_path):
     assert (data.train().count(), data.benchmark().collect()) == (2, bench.collect())
     data.write(train.limit(0), None, force=True)
     assert (data.train().count(), data.fixed_benchmark().count()) == (0, 1)
+
+
+def test_search_opens_only_files_that_can_match(spark, tmp_path):
+    rows = [(i, f"common words Harbor{i // 100} text {i} é" + (" Zweig-42x" if i == 555 else "")) for i in range(1000)] + [(1000, None), (1001, ""), (1002, "ab")]
+    df = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    store = search.SearchStore(spark, str(tmp_path / "s"))
+    with pytest.raises(FileNotFoundError):
+        store.search("x")
+    store.replace(df, rows_per_file=100)
+    assert len(store.files_of("common")) >= 10 and len(store.files_of("ZWEIG-42")) == 1 and store.files_of("nowhere") == []
+    for query in ("zweig-42X", "harbor7 TEXT", "é", "ab", "nowhere", "common zweig", "words 99", ""):
+        got = sorted(r["id"] for r in store.search(query).collect())
+        words = query.lower().split()
+        assert got == [i for i, t in rows if (t is not None or not words) and all(w in t.lower() for w in words)]
+    # The plan of a rare word reads its one file.
+    assert len(store.search("zweig-42x").inputFiles()) == 1 and len(store.read().inputFiles()) >= 10
+    store.replace(df.limit(3))
+    store.tidy()
+    assert store.read().count() == 3 and len(list((tmp_path / "s" / "index").iterdir())) == 1
+
+
+def test_bucketed_gold_is_joined_without_a_shuffle(spark, tmp_path):
+    gold = spark.range(50).select(F.col("id").cast("string").alias("id"), F.array().cast(LINES).alias("expected"))
+    predicted = gold.select("id", F.explode(F.array(F.lit("a"), F.lit("b"))).alias("model_name"), F.col("expected").alias("predicted"))
+    kept = []
+    for name, rows in (("gold_t", gold), ("predicted_t", predicted)):
+        store = stores.BucketedStore(spark, name, str(tmp_path / name), buckets=4)
+        store.replace(rows)
+        # Another session would have to be told of the table.
+        spark.sql(f"DROP TABLE {name}")
+        kept.append(store.read(rows.schema))
+    try:
+        out = scoring.score(scoring.attach_bucketed(kept[1], kept[0]))
+        assert out.where("category = 'CORRECT'").count() == 100
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in ("gold_t", "predicted_t"):
+            spark.sql(f"DROP TABLE {name}")
