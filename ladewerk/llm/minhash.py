@@ -36,6 +36,8 @@ from ladewerk.llm.simhash import shingle_set, words_of
 SKETCH, FLOOR = 96, 0.45
 #: Nodes that share a change and are met with others at once; classes of how many changes.
 BLOCK, CLASSES = 512, 32
+#: Lists of so few nodes are compared pair by pair.
+FEW_NODES = 16
 #: How many sets a task remembers to have given.
 REMEMBERED = 100_000
 
@@ -161,10 +163,11 @@ def _pairs(rows: DataFrame, similarity: float) -> DataFrame:
 
 
 def _open_lists(lists: DataFrame, of: DataFrame) -> DataFrame:
-    """lists with each node's component, without lists that lie in one component."""
+    """lists with each node's component and how many members a list has, without lists that
+    lie in one component."""
     rows = merge_join(lists, of, "node", "left").select("value", "node", "n", F.coalesce("component", "node").alias("component"))
-    many = rows.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("value")
-    return merge_join(rows, many, "value")
+    many = rows.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members"))
+    return merge_join(rows, many.where("low < high").select("value", "members"), "value")
 
 
 def _spokes(rows: DataFrame, weight: DataFrame, similarity: float) -> DataFrame:
@@ -194,10 +197,11 @@ def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity:
     met = merge_join(rows, hubs, "value").where("node <> hub").select("hub", "n_hub", "c_hub", "node", "n", "component").distinct()
     for side in ("hub", "node"):
         met = merge_join(met, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
-    apart = F.concat(F.array_except("w_node", "w_hub"), F.array_except("w_hub", "w_node"))
     base = ["hub", "node", "n", "n_hub", "component", "near_hub", "size"]
-    single = met.select("hub", "node", "n", "n_hub", "component", (F.col("component") == F.col("c_hub")).alias("near_hub"), F.size(apart).alias("size"), F.explode(apart).alias("change"))
-    single = stored(single, f"{folder}/changes")
+    apart = F.concat(F.array_except("w_node", "w_hub"), F.array_except("w_hub", "w_node"))
+    # The differences are kept as they are found, so that they are found once.
+    pairs = stored(met.select("hub", "node", "n", "n_hub", "component", (F.col("component") == F.col("c_hub")).alias("near_hub"), apart.alias("changes")), f"{folder}/changes")
+    single = pairs.select(*base[:-1], F.size("changes").alias("size"), F.explode("changes").alias("change"))
     shared = single.groupBy("hub", "change").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     # The changes that no other node of the hub has come first, and need no list.
     found = merge_join(single, shared, ["hub", "change"]).groupBy(*base).agg(F.sort_array(F.collect_list(F.struct("holders", "change"))).alias("changes"))
@@ -222,8 +226,13 @@ def _differences(rows: DataFrame, hubs: DataFrame, whole: DataFrame, similarity:
 
 def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity: float, folder: str) -> DataFrame:
     """Pairs of nodes of a list, of different components, that can be near though the list's
-    hub did not connect them. Both sides of a change that many nodes share are dealt to
-    blocks, so that no task holds it whole."""
+    hub did not connect them: of a list of few nodes all such pairs, of a longer one those
+    that share a change. Both sides of a change that many nodes share are dealt to blocks,
+    so that no task holds it whole."""
+    few = rows.where(F.col("members") <= FEW_NODES)
+    left, right = (few.select("value", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "xy")
+    direct = _pairs(merge_join(left, right, "value").where("x < y AND c_x <> c_y"), similarity)
+    rows = rows.where(F.col("members") > FEW_NODES)
     listed = cut(_differences(rows, _hubs(rows, weight), whole, similarity, folder))
     key = ["hub", "change", "low", "high"]
     listed = listed.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
@@ -238,7 +247,8 @@ def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity:
         for s, (mine, others) in names.items()
     ]
     met = merge_join(*sides, [*key, "part", "turn"])
-    return _pairs(met.where("x < y AND c_x <> c_y AND own_x = other_y AND own_y = other_x"), similarity)
+    shared = _pairs(met.where("x < y AND c_x <> c_y AND own_x = other_y AND own_y = other_x"), similarity)
+    return direct.unionByName(shared).distinct()
 
 
 def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float, first: DataFrame | None = None) -> DataFrame:
