@@ -255,7 +255,7 @@ ORACLES: dict[str, str] = {
     ),
     "indexed_search": O._with(
         O.CONF_TEXT,
-        f"SELECT id, {O._PREVIEW.format(t='text')} AS short_text FROM conf_texts WHERE text ILIKE '%po-177%' AND text ILIKE '%rate%'",
+        f"SELECT id, {O._PREVIEW.format(t='text')} AS short_text FROM conf_texts WHERE text ILIKE '%po-117%' AND text ILIKE '%movers%'",
     ),
     "score_bucketed_gold": O._with(
         O.SCORED, "SELECT id::VARCHAR AS id, model_name, category, field_accuracy FROM judged"
