@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm.common import partitions
-from ladewerk.llm.template import compile_template
+from ladewerk.llm.template import TemplateError, compile_template
 
 TEMPLATE = (
     "{% for message in messages %}"
@@ -59,9 +59,11 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
     """conv_id, part, text, begins, ends: the formatted conversation in parts, in order.
 
     turns: conv_id, turn, role, text; other columns are not read. begins and ends are the
-    code points of the part that a model is trained to write. A part holds what the
-    template made of one turn, so a conversation of any length is never held whole; the
-    parts of one lie together and in order in one partition. Turns go by turn, role and
+    code points of the part that a model is trained to write. The template renders a whole
+    conversation, over whose `messages` it may loop once (another loop is an error); what
+    it makes of one turn is a part, given on before the next turn is read, so a conversation
+    of any length is never held whole. The parts of one lie together and in order in one
+    partition. Turns go by turn, role and
     text (null first), repeated rows stay; null roles and texts are empty; rows with a null
     conv_id are one conversation. An empty table gives no rows.
     """
@@ -89,29 +91,44 @@ def format_conversations(turns: DataFrame, template: str = TEMPLATE) -> DataFram
     return ordered.mapInArrow(run, PARTS)
 
 
+class _Turns:
+    """The turns of a conversation as a template sees them: one after another, once."""
+
+    def __init__(self, own: Iterator[tuple]) -> None:
+        self.own, self.taken = own, -1
+
+    def __iter__(self) -> Iterator[dict]:
+        if self.taken >= 0:
+            raise TemplateError("a template can run over the messages once")
+        self.taken = 0
+        for _, role, text in self.own:
+            self.taken += 1
+            yield {"role": role or "", "text": text or ""}
+
+
 def _parts(render, own: Iterator[tuple]) -> Iterator[tuple]:
-    """(part, text, begins, ends) of one conversation, a part for each turn.
-
-    The template runs over one turn at a time: its loop gets that turn alone, so what
-    stands outside the loop must not depend on the turns and is written with each."""
-    for part, (_, role, text) in enumerate(own):
-        pieces: list[str] = []
-        begins: list[int] = []
-        ends: list[int] = []
-        at = 0
-
-        def emit(piece: str, generated: bool) -> None:
-            nonlocal at
-            if generated and piece:
-                if ends and ends[-1] == at:
-                    ends[-1] += len(piece)
-                else:
-                    begins.append(at)
-                    ends.append(at + len(piece))
-            pieces.append(piece)
-            at += len(piece)
-
-        render({"messages": ({"role": role or "", "text": text or ""},)}, emit)
+    """(part, text, begins, ends) of one conversation, which the template renders as a whole,
+    turn by turn as they come. A part ends where the next turn begins; what stands before
+    the first turn or behind the last one is in their parts."""
+    turns = _Turns(own)
+    pieces: list[str] = []
+    begins: list[int] = []
+    ends: list[int] = []
+    part = at = held = 0
+    for piece, generated in render({"messages": turns}):
+        if turns.taken > max(held, 1) and pieces:
+            yield part, "".join(pieces), begins, ends
+            pieces, begins, ends, part, at = [], [], [], part + 1, 0
+        held = turns.taken
+        if generated and piece:
+            if ends and ends[-1] == at:
+                ends[-1] += len(piece)
+            else:
+                begins.append(at)
+                ends.append(at + len(piece))
+        pieces.append(piece)
+        at += len(piece)
+    if pieces:
         yield part, "".join(pieces), begins, ends
 
 

@@ -13,14 +13,16 @@ a dash ({%- or -%}) drops the white space beside it.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
 
 TAGS = re.compile(r"(?s)(\{\{.*?\}\}|\{%.*?%\})")
 TOKENS = re.compile(r"""\s*(?:(?P<text>'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(?P<number>\d+)|(?P<name>[A-Za-z_]\w*)|(?P<sign>==|!=|[-+~|().\[\]=]))""")
 ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
-Emit = Callable[[str, bool], None]
+#: A piece of text, and whether it is what a model is to write.
+Piece = tuple[str, bool]
+Render = Callable[[dict], Iterable[Piece]]
 
 
 class TemplateError(ValueError):
@@ -333,45 +335,45 @@ def _expression(node: Any, filters: Mapping[str, Callable]) -> Callable[[dict],
     return lambda scope: binary(args[0](scope), args[1](scope))
 
 
-def _body(nodes: Iterable, filters: Mapping[str, Callable], generated: bool) -> Callable[[dict, Emit], None]:
-    steps: list[Callable[[dict, Emit], None]] = []
+def _body(nodes: Iterable, filters: Mapping[str, Callable], generated: bool) -> Render:
+    steps: list[Render] = []
     for node in nodes:
         if isinstance(node, Out):
             value = _expression(node.value, filters)
-            steps.append(lambda scope, emit, value=value: emit(_text(value(scope)), generated))
+            steps.append(lambda scope, value=value: ((_text(value(scope)), generated),))
         elif isinstance(node, Set):
             value = _expression(node.value, filters)
-            steps.append(lambda scope, emit, name=node.name, value=value: scope.__setitem__(name, value(scope)))
+            steps.append(lambda scope, name=node.name, value=value: scope.__setitem__(name, value(scope)) or ())
         elif isinstance(node, Generation):
             steps.append(_body(node.body, filters, True))
         elif isinstance(node, If):
             arms = [(_expression(c, filters), _body(b, filters, generated)) for c, b in node.arms]
 
-            def choose(scope, emit, arms=arms):
+            def choose(scope, arms=arms):
                 for condition, body in arms:
                     if condition(scope):
-                        body(scope, emit)
-                        return
+                        return body(scope)
+                return ()
 
             steps.append(choose)
         else:
             over, inner = _expression(node.over, filters), _body(node.body, filters, generated)
 
-            def loop(scope, emit, over=over, inner=inner, name=node.name):
+            def loop(scope, over=over, inner=inner, name=node.name):
                 for item in over(scope) or ():
-                    inner({**scope, name: item}, emit)
+                    yield from inner({**scope, name: item})
 
             steps.append(loop)
 
-    def run(scope: dict, emit: Emit) -> None:
+    def run(scope: dict) -> Iterator[Piece]:
         for step in steps:
-            step(scope, emit)
+            yield from step(scope)
 
     return run
 
 
-def compile_template(source: str, filters: Mapping[str, Callable] | None = None) -> Callable[[Mapping[str, Any], Emit], None]:
-    """A function of (names, emit). It calls emit(text, generated) piece by piece, so what a
-    loop runs over may be an iterator of any length."""
+def compile_template(source: str, filters: Mapping[str, Callable] | None = None) -> Callable[[Mapping[str, Any]], Iterator[Piece]]:
+    """A function of names that gives (text, generated) piece by piece, as they are asked
+    for, so what a loop runs over may be an iterator of any length."""
     run = _body(fold(parse(source)), {**BASE_FILTERS, **(filters or {})}, False)
-    return lambda names, emit: run(dict(names), emit)
+    return lambda names: run(dict(names))

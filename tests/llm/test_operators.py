@@ -372,9 +372,26 @@ def test_template_language():
 
 
 def _render(source, names):
-    out = []
-    template.compile_template(source)(names, lambda text, _: out.append(text))
-    return "".join(out)
+    return "".join(text for text, _ in template.compile_template(source)(names))
+
+
+def test_templates_render_whole_conversations(spark):
+    turns = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (2, 0, "assistant", "d")], "conv_id long, turn long, role string, text string")
+    source = "<s>{% for m in messages %}[{% if m.role == 'assistant' %}{% generation %}{{ m.text }}{% endgeneration %}{% else %}{{ m.text }}{% endif %}]{% endfor %}</s>"
+    parts = sorted(tuple(r) for r in chat.format_conversations(turns, source).collect())
+    assert parts == [(1, 0, "<s>[a]", [], []), (1, 1, "[b]", [1], [2]), (1, 2, "[c]</s>", [], []), (2, 0, "<s>[d]</s>", [4], [5])]
+    with pytest.raises(Exception, match="over the messages once"):
+        chat.format_conversations(turns, source + source).collect()
+    # Each part is given on before the next turn is read.
+    read = []
+
+    def own():
+        for i in range(3):
+            read.append(i)
+            yield 1, "user", f"t{i}"
+
+    given = chat._parts(chat._renderer(source), own())
+    assert next(given)[1] == "<s>[t0]" and read == [0, 1]
 
 
 def test_archives_and_index_give_the_pages_back(spark, monkeypatch):
