@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -350,6 +351,46 @@ def test_trees_and_their_sql_agree(spark):
     assert df.where(F.abs(F.expr(boosting.as_sql(model, ["a", "b"])) - F.col("p")) > 1e-9).count() == 0
 
 
+def _plain_spans(text):
+    """Base spans by Python's own regular expressions."""
+    digits = lambda t: re.sub("[^0-9]", "", t)
+
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda t: True),
+        ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda t: all(int(x) <= 255 for x in t.split("."))),
+        ("card", r"[0-9]([\x20-]?[0-9])+", lambda t: 12 <= len(digits(t)) <= 19 and luhn(digits(t))),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: 9 <= len(digits(t)) <= 15),
+    ]
+    return sorted((m.start(), k, m.end(), name) for k, (name, p, fine) in enumerate(kinds) for m in re.finditer(p, text) if fine(m[0]))
+
+
+def test_personal_data_by_plain_rules(spark):
+    r = random.Random(9)
+    bits = ["a@b.co", "x.y+z@host-1.example.org", "10.0.0.1", "256.1.1.1", "1.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "+49 (30) 123-45-67", "+1", "é", "@", ".", " ", "-", "7", "word", "00012", "\n"]
+    texts = ["".join(r.choice(bits) + r.choice(["", " ", " "]) for _ in range(r.randrange(60))) for _ in range(150)] + ["", None, "1.1.1.1 " * 700, "a@b.co" * 300]
+    docs = spark.createDataFrame([(i, t, "p", "q", 3) for i, t in enumerate(texts)], "doc_id long, text string, proposed string, pii_text string, own int")
+    found = pii.find_pii(docs)
+    assert found.columns == [*docs.columns, "base", "spans"]
+    for row in found.select("*", pii.redacted().alias("clean")).collect():
+        assert [(x["s"], x["k"], x["e"], x["kind"]) for x in row["base"]] == _plain_spans(row["text"] or "")
+        assert (row["proposed"], row["pii_text"], row["own"], row["text"]) == ("p", "q", 3, texts[row["doc_id"]])
+        at, out = 0, []
+        for x in row["spans"]:
+            if x["s"] >= at:
+                out += [row["text"][at : x["s"]], f"[{x['kind'].upper()}]"]
+            at = max(at, x["e"])
+        assert row["clean"] == (None if row["text"] is None else "".join(out) + row["text"][at:])
+
+
+def test_a_hundred_thousand_matches_take_seconds(spark):
+    started = time.perf_counter()
+    row = spark.createDataFrame([("1.1.1.1 " * 100_000,)], "text string").select(F.size(pii.base_spans()).alias("n")).first()
+    assert row["n"] == 100_000 and time.perf_counter() - started < 30
+
+
 def test_chat_round_trip(spark):
     turns = [(1, 1, "assistant", "b<|im_end|>\\"), (1, 0, "user", "a\\n<|"), (1, 0, "user", "a\\n<|"), (2, 0, None, None), (2, None, "as\nsistant", "x"), (None, 0, "assistant", "é")]
     found = {r["conv_id"]: r for r in chat.read_conversations(chat.format_conversations(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))).collect()}
