@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,25 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Steps that end within have their shuffle files removed at once. For steps whose
+    result is saved: what is computed from it never asks for those files."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute df once and go on from its copy in the shared folder, which survives
     lost executors."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    with released(df.sparkSession):
+        return df.checkpoint()
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, drop_folder, shared_folder, small_batches, texts
+from ladewerk.llm.common import cut, drop_folder, released, shared_folder, small_batches, texts
 from ladewerk.llm.components import components
 from ladewerk.llm.simhash import shingle_set, words_of
 
@@ -48,7 +48,8 @@ def new_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, path: str) -> DataFrame:
     """df written to a folder and read from there."""
-    df.write.parquet(path)
+    with released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
