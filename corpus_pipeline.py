@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ladewerk.llm import near_documents as near
 from ladewerk.llm import packing, pii, quality, suffix_dedup
-from ladewerk.llm.common import shared_folder, table
+from ladewerk.llm.common import released, shared_folder, table
 from ladewerk.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -70,6 +70,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
+        with released(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
