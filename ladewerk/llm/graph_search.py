@@ -19,6 +19,9 @@ from ladewerk.llm.common import cut
 SHARD_ROWS = 4096
 DEGREE, BEAM, ALPHA = 32, 64, 1.2
 BLOCK = 256
+#: Points that searches start from at least; queries of a shard whose answers are compared
+#: with brute force, and the share that the beam must find of these.
+ENTRIES, PROBES, RECALL = 64, 64, 0.98
 
 
 def _squares(points: np.ndarray, ids: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -30,34 +33,45 @@ def _squares(points: np.ndarray, ids: np.ndarray, queries: np.ndarray) -> np.nda
     return out
 
 
-def beam_search(points: np.ndarray, graph: np.ndarray, start: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def beam_search(points: np.ndarray, graph: np.ndarray, start: np.ndarray, queries: np.ndarray, beam: int, at_once: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best ids and squared distances (beam columns, nearest first, -1 and infinite where
-    there are fewer), and the ids expanded on the way (-1 filled), for a block of queries."""
+    there are fewer), and the ids expanded on the way (-1 filled), for a block of queries
+    that start from the best of some entries and expand at_once ids a step."""
     n = len(queries)
     ids = np.full((n, beam), -1, np.int32)
-    dist = np.full((n, beam), np.inf, np.float32)
-    done = np.ones((n, beam), bool)
-    ids[:, 0], done[:, 0] = start, False
-    dist[:, 0] = _squares(points, ids[:, :1], queries)[:, 0]
+    dist = np.full((n, beam), np.inf)
+    for i in range(0, len(start), BLOCK):
+        some = np.broadcast_to(start[i : i + BLOCK], (n, len(start[i : i + BLOCK]))).astype(np.int32)
+        all_ids = np.concatenate((ids, some), axis=1)
+        all_dist = np.concatenate((dist, _squares(points, some, queries)), axis=1)
+        order = np.argsort(all_dist, axis=1, kind="stable")[:, :beam]
+        ids, dist = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_dist, order, 1)
+    done = ids < 0
     expanded = []
     rows = np.arange(n)
     seen = np.zeros((n, len(points)), bool)
     seen[:, start] = True
     while len(rows):
         waiting = np.where(done[rows], np.inf, dist[rows])
-        pick = waiting.argmin(axis=1)
-        more = np.isfinite(waiting[np.arange(len(rows)), pick])
-        rows, pick = rows[more], pick[more]
+        # The beam is sorted, so the first that wait are the nearest.
+        pick = np.argsort(done[rows], axis=1, kind="stable")[:, :at_once]
+        more = np.isfinite(waiting.min(axis=1))
+        rows, pick, waiting = rows[more], pick[more], waiting[more]
         if not len(rows):
             break
-        step = np.full(n, -1, np.int32)
-        step[rows] = ids[rows, pick]
+        open_ = np.isfinite(np.take_along_axis(waiting, pick, 1))
+        step = np.full((n, at_once), -1, np.int32)
+        step[rows] = np.where(open_, np.take_along_axis(ids[rows], pick, 1), -1)
         expanded.append(step)
-        done[rows, pick] = True
-        near = graph[step[rows]]
+        done[rows[:, None], pick] = True
+        near = np.where((step[rows] >= 0)[:, :, None], graph[step[rows]], -1).reshape(len(rows), -1)
+        if at_once > 1:
+            near.sort(axis=1)
+            near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
         fresh = (near >= 0) & ~seen[rows[:, None], np.maximum(near, 0)]
         near = np.where(fresh, near, -1)
-        seen[rows[:, None], np.maximum(near, 0)] |= fresh
+        at, column = np.nonzero(fresh)
+        seen[rows[at], near[at, column]] = True
         d = _squares(points, near, queries[rows])
         all_ids = np.concatenate((ids[rows], near), axis=1)
         all_dist = np.concatenate((dist[rows], d), axis=1)
@@ -66,7 +80,7 @@ def beam_search(points: np.ndarray, graph: np.ndarray, start: int, queries: np.n
         ids[rows] = np.take_along_axis(all_ids, order, 1)
         dist[rows] = np.take_along_axis(all_dist, order, 1)
         done[rows] = np.take_along_axis(all_done, order, 1)
-    return ids, dist, np.stack(expanded, axis=1) if expanded else np.full((n, 0), -1, np.int32)
+    return ids, dist, np.concatenate(expanded, axis=1) if expanded else np.full((n, 0), -1, np.int32)
 
 
 def prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
@@ -93,11 +107,33 @@ def prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: i
     return out
 
 
-def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 0) -> tuple[np.ndarray, int]:
-    """The neighbours of each point (-1 filled), and where searches start."""
+def _entries(graph: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """start, and further points until a walk from one of them comes to every point."""
+    reached = np.zeros(len(graph), bool)
+    entries, edge = list(start), np.asarray(start)
+    while True:
+        while len(edge):
+            reached[edge] = True
+            near = np.unique(graph[edge])
+            near = near[near >= 0]
+            edge = near[~reached[near]]
+        left = np.flatnonzero(~reached)
+        if not len(left):
+            return np.array(entries, np.int32)
+        entries.append(left[0])
+        edge = left[:1]
+
+
+def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The neighbours of each point (-1 filled), and where searches start: the middle, some
+    points of all places, and one of each part that these do not reach."""
     n = len(points)
     random = np.random.default_rng(seed)
-    start = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
+    # Single precision is enough to choose neighbours by, around the middle and on one scale.
+    points = points - points.mean(axis=0)
+    points = (points / max(np.abs(points).max(), np.finfo(float).tiny)).astype(np.float32)
+    middle = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
+    start = np.unique(np.append(random.permutation(n)[: ENTRIES - 1], middle)).astype(np.int32)
     graph = random.integers(0, n, (n, min(degree, 8)), dtype=np.int32)
     graph = np.pad(graph, ((0, 0), (0, degree - graph.shape[1])), constant_values=-1)
     graph[graph == np.arange(n)[:, None]] = -1
@@ -120,7 +156,22 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
             back[np.repeat(np.arange(len(edges)), sizes), degree + np.arange(len(target)) - np.repeat(edges, sizes)] = source
             for j in range(0, len(hit), 4 * BLOCK):
                 graph[hit[j : j + 4 * BLOCK]] = prune(points, hit[j : j + 4 * BLOCK], back[j : j + 4 * BLOCK], degree, factor)
-    return graph, start
+    return graph, _entries(graph, start)
+
+
+def wide_enough(points: np.ndarray, graph: np.ndarray, start: np.ndarray, queries: np.ndarray, k: int, beam: int) -> int:
+    """The beam, or the first of its doubles that finds RECALL of the k nearest points of
+    PROBES of the queries, as brute force knows them. As wide as the shard, it finds all."""
+    probes = queries[:: -(-len(queries) // PROBES)]
+    k = min(k, len(points))
+    limit = np.array([np.partition(((points - q) ** 2).sum(axis=1), k - 1)[k - 1] for q in probes])
+    while beam < len(points):
+        _, dist, _ = beam_search(points, graph, start, probes, beam, max(1, beam // BLOCK))
+        # The two sums may differ in their last bits.
+        if (dist[:, :k] <= limit[:, None] * (1 + 1e-9)).mean() >= RECALL:
+            break
+        beam *= 2
+    return min(beam, max(k, len(points)))
 
 
 def _usable(rows: DataFrame) -> DataFrame:
@@ -136,19 +187,19 @@ def _vectors(column) -> np.ndarray:
 
 def graph_index(rows: DataFrame, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> DataFrame:
     """shard, size, vec_id, embedding, neighbours (places in the shard by vec_id order) and
-    start of each vector in rows (vec_id, embedding; vectors distinct). Shards are dealt by
+    entry (searches start there) of each vector in rows (vec_id, embedding; vectors distinct). Shards are dealt by
     hash, for each vector length apart, with about shard_rows rows."""
     shards = max(1, -(-rows.count() // shard_rows))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).withColumn("size", F.size("embedding"))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("vec_id")
-        graph, start = build_graph(_vectors(table.column("embedding")).astype(np.float32), degree, beam, alpha)
+        graph, start = build_graph(_vectors(table.column("embedding")), degree, beam, alpha)
         lists = pa.FixedSizeListArray.from_arrays(pa.array(graph.ravel()), degree).cast(pa.list_(pa.int32()))
         n = table.num_rows
-        return pa.table({"shard": table.column("shard"), "size": table.column("size"), "vec_id": table.column("vec_id"), "embedding": table.column("embedding"), "neighbours": lists, "start": pa.array(np.full(n, start, np.int32))})
+        return pa.table({"shard": table.column("shard"), "size": table.column("size"), "vec_id": table.column("vec_id"), "embedding": table.column("embedding"), "neighbours": lists, "entry": pa.array(np.isin(np.arange(n), start))})
 
-    return dealt.groupBy("shard", "size").applyInArrow(run, "shard int, size int, vec_id long, embedding array<double>, neighbours array<int>, start int")
+    return dealt.groupBy("shard", "size").applyInArrow(run, "shard int, size int, vec_id long, embedding array<double>, neighbours array<int>, entry boolean")
 
 
 def nearest(rows: DataFrame, every: int = 100, k: int = 10, beam: int = 2 * BEAM) -> DataFrame:
@@ -159,7 +210,8 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10, beam: int = 2 * BEAM
     and vectors that are zero or hold null or non-finite components, take no part. Only
     vectors of one length are compared. Equal vectors are one point of the index with its
     k + 1 smallest vec_ids, which is all that any answer can hold. Rows that repeat a
-    vec_id with the same vector count once. An empty table gives no rows.
+    vec_id with the same vector count once. A beam of `beam` is widened where a shard's
+    vectors need it (`wide_enough`). An empty table gives no rows.
     """
     usable = _usable(rows)
     window = Window.partitionBy("embedding").orderBy("vec_id")
@@ -177,15 +229,15 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10, beam: int = 2 * BEAM
         if left.num_rows and right.num_rows:
             left = left.sort_by("vec_id")
             exact = _vectors(left.column("embedding"))
-            points32 = exact.astype(np.float32)
             graph = _vectors(left.column("neighbours"))
-            start = left.column("start")[0].as_py()
+            start = np.flatnonzero(left.column("entry").to_numpy(zero_copy_only=False))
             vec_ids = left.column("vec_id").to_numpy()
             wanted = _vectors(right.column("embedding"))
             query_ids = right.column("query_id").to_numpy()
+            width = wide_enough(exact, graph, start, wanted, k + 1, beam)
             for i in range(0, len(wanted), BLOCK):
                 q = wanted[i : i + BLOCK]
-                ids, _, _ = beam_search(points32, graph, start, q.astype(np.float32), min(beam, max(k + 1, len(exact))))
+                ids, _, _ = beam_search(exact, graph, start, q, width, max(1, width // BLOCK))
                 dist = np.sqrt(((exact[np.maximum(ids, 0)] - q[:, None, :]) ** 2).sum(axis=2))
                 dist[ids < 0] = np.inf
                 order = np.lexsort((vec_ids[np.maximum(ids, 0)], dist), axis=1)[:, : k + 1]

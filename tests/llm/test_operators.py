@@ -469,6 +469,23 @@ def test_graph_search_recall_and_ties(spark):
     assert hit / total >= 0.9
 
 
+@pytest.mark.parametrize("kind", ["norms", "clusters", "huge"])
+def test_graph_search_recall_on_other_vectors(spark, kind):
+    """Vectors of very different norms, far groups, and squares beyond single precision."""
+    r = np.random.default_rng(4)
+    x = r.normal(size=(1800, 48))
+    x = {"norms": x * np.exp(2 * r.normal(size=(1800, 1))), "clusters": x + 50 * r.normal(size=(9, 48))[r.integers(0, 9, 1800)], "huge": x * 1e25}[kind]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found: dict = {}
+    for f in graph_search.nearest(rows, every=30, k=10).collect():
+        found.setdefault(f["query_id"], set()).add(f["vec_id"])
+    hit = 0
+    for q in range(0, 1800, 30):
+        dist = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        hit += len(found.get(q, set()) & set([i for i in np.argsort(dist) if i != q][:10]))
+    assert hit / 600 >= 0.95
+
+
 def test_toxicity_learns_held_out_words(spark, none):
     r = random.Random(7)
     rows, labels = [], []
