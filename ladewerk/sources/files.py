@@ -146,9 +146,11 @@ def write_jsonl(df: DataFrame, path: str, force: bool = True) -> int:
 
 def write_gate_files(scored: DataFrame, folder: str) -> None:
     """Scored predictions as JSON lines, `<model>.jsonl` for each model, in one pass; each
-    is a folder of part files, so a model may have any number of rows."""
+    is a folder of part files, so a model may have any number of rows. They are compressed,
+    as the lines of a list repeat all field names."""
     spark = scored.sparkSession
-    scored.withColumn("_file", F.col("model_name")).write.partitionBy("_file").json(f"{folder}/.new")
+    named = scored.withColumn("_file", F.col("model_name"))
+    named.write.partitionBy("_file").option("compression", "gzip").json(f"{folder}/.new")
     for name in child_names(spark, f"{folder}/.new"):
         if name.startswith("_file="):
             replace(spark, f"{folder}/.new/{name}", f"{folder}/{name.removeprefix('_file=')}.jsonl")
