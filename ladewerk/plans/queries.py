@@ -113,8 +113,9 @@ def score_bucketed_gold(spark, folder):
     confirmed = confirmations(spark, folder)
     gold = confirmed.select(F.col("id").cast("string").alias("id"), F.col("gold").alias("expected"))
     read = []
+    buckets = stores.buckets_for(B.table(spark, folder, "orders").count())
     for kind, rows in (("gold", gold), ("predicted", B.predictions(confirmed).drop("expected"))):
-        store = stores.BucketedStore(spark, f"{kind}_{uuid.uuid4().hex}", _new_folder(spark, kind), buckets=8)
+        store = stores.BucketedStore(spark, f"{kind}_{uuid.uuid4().hex}", _new_folder(spark, kind), buckets=buckets)
         store.replace(rows)
         read.append(store.read())
     raw = scoring.attach_bucketed(read[1], read[0])
@@ -571,10 +572,15 @@ def retrain_cycle(spark, folder):
     where = _new_folder(spark, "retrain")
     store = stores.PredictionStore(spark, f"{where}/predictions")
     data = stores.DatasetFolder(spark, f"{where}/dataset")
-    reviews = _reviews(spark, folder)
+    # The queue is written and read once a step, not made anew from the orders; so are the
+    # labels that the first training set is counted, cut and written from.
+    queue = stores.ReviewStore(spark, f"{where}/reviews")
+    queue.reload(_reviews(spark, folder))
+    reviews = queue.read()
     nothing = spark.createDataFrame([], LABELLED)
+    review.trusted_labels(reviews).write.parquet(f"{where}/labels-first")
     first = jobs.prepare_dataset(
-        review.trusted_labels(reviews), nothing, holdout_percent=20.0, seed=SEED
+        spark.read.schema(LABELLED).parquet(f"{where}/labels-first"), nothing, holdout_percent=20.0, seed=SEED
     )
     data.write(first.train, first.benchmark)
     confirmed = confirmations(spark, folder)

@@ -242,6 +242,15 @@ class PredictionStore:
         return path
 
 
+#: Rows of the smaller table that a bucket is meant for, and buckets at least.
+BUCKET_ROWS, LEAST_BUCKETS = 250_000, 8
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets whose sort takes a task the same memory, however many rows there are."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+
+
 @dataclass(frozen=True)
 class BucketedStore:
     """Rows stored in buckets of their id, as a table `name` whose files lie at `path`.

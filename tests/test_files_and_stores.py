@@ -328,3 +328,20 @@ def test_bucketed_gold_is_joined_without_a_shuffle(spark, tmp_path):
     finally:
         for name in ("gold_t", "predicted_t"):
             spark.sql(f"DROP TABLE {name}")
+
+
+def test_gate_files_are_compressed(spark, tmp_path):
+    rows = spark.range(4000).select(
+        F.lit("m").alias("model_name"), F.lit("v1").alias("version"), F.lit("CORRECT").alias("category"),
+        F.lit(1.0).alias("duration"), F.lit(1.0).alias("field_accuracy"), F.col("id").cast("string").alias("id"),
+    )
+    files.write_gate_files(rows, str(tmp_path / "g"))
+    parts = list((tmp_path / "g" / "m.jsonl").glob("part-*"))
+    assert parts and all(p.name.endswith(".gz") for p in parts)
+    assert sum(p.stat().st_size for p in parts) < 4000 * 20
+    read = files.read_gate_files(spark, str(tmp_path / "g" / "*.jsonl"), GATE_COLUMNS)
+    assert [tuple(r) for r in read.groupBy("file_model").count().collect()] == [("m", 4000)]
+
+
+def test_buckets_grow_with_the_rows():
+    assert [stores.buckets_for(n) for n in (0, 150_000, 2_000_001, 9_000_000)] == [8, 8, 9, 36]

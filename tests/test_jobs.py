@@ -178,3 +178,20 @@ def test_retrain_needs_a_benchmark_and_promotes_only_better(spark, tmp_path):
     assert store.incumbent().where("category = 'CORRECT'").count() == 20 and len(store.snapshots()) == 2
     # None of the benchmark's texts is trained on, and the rows counted are those written.
     assert all(n == done[0].n_train and not shared for n, shared in asked)
+
+
+def test_the_retrain_cycle_makes_the_queue_once(spark, monkeypatch):
+    """What training sets are counted, cut and written from is stored, not made from orders."""
+    from ladewerk.plans import queries
+
+    plans = []
+    prepare = jobs.prepare_dataset
+
+    def seen(real, *args, **options):
+        plans.append(real._jdf.queryExecution().optimizedPlan().toString())
+        return prepare(real, *args, **options)
+
+    monkeypatch.setattr(jobs, "prepare_dataset", seen)
+    monkeypatch.setattr(queries, "CANDIDATES", ["newer"])
+    assert queries.retrain_cycle(spark, "/root/testdata/sf0.001").count() == 1
+    assert len(plans) == 2 and not any("o_orderkey" in p for p in plans)

@@ -9,7 +9,7 @@ from ladewerk.functions.json_text import string_text
 from ladewerk.functions.validation import is_valid_lines, parse_items
 from ladewerk.operators.extract import extract_with
 from ladewerk.operators.scoring import attach_gold
-from ladewerk.session import work_folder
+from ladewerk.session import spread, work_folder
 from pyspark.sql import functions as F
 
 LINE = '{"quantity": 3, "unit": "skids", "leg": "delivery", "rate": 2.16}'
@@ -57,3 +57,21 @@ def test_gold_rows_of_one_id_are_refused(spark):
 
 def test_the_work_folder_needs_no_setting(spark):
     assert work_folder(spark) == work_folder(spark)
+
+
+def test_spread_goes_by_rows_not_by_scan_tasks(spark, tmp_path):
+    """Sixteen scan tasks, of which one holds nearly all rows."""
+    spark.range(40_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    for i in range(15):
+        spark.range(10).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    kept = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 20))
+    try:
+        table = spark.read.parquet(str(tmp_path / "t"))
+        assert table.rdd.getNumPartitions() >= 8
+        dealt = spread(table).groupBy(F.spark_partition_id().alias("t")).count().agg(F.max("count"), F.sum("count")).first()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", kept[0])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept[1])
+    assert dealt[1] == 40_150 and dealt[0] < 8_000
