@@ -7,6 +7,12 @@ import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: A task may hold this many times a core's even share of the rows, or so many rows.
+UNEVEN, LEAST_ROWS = 1.25, 1_000
+#: Rows of a task of a table that is dealt, so that what a task holds does not grow with it.
+TASK_ROWS = 500_000
 
 
 def local_session(cores: str = "8", memory: str = "8g", app: str = "ladewerk") -> SparkSession:
@@ -47,10 +53,18 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core for heavy row-local work on a table of few scan tasks.
+    """Use every core for heavy row-local work on a table.
 
-    A scan with at least one task per core is left alone, so a large table is
-    never shuffled for this.
+    What a scan task holds goes by bytes and row groups, so many tasks may be empty while a
+    few hold all rows. The rows of each are counted, which reads no column. A table whose
+    largest task holds little more than its share of a core is left alone; any other is
+    dealt evenly.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    tasks = df.rdd.getNumPartitions()
+    held = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    seen = held.agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    n, most = seen["n"] or 0, seen["most"] or 0
+    if tasks >= cores and most <= max(LEAST_ROWS, UNEVEN * n / cores):
+        return df
+    return df.repartition(max(cores, tasks, -(-n // TASK_ROWS)))
