@@ -2,9 +2,10 @@
 
 Four base kinds follow fixed rules. Beside them, generators of high recall propose spans
 that may overlap; boosted trees score each by its format and context, and a threshold
-for each generator selects what is added. The trees are fitted on the driver on a bounded
-sample, with base matches and what follows a cue word (token, tel, account) as labels; all
-rows are then scored inside the plan.
+for each generator selects what is added. The trees are fitted on the candidates of all
+documents, with base matches and what follows a cue word (token, tel, account) as labels;
+the driver gets one row with a count for all candidates that look alike, and features are
+small numbers, so these are few. All rows are then scored inside the plan.
 
 A text is scanned by a generator only if it holds a character that every match needs.
 """
@@ -35,8 +36,8 @@ GENERATORS = (
     ("token", r"(?<![A-Za-z0-9])(?=[A-Za-z]*[0-9])[A-Za-z0-9]{16,}+", "[0-9]"),
 )
 FEATURES = {
-    "n": "length(t)", "digits": "length(d)", "groups": "size(split(t, '[^0-9]+'))", "plus": "IF(startswith(t, '+'), 1, 0)",
-    "dots": "length(t) - length(replace(t, '.', ''))", "parens": "IF(contains(t, '('), 1, 0)", "dashes": "length(t) - length(replace(t, '-', ''))",
+    "n": "least(length(t), 64)", "digits": "least(length(d), 32)", "groups": "least(size(split(t, '[^0-9]+')), 16)", "plus": "IF(startswith(t, '+'), 1, 0)",
+    "dots": "least(length(t) - length(replace(t, '.', '')), 8)", "parens": "IF(contains(t, '('), 1, 0)", "dashes": "least(length(t) - length(replace(t, '-', '')), 8)",
     "luhn": "IF(length(d) BETWEEN 12 AND 19 AND luhn_check(d), 1, 0)", "quad": r"IF(t RLIKE '\\A[0-9]{1,3}(?:\\.[0-9]{1,3}){3}\\z', 1, 0)",
     "mail": r"IF(t RLIKE '[A-Za-z0-9]@[A-Za-z0-9-]+\\.[A-Za-z]', 1, 0)", "hex": r"IF(t RLIKE '(?i)\\A[0-9a-f]+\\z', 1, 0)",
     "quoted": r"IF(before RLIKE '[\"\'=:]\\s?\\z', 1, 0)", "glued": r"IF(before RLIKE '[A-Za-z0-9]\\z' OR after RLIKE '\\A[A-Za-z0-9]', 1, 0)",
@@ -45,9 +46,8 @@ FEATURES = {
 CONTEXT = 24
 #: Matches that are put together at once.
 BLOCK = 256
-#: Documents that the trees are fitted on at most (by hash of doc_id among those that hold
-#: a digit or @), and the share of a generator's selected candidates that must be true.
-SAMPLE_DOCS, PRECISION = 3_000, 0.98
+#: The share of a generator's selected candidates that must be true.
+PRECISION = 0.98
 
 
 def _quote(pattern: str) -> str:
@@ -104,15 +104,13 @@ def _feature(name: str, row: str) -> str:
     return re.sub(r"(?<![\w'.])(t|d|before|after)(?![\w'.])", rf"{row}.\1", FEATURES[name])
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[str, dict[str, float]]:
+def fit(docs: DataFrame) -> tuple[str, dict[str, float]]:
     """The trees as SQL over a candidate x, and each generator's threshold (over 1: none).
 
     A candidate counts as personal if a base span lies inside it or holds it, or if a cue
     word comes right before it. What only the cue word labels is learned twice, with that
     feature and without it, so that the format counts too."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    some = rows.where("text RLIKE '[0-9@]'").select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(sample)
-    own = rows.join(F.broadcast(some), "id", "left_semi").select(base_spans().alias("base"), candidates().alias("proposed"))
+    own = docs.select(F.coalesce("text", F.lit("")).alias("text")).where("text RLIKE '[0-9@]'").select(base_spans().alias("base"), candidates().alias("proposed"))
     names = list(FEATURES)
     true = "exists(base, b -> b.s < x.e AND x.s < b.e AND (b.s >= x.s AND b.e <= x.e OR x.s >= b.s AND x.e <= b.e))"
     cued = f"{_feature('cue', 'x')} = 1 AND {_feature('glued', 'x')} = 0"
@@ -124,21 +122,24 @@ def fit(docs: DataFrame, sample: int = SAMPLE_DOCS) -> tuple[str, dict[str, floa
     x = np.array([[r[f] for f in names] for r in found]).reshape(-1, len(names))
     y = np.array([float(r["y"]) for r in found])
     n = np.array([r["count"] for r in found], np.int64)
-    turn = np.arange(int(n.sum()))
-    x, y, kinds = np.repeat(x, n, axis=0), np.repeat(y, n), np.repeat([r["kind"] for r in found], n)
-    learn = turn % 3 != 0
-    model = fit_trees(x[learn], y[learn])
-    score = predict(model, x[~learn])
+    kinds = np.array([r["kind"] for r in found], object)
+    # Every third candidate, in this order, sets the thresholds.
+    ends = np.cumsum(n)
+    apart = (ends + 2) // 3 - (ends - n + 2) // 3
+    learn, check = n > apart, apart > 0
+    model = fit_trees(x[learn], y[learn], (n - apart)[learn])
+    score = predict(model, x)
     limits = {}
     for kind, _, _ in GENERATORS:
-        own_score, own_y = score[kinds[~learn] == kind], y[~learn][kinds[~learn] == kind]
-        fine = [t / 100 for t in range(50, 100) if (own_score >= t / 100).any() and own_y[own_score >= t / 100].mean() >= PRECISION]
+        own = check & (kinds == kind)
+        own_score, own_y, own_n = score[own], y[own], apart[own]
+        fine = [t / 100 for t in range(50, 100) if (own_score >= t / 100).any() and np.average(own_y[own_score >= t / 100], weights=own_n[own_score >= t / 100]) >= PRECISION]
         limits[kind] = max(0.9, fine[0]) if fine else 2.0
     columns = [f"CAST({_feature(f, 'x')} AS DOUBLE)" for f in names]
     return as_sql(model, columns), limits
 
 
-def find_pii(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
+def find_pii(docs: DataFrame) -> DataFrame:
     """docs with base (spans of the base kinds) and spans (these and the added ones), each
     an array of (s, k, e, kind, t, d): code points from s to e, kind number and name, the
     text and its digits, by start and kind.
@@ -147,7 +148,7 @@ def find_pii(docs: DataFrame, sample: int = SAMPLE_DOCS) -> DataFrame:
     or spans are replaced. Each row gets its result, repeated ones too; an empty table gives
     no rows.
     """
-    score, limits = fit(docs, sample)
+    score, limits = fit(docs)
     limit = "CASE x.kind " + " ".join(f"WHEN '{k}' THEN {v}D" for k, v in limits.items()) + " END"
     # The columns of docs, whatever their names, ride along in one.
     names = [c for c in docs.columns if c not in ("base", "spans")]

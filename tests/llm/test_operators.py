@@ -449,6 +449,29 @@ def test_archives_and_index_give_the_pages_back(spark, monkeypatch):
     assert warc.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pii_learns_from_all_documents(spark, monkeypatch):
+    """3,600 documents with a candidate each, two thirds of which teach the trees."""
+    seen = []
+    fit_trees = pii.fit_trees
+
+    def counted(x, y, n=None):
+        seen.append((len(y), len(y) if n is None else int(n.sum())))
+        return fit_trees(x, y) if n is None else fit_trees(x, y, n)
+
+    monkeypatch.setattr(pii, "fit_trees", counted)
+    docs = spark.range(3600).select(F.col("id").alias("doc_id"), F.concat(F.lit("call +49 30 "), (F.col("id") + 1000000).cast("string")).alias("text"))
+    pii.find_pii(docs)
+    assert seen[0][1] == 2400 and seen[0][0] < 100
+
+
+def test_trees_of_counted_rows_are_those_of_repeated_ones():
+    r = np.random.default_rng(1)
+    x, n = r.integers(0, 6, (60, 3)).astype(float), r.integers(1, 9, 60)
+    y = (x[:, 0] + r.integers(0, 3, 60) > 4).astype(float)
+    whole = boosting.predict(boosting.fit_trees(np.repeat(x, n, axis=0), np.repeat(y, n)), x)
+    assert np.allclose(boosting.predict(boosting.fit_trees(x, y, n), x), whole)
+
+
 def test_graph_search_recall_and_ties(spark):
     r = np.random.default_rng(2)
     x = r.normal(size=(600, 12)).astype(np.float32)
