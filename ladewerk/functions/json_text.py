@@ -14,7 +14,7 @@ from ladewerk.schema import LINE
 def number_text(d: Column) -> Column:
     """A decimal without insignificant zeros: 1847.50 -> 1847.5, 4200.00 -> 4200."""
     # The decimals here always have a scale above zero, so the point is printed.
-    return F.when(d == 0, "0").otherwise(F.regexp_replace(d.cast("string"), r"\.?0+$", ""))
+    return F.when(d == 0, "0").otherwise(F.rtrim(F.rtrim(d.cast("string"), F.lit("0")), F.lit(".")))
 
 
 def _hex4(n: Column) -> Column:

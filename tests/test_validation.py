@@ -2,6 +2,7 @@ import pytest
 from conftest import line
 from pyspark.sql import functions as F
 
+from ladewerk.functions import validation as V
 from ladewerk.functions.validation import (
     date_ladder_ok, guard_references, in_vocabulary, is_valid_lines, one_reference, parse_lines,
     reference_unsupported, review_row_valid,
@@ -109,3 +110,26 @@ def test_label_predicates(spark):
     assert ok.select(date_ladder_ok(c), one_reference(c), in_vocabulary(c)).first() == (True,) * 3
     bad = lines_df(spark, [line(pickup_day=3, reference="a", unit="box"), line(reference="b")])
     assert bad.select(date_ladder_ok(c), one_reference(c), in_vocabulary(c)).first() == (False,) * 3
+
+
+def test_plain_lists_are_read_in_one_pass_with_the_same_values(spark):
+    full = (
+        '{"origin": "CHI", "destination": "", "quantity": -12, "unit": "skids", "weight": 4200.25, "pickup_day": 5, "pickup_month": 12, '
+        '"pickup_year": 2025, "leg": "pickup", "accessorial": 0.000000000000000001, "rate": 123456789012345678.123456789012345678, "reference": "PO #1, {[\'"}'
+    )
+    least = "{" + GOOD + "}"
+    plain = [f"[{least}]", f"[{full}]", f"[{full}, {least}, {full}]", "[]", "[" + ", ".join([least] * 5_000) + "]"]
+    other = [
+        f"[{least},{least}]", f"[{least}] ", f"[{least}, ]", f"[{least}]]", f"[{least}", f"[{least}, {{}}]", f"[, {least}]",
+        full, f"[{full[:-1]}, \"unit\": \"x\"}}]", "[{" + GOOD.replace("1,", "01,") + "}]", "[{" + GOOD.replace("1,", "1.0,") + "}]",
+        "[{" + GOOD.replace("10", "1e2") + "}]", "[{" + GOOD.replace("10", "1.") + "}]", "[{" + GOOD.replace("skids", 'a\\"b') + "}]",
+        "[{" + GOOD.replace("skids", "a\nb") + "}]", "[{" + GOOD.replace("skids", "é") + "}]", "[{" + GOOD.replace("1,", "9223372036854775808,") + "}]",
+        "[{" + GOOD.replace("10", "1234567890123456789012") + "}]", "[{" + GOOD.replace("10", "0.1234567890123456789") + "}]",
+        '[{"destination": "x", "origin": "y", ' + GOOD + "}]", "[{" + GOOD.replace('"leg"', '"pickup_day": 12345678901, "leg"') + "}]", None, "", "\n[]",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(plain + other)], "i int, t string").repartition(3)
+    t = F.col("t")
+    got = df.select("i", t.rlike(V._PLAIN_LIST).alias("plain"), parse_lines("t").alias("now"), V.lines_of_variant(V.whole_value(t)).alias("checked")).orderBy("i").collect()
+    assert [bool(r["plain"]) for r in got] == [True] * len(plain) + [False] * len(other)
+    assert [r["now"] for r in got] == [r["checked"] for r in got]
+    assert got[1]["now"][0]["reference"] == "PO #1, {['" and got[0]["now"][0]["rate"] == 10 and len(got[4]["now"]) == 5_000
