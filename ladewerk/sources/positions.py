@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: One row a split goes to the driver and is sent to all tasks. Spark's driver lists every
 #: split too; a split has up to 128 MB, so this many are about 100 TB.
 BROADCAST_SPLITS = 1_000_000
+#: Lines that a Python worker holds at once at most: a line may be a long text.
+BATCH_LINES = 512
 _SPLIT = ["file", "split", "length"]
 _NUMBERED = "file string, split long, length long, line_no long, row_idx long, line string"
 
@@ -79,6 +81,10 @@ def numbered_lines(spark: SparkSession, path: str, broadcast_splits: int = BROAD
     read cut the files into other splits than were counted, it fails rather than misnumber.
     """
     lines = _lines(spark, path)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_LINES:
+        # For the rest of the session, as the lines are read when the result is used.
+        spark.conf.set(key, str(BATCH_LINES))
     counts = lines.groupBy(*_SPLIT).agg(F.count(F.lit(1)).alias("lines"), F.count_if(_written("line")).alias("rows")).collect()
     starts = spark.createDataFrame(_starts(counts), "file string, split long, length long, lines_before long, rows_before long")
     inside = lines.select(*_SPLIT, "line", _written("line").alias("written")).mapInArrow(_count_inside, _NUMBERED)
