@@ -16,18 +16,19 @@ from ladewerk.functions.text import has_words
 from ladewerk.sources import files
 from ladewerk.sources.versions import ManifestLog, new_version
 
-#: Places of a file's bitmap, in pieces of the size of Spark's bitmaps.
-PIECE, PIECES = 1 << 15, 8
+#: Places of a file's bitmap, and how many of them share a word of it.
+PLACES, WORD = 1 << 18, 64
 ROWS_PER_FILE = 100_000
 
 
 def trigram_places(rows: DataFrame, text: str, *keep: str) -> DataFrame:
     """keep and one row for each place of each text's trigrams."""
-    split = rows.select(*keep, F.lower(F.col(text)).alias("_t")).select(*keep, F.split("_t", "").alias("_l"))
-    ends = F.sequence(F.lit(0), F.size("_l") - 3)
-    grams = F.transform(ends, lambda i: F.concat(F.get("_l", i), F.get("_l", i + 1), F.get("_l", i + 2)))
-    hashed = F.transform(F.array_distinct(grams), lambda g: F.pmod(F.xxhash64(g), F.lit(PIECE * PIECES)))
-    return split.where(F.size("_l") > 2).select(*keep, F.explode(F.array_distinct(hashed)).alias("place"))
+    lower = rows.select(*keep, F.lower(F.col(text)).alias("_t")).where(F.length("_t") > 2)
+    # From each letter but the last two. A letter's number finds it in the split text at once.
+    split = lower.select(*keep, F.split("_t", "").alias("_l"))
+    at = split.select(*keep, "_l", F.explode(F.sequence(F.lit(0), F.size("_l") - 3)).alias("_i"))
+    gram = F.concat(F.get("_l", "_i"), F.get("_l", F.col("_i") + 1), F.get("_l", F.col("_i") + 2))
+    return at.select(*keep, F.pmod(F.xxhash64(gram), F.lit(PLACES)).alias("place"))
 
 
 @dataclass(frozen=True)
@@ -48,10 +49,11 @@ class SearchStore:
         data, index = (f"{self.path}/{part}/{version}" for part in ("data", "index"))
         rows.write.option("maxRecordsPerFile", rows_per_file).parquet(data)
         stored = self.spark.read.parquet(data).select(F.col("_metadata.file_path").alias("file"), F.col(self.text))
-        # A task counts a place of a file once; a file's bitmap takes 32 KB at most.
-        places = trigram_places(stored, self.text, "file").withColumn("piece", F.floor(F.col("place") / PIECE).cast("int"))
-        bits = F.bitmap_construct_agg(F.pmod("place", F.lit(PIECE))).alias("bits")
-        places.groupBy("file", "piece").agg(bits).write.parquet(index)
+        # A task counts a word of a file once, by hash; a file has at most 4,096 words.
+        places = trigram_places(stored, self.text, "file")
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("place", F.lit(WORD)).cast("int"))
+        words = places.select("file", F.floor(F.col("place") / WORD).cast("int").alias("word"), one.alias("bit"))
+        words.groupBy("file", "word").agg(F.bit_or("bit").alias("bits")).write.parquet(index)
         self._log().publish(lambda _: {"version": version})
 
     def _version(self) -> str:
@@ -74,9 +76,9 @@ class SearchStore:
             return [r["file"] for r in self.read().select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
         held = F.lit(0)
         for place in wanted:
-            byte = F.conv(F.hex(F.substring("bits", place % PIECE // 8 + 1, 1)), 16, 10).cast("int")
-            held = held + F.when((F.col("piece") == place // PIECE) & (F.shiftright(byte, place % 8).bitwiseAND(1) == 1), 1).otherwise(0)
-        found = index.groupBy("file").agg(F.sum(held).alias("held")).where(F.col("held") == len(wanted))
+            held = held + F.when((F.col("word") == place // WORD) & (F.getbit("bits", F.lit(place % WORD)) == 1), 1).otherwise(0)
+        asked = index.where(F.col("word").isin(sorted({place // WORD for place in wanted})))
+        found = asked.groupBy("file").agg(F.sum(held).alias("held")).where(F.col("held") == len(wanted))
         # One name for each file that is read: Spark's driver would list them too.
         return sorted(r["file"] for r in found.select("file").collect())
 
