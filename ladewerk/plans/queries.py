@@ -126,7 +126,8 @@ def score_attached_gold(spark, folder):
     """Gold stored once, joined to the predictions by id."""
     confirmed = confirmations(spark, folder)
     gold = confirmed.select(F.col("id").cast("string").alias("id"), F.col("gold").alias("expected"))
-    raw = scoring.attach_gold(B.predictions(confirmed).drop("expected"), gold)
+    # Without the texts: a side too large to broadcast is spread by all of its columns.
+    raw = scoring.attach_gold(B.predictions(confirmed).drop("expected", "text"), gold)
     return scoring.score(raw).select("id", "model_name", "category", "field_accuracy")
 
 
