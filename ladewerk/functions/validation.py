@@ -44,10 +44,11 @@ def _plain_list_pattern() -> str:
         else:
             fields += rf"(?:, {pair})" + ("" if f.name in REQUIRED_FIELDS else "?+")
     line = rf"\{{{fields}\}}"
-    return rf"\A\[(?:{line}(?:, {line})*+)?+\]\z"
+    return rf"\[(?:{line}(?:, {line})*+)?+\]"
 
 
-_PLAIN_LIST = _plain_list_pattern()
+PLAIN_LINES = _plain_list_pattern()
+_PLAIN_LIST = rf"\A{PLAIN_LINES}\z"
 
 
 def _kind(v: Column) -> Column:

@@ -156,7 +156,8 @@ class PredictionStore:
     def _save(self, rows: DataFrame, kind: str, run: str) -> None:
         schema = PREDICTIONS if kind == "scored" else PREDICTIONS_RAW
         kept = rows.select(*schema.fieldNames())
-        kept.write.partitionBy("model_name", "version").parquet(f"{self.root}/{kind}/run={run}")
+        with files.open_together(self.spark):
+            kept.write.partitionBy("model_name", "version").parquet(f"{self.root}/{kind}/run={run}")
 
     def _run(self, kind: str, run: str) -> DataFrame:
         schema = PREDICTIONS if kind == "scored" else PREDICTIONS_RAW
