@@ -23,7 +23,7 @@ from ladewerk.operators.selection import seeded_parts
 from ladewerk.plans import jobs
 from ladewerk.plans import tables as B
 from ladewerk.schema import EXAMPLES_EXPORT, GATE_COLUMNS, LABELLED
-from ladewerk.session import work_folder
+from ladewerk.session import in_order, work_folder
 from ladewerk.sources import files, stores
 from ladewerk.sources.positions import numbered_lines
 from ladewerk.sources.search import SearchStore
@@ -58,8 +58,11 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
     return B.reviews(confirmations(spark, folder))
 
 
-def _examples(spark: SparkSession, folder: str) -> DataFrame:
-    return generate.generate_from(B.table(spark, folder, "orders"), SEED, index="o_orderkey")
+def _examples(spark: SparkSession, folder: str, by_id: bool = False) -> DataFrame:
+    orders = B.table(spark, folder, "orders")
+    if by_id:
+        orders = in_order(orders, generate.example_id(SEED, "o_orderkey"))
+    return generate.generate_from(orders, SEED, index="o_orderkey")
 
 
 def _rounded(ranking: DataFrame) -> DataFrame:
@@ -303,7 +306,8 @@ def review_load_plan(spark, folder):
 def seed_file_load(spark, folder):
     """A seed file of many parts, with blank lines, read by line number into the queue."""
     where = _new_folder(spark, "seed")
-    rows = _seed_rows(spark, folder).orderBy("id")
+    orders = in_order(B.table(spark, folder, "orders"), F.col("o_orderkey"))
+    rows = B.confirmations(orders).select("id", "text", "gold")
     line = F.concat(
         F.lit('{"id": '), string_text(F.format_string("seed-%03d", "id")), F.lit(', "text": '), string_text(F.col("text")), F.lit(', "gold": '), lines_json("gold"), F.lit("}"),
     )
@@ -343,7 +347,7 @@ def synth_generate(spark, folder):
 
 
 def synth_export(spark, folder):
-    return stores.export_rows(_examples(spark, folder))
+    return stores.export_rows(_examples(spark, folder, by_id=True), by_id=True)
 
 
 def synth_sample(spark, folder):
@@ -563,7 +567,9 @@ def breakdown_from_files(spark, folder):
 def export_round_trip(spark, folder):
     """Trusted labels through a JSON-lines file."""
     path = _new_folder(spark, "labels") + "/jsonl"
-    files.write_jsonl(review.trusted_labels(_reviews(spark, folder)).orderBy("id"), path)
+    # The id of a label is the order's key as text.
+    orders = in_order(B.table(spark, folder, "orders"), F.col("o_orderkey").cast("string"))
+    files.write_jsonl(review.trusted_labels(B.reviews(B.confirmations(orders))), path)
     return files.read_jsonl(spark, path, LABELLED)
 
 

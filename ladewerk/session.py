@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A task may hold this many times a core's even share of the rows, or so many rows.
@@ -68,3 +68,13 @@ def spread(df: DataFrame) -> DataFrame:
     if tasks >= cores and most <= max(LEAST_ROWS, UNEVEN * n / cores):
         return df
     return df.repartition(max(cores, tasks, -(-n // TASK_ROWS)))
+
+
+def in_order(df: DataFrame, key: Column) -> DataFrame:
+    """df sorted by a key, for what is then computed row by row and stays in that order.
+
+    A sort of rows with costly columns computes them twice, once only to see how the key is
+    spread; so the rows are sorted before.
+    """
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // TASK_ROWS))
+    return df.repartitionByRange(tasks, key).sortWithinPartitions(key)

@@ -52,9 +52,11 @@ def ordered_sample(examples: DataFrame, n: int = 5) -> DataFrame:
     return examples.orderBy("id").limit(n)
 
 
-def export_rows(examples: DataFrame) -> DataFrame:
-    """Four of the five columns, by id; parsed_json stays JSON text."""
-    return examples.select("id", "text", "parsed_json", "style").orderBy("id")
+def export_rows(examples: DataFrame, by_id: bool = False) -> DataFrame:
+    """Four of the five columns, by id; parsed_json stays JSON text. Examples that come
+    `by_id` already are not sorted again."""
+    rows = examples.select("id", "text", "parsed_json", "style")
+    return rows if by_id else rows.orderBy("id")
 
 
 @dataclass(frozen=True)
