@@ -528,3 +528,23 @@ def test_toxicity_learns_held_out_words(spark, none):
     assert np.mean([x["predicted"] == (x["doc_id"] % 3 == 0) for x in apart]) > 0.95
     assert all(0 <= x["score"] <= 1 for x in found) and len(found) == 902
     assert toxicity.toxicity(none, known).count() == 0
+
+
+def test_toxicity_learns_from_every_labelled_document(spark):
+    """However many documents there are, and with their shards apart: a word that a few of
+    the last ones alone have is learned as well."""
+    r = random.Random(5)
+    rows, labels = [], []
+    for i in range(2_000):
+        toxic = i % 4 == 0
+        words = r.choices([f"word{k}" for k in range(200)], k=12) + [("vile" if i % 8 else "nasty") if toxic else "kind"]
+        rows.append((i, " ".join(words), "en", 0))
+        labels.append((i, 1, int(toxic)))
+    docs, known = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    read = toxicity._labelled(docs, known.selectExpr("doc_id AS id", "toxic = 1 AS toxic"), 4)
+    assert read.rdd.getNumPartitions() == 4 and read.count() == 2_000
+    found = toxicity.toxicity(docs, known, shard_docs=300).where("held_out").collect()
+    assert np.mean([x["predicted"] == (x["doc_id"] % 4 == 0) for x in found]) > 0.95
+    start = toxicity._start(0.3)
+    again = toxicity._packed(toxicity._unpacked(toxicity._packed(start)))
+    assert np.array_equal(again, toxicity._packed(start))
