@@ -3,6 +3,9 @@
 Two rule sets: `clean` knows the spelled-out forms only, `full` also the
 abbreviations. All rules are regular expressions over one text segment. The
 expression is large, so it is written as SQL text and parsed once.
+
+A rule that could start at any place first looks at the character there: a word
+boundary, a look behind or a list of words costs many times more.
 """
 
 from __future__ import annotations
@@ -22,18 +25,26 @@ _AMOUNT = r"(\d[\d,]*(?:\.\d+)?)"
 OTHER_CHARGES = ["fuel surcharge", "surcharge", "FSC", "detention", "lumper", "layover"]
 REFERENCE_WORDS = ["PO", "BOL", "REF", "SO", "PRO", "LOAD", "acct"]
 # --- end of fixed values ----------------------------------------------------
+
+
+def _one_of(words: list[str]) -> str:
+    """Next comes the first letter of one of these words."""
+    return f"(?=[{''.join(sorted({w[0] for w in words}))}])"
+
+
 _KINDS = "|".join([*CHARGE_KINDS, *OTHER_CHARGES])
+_KIND = _one_of([*CHARGE_KINDS, *OTHER_CHARGES])
 _FULL_MONTHS = "|".join(MONTHS)
 _ANY_MONTH = "|".join(f"{m[:3]}(?:{m[3:]})?" if m[3:] else m for m in MONTHS)
 # Capitalised words that end a place name: they open the next phrase.
 _NOT_A_PLACE = rf"(?!(?:WT|RT|ORIG|DEST|REF|(?i:{_ANY_MONTH}))\b)"
-_WORD = rf"\b(?=[A-Z]){_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
+_WORD = rf"(?=[A-Z])\b{_NOT_A_PLACE}(?:St\.|[A-Z][A-Za-z]*)"
 _PLACE = rf"({_WORD}(?: {_WORD})*)"
 _SITE = "(?: (?:dock|yard|terminal|warehouse|plant|depot))?"
-_LOADING = rf"\bloading {_PLACE}, unloading {_PLACE}"
-_TURNED = rf"\b(?:in)?to {_PLACE}{_SITE} from {_PLACE}"  # the destination comes first
+_LOADING = rf"(?=l)\bloading {_PLACE}, unloading {_PLACE}"
+_TURNED = rf"(?=[it])\b(?:in)?to {_PLACE}{_SITE} from {_PLACE}"  # the destination comes first
 # A number, or a short prefix and a number, behind the word.
-REFERENCE = rf"\b((?:{'|'.join(REFERENCE_WORDS)})[-# ]?(?:[A-Z]{{1,4}}-)?\d[\d-]*)"
+REFERENCE = rf"{_one_of(REFERENCE_WORDS)}\b((?:{'|'.join(REFERENCE_WORDS)})[-# ]?(?:[A-Z]{{1,4}}-)?\d[\d-]*)"
 _BILLED = "(?: (?:is )?(?:billed|charged))?(?: at)?"
 _PER_TIME = r"(?![\d,.]*/ ?(?:hr|hour|day)\b)"  # such an amount is no rate
 
@@ -56,46 +67,46 @@ class Rules:
 CLEAN = Rules(
     name="clean",
     units={u: [u, u[:-1]] for u in UNIT_SHORT},
-    delivery=r"(?i)\b(deliver|delivery|DLV)\b",
+    delivery=r"(?i)(?=d)\b(deliver|delivery|DLV)\b",
     both_ends=[rf"{_PLACE}{_SITE} (?:to|bound for) {_PLACE}", _LOADING],
-    start_only=rf"\b(?:from|out of|loading|origin) {_PLACE}",
-    end_only=rf"\b(?:to|unloading|bound for) {_PLACE}",
+    start_only=rf"(?=[flo])\b(?:from|out of|loading|origin) {_PLACE}",
+    end_only=rf"(?=[tub])\b(?:to|unloading|bound for) {_PLACE}",
     weight=r"(\d[\d,]*) ?(?:lbs|pounds)\b",
     month_name=_FULL_MONTHS,
     numeric_date=None,
-    rate=[rf"(?i)\b(?:rate|linehaul) \$?{_AMOUNT}", rf"(?i)\bat {_PER_TIME}\$?{_AMOUNT}", rf"\${_AMOUNT}"],
-    charge=[rf"(?i)\b(?:{_KINDS}){_BILLED} \${_AMOUNT}"],
+    rate=[rf"(?i)(?=[rl])\b(?:rate|linehaul) \$?{_AMOUNT}", rf"(?i)(?=a)\bat {_PER_TIME}\$?{_AMOUNT}", rf"\${_AMOUNT}"],
+    charge=[rf"(?i){_KIND}\b(?:{_KINDS}){_BILLED} \${_AMOUNT}"],
 )
 
 FULL = Rules(
     name="full",
     units={u: [u, u[:-1], *short] for u, short in UNIT_SHORT.items()},
-    delivery=r"(?i)\b(deliver|delivery|dlv|del)\b",
+    delivery=r"(?i)(?=d)\b(deliver|delivery|dlv|del)\b",
     both_ends=[
-        rf"\bORIG {_PLACE} DEST {_PLACE}",
-        rf"\bO:{_PLACE} D:{_PLACE}",
+        rf"(?=O)\bORIG {_PLACE} DEST {_PLACE}",
+        rf"(?=O)\bO:{_PLACE} D:{_PLACE}",
         rf"{_PLACE}(?:{_SITE} to | ?-> ?| ?=> ?| ?>> ?| ?> ?|-|{_SITE} bound for ){_PLACE}",
         _LOADING,
     ],
-    start_only=rf"(?:(?:\b(?:from|out of|orig|origin|loading|ex)|@) |\bO:){_PLACE}",
-    end_only=rf"(?:(?:\b(?:to|dest|unloading|bound for)|->|=>) |\bD:){_PLACE}",
+    start_only=rf"(?=[floe@O])(?:(?:\b(?:from|out of|orig|origin|loading|ex)|@) |\bO:){_PLACE}",
+    end_only=rf"(?=[tdub=D-])(?:(?:\b(?:to|dest|unloading|bound for)|->|=>) |\bD:){_PLACE}",
     weight=r"(\d[\d,]*) ?(?:lbs?\b|pounds\b|#)",
     month_name=f"(?i:{_ANY_MONTH})",
-    numeric_date=r"(?<![\d/])(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?(?![\d/])",
+    numeric_date=r"(?=\d)(?<![\d/])(\d{1,2})/(\d{1,2})(?:/(\d{4}|\d{2}))?(?![\d/])",
     rate=[
-        rf"(?i)\b(?:rate|RT|linehaul) \$?{_AMOUNT}",
-        rf"(?i)\bat {_PER_TIME}\$?{_AMOUNT}",
+        rf"(?i)(?=[rl])\b(?:rate|RT|linehaul) \$?{_AMOUNT}",
+        rf"(?i)(?=a)\bat {_PER_TIME}\$?{_AMOUNT}",
         rf"@ ?\$?{_AMOUNT}(?! ?lb)",
-        rf"(?<!\+)\${_AMOUNT}",
+        rf"(?=\$)(?<!\+)\${_AMOUNT}",
     ],
-    charge=[rf"(?i)\b(?:{_KINDS}){_BILLED} \$?{_AMOUNT}", rf"(?i)\+\$?{_AMOUNT} (?:{_KINDS})"],
+    charge=[rf"(?i){_KIND}\b(?:{_KINDS}){_BILLED} \$?{_AMOUNT}", rf"(?i)\+\$?{_AMOUNT} (?:{_KINDS})"],
 )
 RULE_SETS = {r.name: r for r in (CLEAN, FULL)}
 
 
 def _found(s: str, pattern: str, group: int = 1) -> str:
-    """The group's text, or null."""
-    return f"nullif(regexp_extract({s}, r'{pattern}', {group}), '')"
+    """The group's text, or null. Inside a lambda nullif would search twice."""
+    return f"get(array_remove(array(regexp_extract({s}, r'{pattern}', {group})), ''), 0)"
 
 
 def _first(s: str, patterns: list[str], group: int = 1) -> str:
@@ -112,12 +123,13 @@ def _struct(**values: str) -> str:
 
 def _unit_pattern(rules: Rules) -> str:
     forms = sorted((f for fs in rules.units.values() for f in fs), key=len, reverse=True)
-    return r"(?i)\b(\d[\d,]*) (" + "|".join(forms) + r")\b"
+    return r"(?i)(?=\d)\b(\d[\d,]*) (" + "|".join(forms) + r")\b"
 
 
 def _unit_of(word: str, rules: Rules) -> str:
+    """The unit of a lower-cased word."""
     arms = " ".join(
-        f"WHEN lower({word}) IN ({', '.join(repr(f.lower()) for f in forms)}) THEN '{unit}'"
+        f"WHEN {word} IN ({', '.join(repr(f.lower()) for f in forms)}) THEN '{unit}'"
         for unit, forms in rules.units.items()
     )
     return f"CASE {arms} END"
@@ -125,16 +137,15 @@ def _unit_of(word: str, rules: Rules) -> str:
 
 def _named_date(rules: Rules) -> str:
     return (
-        rf"\b({rules.month_name})\b(?: (\d{{1,2}})(?:st|nd|rd|th)?\b(?![,.\d/]\d))?"
+        rf"(?i:{_one_of(MONTHS)})\b({rules.month_name})\b(?: (\d{{1,2}})(?:st|nd|rd|th)?\b(?![,.\d/]\d))?"
         r"(?:,? (\d{4})\b)?"
     )
 
 
 def _passages(s: str, rules: Rules) -> str:
-    """Where in the segment the parts are: one search each, read in detail later
-    from the short passage alone."""
+    """Where in the segment the parts are, beside its count: one search each, read in
+    detail later from the short passage alone."""
     return _struct(
-        count=f"regexp_extract({s}, r'{_unit_pattern(rules)}', 0)",
         delivered=f"rlike({s}, r'{rules.delivery}')",
         lane=_first(s, rules.both_ends, 0),
         slashed=_found(s, rules.numeric_date, 0) if rules.numeric_date else "CAST(NULL AS string)",
@@ -171,13 +182,12 @@ def _ends(s: str, lane: str, rules: Rules) -> str:
     return f"CASE WHEN {lane} IS NOT NULL THEN {both} ELSE {one} END"
 
 
-def _line_of(s: str, p: str, reference: str, rules: Rules) -> str:
-    count = f"split({p}.count, ' ')"
+def _line_of(s: str, count: str, p: str, reference: str, rules: Rules) -> str:
     values = {
         "origin": "q.ends.origin",
         "destination": "q.ends.destination",
-        "quantity": _number(f"get({count}, 0)"),
-        "unit": _unit_of(f"get({count}, 1)", rules),
+        "quantity": _number(f"substring_index({count}, ' ', 1)"),
+        "unit": _unit_of("q.unit", rules),
         "weight": _number(_found(s, rules.weight)),
         "pickup_day": "q.date.day",
         "pickup_month": "q.date.month",
@@ -190,7 +200,8 @@ def _line_of(s: str, p: str, reference: str, rules: Rules) -> str:
     line = _struct(
         **{f.name: f"try_cast({values[f.name]} AS {f.dataType.simpleString()})" for f in LINE.fields}
     )
-    found = _struct(date=_stated_date(p, rules), ends=_ends(s, f"{p}.lane", rules))
+    unit = f"lower(substring_index({count}, ' ', -1))"
+    found = _struct(unit=unit, date=_stated_date(p, rules), ends=_ends(s, f"{p}.lane", rules))
     return let(found, "q", line)
 
 
@@ -228,9 +239,10 @@ def read_lines(text: str, rule_set: str) -> Column:
     2" goes on the second line."""
     rules = RULE_SETS[rule_set]
     parts = f"flatten(transform(split({text}, r'\n'), t -> {_one_each('t', rules)}))"
-    segments = f"filter({parts}, s -> rlike(s, r'{_unit_pattern(rules)}'))"
-    line = let(_passages("s", rules), "p", _line_of("s", "p", "ref", rules))
-    lines = let(_found(text, REFERENCE), "ref", f"transform({segments}, s -> {line})")
+    counted = _struct(s="s", count=f"regexp_extract(s, r'{_unit_pattern(rules)}', 0)")
+    segments = f"filter(transform({parts}, s -> {counted}), c -> c.count <> '')"
+    line = let(_passages("c.s", rules), "p", _line_of("c.s", "c.count", "p", "ref", rules))
+    lines = let(_found(text, REFERENCE), "ref", f"transform({segments}, c -> {line})")
     if rules is FULL:
         own = "get(c.amounts, CAST(array_position(c.legs, CAST(i + 1 AS string)) AS int) - 1)"
         fields = {f.name: f"x.{f.name}" for f in LINE.fields}

@@ -5,6 +5,7 @@ import json
 from conftest import line
 from pyspark.sql import functions as F
 
+from ladewerk.functions import reading
 from ladewerk.functions.json_text import lines_json, string_text
 from ladewerk.operators import generate, scoring
 from ladewerk.plans import queries as Q
@@ -88,3 +89,12 @@ def test_rows_of_several_models_are_stored_without_a_sort(spark, tmp_path):
     store = stores.PredictionStore(spark, str(tmp_path / "p"))
     store.write(Q._scored(spark, FOLDER))
     assert store.scored().count() == 3 * spark.read.parquet(f"{FOLDER}/orders.parquet").count()
+
+
+def test_each_reading_rule_searches_once_and_looks_before(spark):
+    found = reading._found("s", "(b+)")
+    df = spark.range(1).select(F.expr(f"transform(split(CAST(id AS string), ','), s -> {found})"))
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract") == 1
+    rules = reading.FULL
+    patterns = [*rules.both_ends, rules.start_only, rules.end_only, rules.delivery, *rules.charge, reading.REFERENCE]
+    assert not [p for p in patterns if p.removeprefix("(?i)").startswith(r"\b")]
