@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -51,6 +52,18 @@ def cut(df: DataFrame) -> DataFrame:
         return df.checkpoint()
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """df written to a folder and read from there. Unlike what `cut` keeps, it can be deleted,
+    empty tasks leave no file, and small files are read together."""
+    with released(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete what a finished step no longer needs."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut
+from ladewerk.llm.common import drop_folder, new_folder, released, stored
 
 
 def _star(pairs: DataFrame, up: bool) -> DataFrame:
@@ -29,13 +29,19 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round is two joins on the node; it ends when the edges stay as they are, each
     then leading from a node to its component. The rounds are few (the logarithm of the
-    longest path), and each is cut into the shared folder. No edges give no rows.
+    longest path), and each is written to the shared folder, from which the one before it
+    is then deleted. No edges give no rows.
     """
-    now = cut(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    spark = edges.sparkSession
+    folder, turn = new_folder(spark, "components"), 0
+    now = stored(edges.where("a <> b").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"{folder}/0")
     state = None
     while True:
-        now = cut(_star(_star(now, up=True), up=False))
-        seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        now = stored(_star(_star(now, up=True), up=False), f"{folder}/{turn + 1}")
+        drop_folder(spark, f"{folder}/{turn}")
+        turn += 1
+        with released(spark):
+            seen = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if tuple(seen) == state:
             break
         state = tuple(seen)

@@ -21,7 +21,6 @@ of copies that are not quite near each other does not come to all of its pairs.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, drop_folder, released, shared_folder, small_batches, texts
+from ladewerk.llm import common
+from ladewerk.llm.common import cut, drop_folder, released, small_batches, stored, texts
 from ladewerk.llm.components import components
 from ladewerk.llm.simhash import shingle_set, words_of
 
@@ -43,14 +43,7 @@ REMEMBERED = 100_000
 
 
 def new_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/minhash-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """df written to a folder and read from there."""
-    with released(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return common.new_folder(spark, "minhash")
 
 
 def merge_join(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
@@ -107,7 +100,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     again. A bitmap of fixed size keeps most other documents from being dealt out."""
     place = F.conv(F.hex(F.substring("digest", 1, 3)), 16, 10).cast("long") + 1
     bits = F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
-    pieces = {r["piece"]: bytes(r["bits"]) for r in nodes.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(bits).collect()}
+    with released(docs.sparkSession):
+        pieces = {r["piece"]: bytes(r["bits"]) for r in nodes.groupBy(F.bitmap_bucket_number(place).alias("piece")).agg(bits).collect()}
     table = docs.sparkSession.sparkContext.broadcast(b"".join(pieces.get(i + 1, b"").ljust(4096, b"\0") for i in range(1 << 9)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +133,7 @@ def _alike(both: Column, a: Column, b: Column, similarity: float) -> Column:
     return 100 * both >= percent * (a + b - both)
 
 
-def _near(pairs: DataFrame, held: DataFrame, whole: DataFrame, similarity: float) -> DataFrame:
+def _near(pairs: DataFrame, held: DataFrame, whole: DataFrame, similarity: float, folder: str) -> DataFrame:
     """The pairs (a, b) whose sets are similar, judged by their sketches and, where a sketch
     is not the whole set, by the whole sets."""
     for side in ("a", "b"):
@@ -149,7 +143,7 @@ def _near(pairs: DataFrame, held: DataFrame, whole: DataFrame, similarity: float
         "a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("both"),
         F.size(F.array_intersect(F.array_intersect("s_a", "s_b"), union)).alias("seen"), (F.greatest("n_a", "n_b") <= SKETCH).alias("known"),
     )
-    judged = cut(judged.where((F.col("known") & _alike(F.col("both"), F.col("n_a"), F.col("n_b"), similarity)) | (~F.col("known") & (F.col("seen") >= FLOOR * SKETCH))))
+    judged = stored(judged.where((F.col("known") & _alike(F.col("both"), F.col("n_a"), F.col("n_b"), similarity)) | (~F.col("known") & (F.col("seen") >= FLOOR * SKETCH))), f"{folder}/judged")
     rest = judged.where("NOT known").select("a", "b", "n_a", "n_b")
     for side in ("a", "b"):
         rest = merge_join(rest, whole.select(F.col("node").alias(side), F.col("whole").alias(f"w_{side}")), side)
@@ -234,7 +228,7 @@ def _crossings(rows: DataFrame, weight: DataFrame, whole: DataFrame, similarity:
     left, right = (few.select("value", F.col("node").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}")) for s in "xy")
     direct = _pairs(merge_join(left, right, "value").where("x < y AND c_x <> c_y"), similarity)
     rows = rows.where(F.col("members") > FEW_NODES)
-    listed = cut(_differences(rows, _hubs(rows, weight), whole, similarity, folder))
+    listed = stored(_differences(rows, _hubs(rows, weight), whole, similarity, folder), f"{folder}/listed")
     key = ["hub", "change", "low", "high"]
     listed = listed.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
     shape = listed.groupBy(*key).agg(F.count(F.lit(1)).alias("all"), F.min("component").alias("c_low"), F.max("component").alias("c_high"))
@@ -267,17 +261,20 @@ def near_groups(docs: DataFrame, kept: DataFrame, size: int, similarity: float,
         links = spark.createDataFrame([], "a long, b long")
         of = spark.createDataFrame([], "node long, component long")
     else:
-        links = cut(_near(first, held, whole, similarity))
+        links = stored(_near(first, held, whole, similarity, f"{folder}/first"), f"{folder}/links")
         of = components(links)
     for turn in range(3):
-        rows = cut(_open_lists(lists, of))
+        # What a turn makes on its way goes with it; its links hold those before.
+        now = f"{folder}/{turn}"
+        rows = stored(_open_lists(lists, of), f"{now}/rows")
         if not turn:
             weight = spark.createDataFrame([], "node long, weight long")
         else:
             ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
             weight = cut(ends.groupBy("node").agg(F.count(F.lit(1)).alias("weight")))
-        pairs = _spokes(rows, weight, similarity) if turn < 2 else _crossings(rows, last, whole, similarity, folder)
-        links = cut(links.unionByName(_near(pairs, held, whole, similarity)))
+        pairs = _spokes(rows, weight, similarity) if turn < 2 else _crossings(rows, last, whole, similarity, now)
+        links = stored(links.unionByName(_near(pairs, held, whole, similarity, now)), f"{folder}/links{turn}")
+        drop_folder(spark, now)
         of, last = components(links), weight
     # What is left to do reads the components alone, which are saved.
     drop_folder(spark, folder)
