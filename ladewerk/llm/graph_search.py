@@ -8,6 +8,7 @@ a time. Queries walk every shard's graph with a beam; the best of all shards are
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from ladewerk.llm.common import cut
 SHARD_ROWS = 4096
 DEGREE, BEAM, ALPHA = 32, 64, 1.2
 BLOCK = 256
+#: Shards of at most so many points hold all their distances while they are built.
+TABLE_ROWS = 8192
 #: Points that searches start from at least; queries of a shard whose answers are compared
 #: with brute force, and the share that the beam must find of these.
 ENTRIES, PROBES, RECALL = 64, 64, 0.98
@@ -33,23 +36,41 @@ def _squares(points: np.ndarray, ids: np.ndarray, queries: np.ndarray) -> np.nda
     return out
 
 
-def beam_search(points: np.ndarray, graph: np.ndarray, start: np.ndarray, queries: np.ndarray, beam: int, at_once: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _between(points: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """The function that gives the squared distances of points[own[i]] to points[ids[i, j]],
+    infinite where the id is -1. Of a shard of usual size each is computed once, as a matrix
+    product; building asks for the same ones many times over."""
+    n = len(points)
+    if n > TABLE_ROWS:
+        single = points.astype(np.float32)
+        return lambda own, ids: _squares(single, ids, single[own])
+    squares = np.einsum("ij,ij->i", points, points)
+    table = np.empty((n, n + 1), np.float32)
+    table[:, n] = np.inf  # where the id -1 of the next row leads, and of the first the last
+    for i in range(0, n, BLOCK):
+        part = squares[i : i + BLOCK, None] + squares - 2 * (points[i : i + BLOCK] @ points.T)
+        table[i : i + BLOCK, :n] = np.maximum(part, 0)
+    flat = table.ravel()
+    return lambda own, ids: flat.take(own[:, None].astype(np.int64) * (n + 1) + ids)
+
+
+def beam_search(far: Callable[[np.ndarray, np.ndarray], np.ndarray], graph: np.ndarray, start: np.ndarray, n: int, beam: int, at_once: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best ids and squared distances (beam columns, nearest first, -1 and infinite where
-    there are fewer), and the ids expanded on the way (-1 filled), for a block of queries
-    that start from the best of some entries and expand at_once ids a step."""
-    n = len(queries)
+    there are fewer), and the ids expanded on the way (-1 filled), for a block of n queries
+    that start from the best of some entries and expand at_once ids a step. far(rows, ids)
+    are the squared distances of queries to points, infinite where an id is -1."""
     ids = np.full((n, beam), -1, np.int32)
     dist = np.full((n, beam), np.inf)
+    rows = np.arange(n)
     for i in range(0, len(start), BLOCK):
         some = np.broadcast_to(start[i : i + BLOCK], (n, len(start[i : i + BLOCK]))).astype(np.int32)
         all_ids = np.concatenate((ids, some), axis=1)
-        all_dist = np.concatenate((dist, _squares(points, some, queries)), axis=1)
+        all_dist = np.concatenate((dist, far(rows, some)), axis=1)
         order = np.argsort(all_dist, axis=1, kind="stable")[:, :beam]
         ids, dist = np.take_along_axis(all_ids, order, 1), np.take_along_axis(all_dist, order, 1)
     done = ids < 0
     expanded = []
-    rows = np.arange(n)
-    seen = np.zeros((n, len(points)), bool)
+    seen = np.zeros((n, len(graph)), bool)
     seen[:, start] = True
     while len(rows):
         waiting = np.where(done[rows], np.inf, dist[rows])
@@ -72,7 +93,7 @@ def beam_search(points: np.ndarray, graph: np.ndarray, start: np.ndarray, querie
         near = np.where(fresh, near, -1)
         at, column = np.nonzero(fresh)
         seen[rows[at], near[at, column]] = True
-        d = _squares(points, near, queries[rows])
+        d = far(rows, near)
         all_ids = np.concatenate((ids[rows], near), axis=1)
         all_dist = np.concatenate((dist[rows], d), axis=1)
         all_done = np.concatenate((done[rows], ~fresh), axis=1)
@@ -83,13 +104,13 @@ def beam_search(points: np.ndarray, graph: np.ndarray, start: np.ndarray, querie
     return ids, dist, np.concatenate(expanded, axis=1) if expanded else np.full((n, 0), -1, np.int32)
 
 
-def prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
+def prune(between: Callable[[np.ndarray, np.ndarray], np.ndarray], own: np.ndarray, candidates: np.ndarray, degree: int, alpha: float) -> np.ndarray:
     """For each own id at most degree of its candidate ids (-1 filled), nearest first; a
     candidate goes if a kept one is nearer to it, by the factor alpha, than own is."""
     ids = np.sort(candidates, axis=1)
     ids[:, 1:][ids[:, 1:] == ids[:, :-1]] = -1
     ids[ids == own[:, None]] = -1
-    dist = _squares(points, ids, points[own])
+    dist = between(own, ids)
     order = np.argsort(dist, axis=1, kind="stable")
     ids, dist = np.take_along_axis(ids, order, 1), np.take_along_axis(dist, order, 1)
     out = np.full((len(own), degree), -1, np.int32)
@@ -100,8 +121,7 @@ def prune(points: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree: i
             break
         kept = ids[rows, at[rows]]
         out[rows, j] = kept
-        between = _squares(points, ids[rows], points[kept])
-        gone = alpha * alpha * between <= dist[rows]
+        gone = alpha * alpha * between(kept, ids[rows]) <= dist[rows]
         gone[np.arange(len(rows)), at[rows]] = True
         dist[rows] = np.where(gone, np.inf, dist[rows])
     return out
@@ -131,7 +151,8 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
     random = np.random.default_rng(seed)
     # Single precision is enough to choose neighbours by, around the middle and on one scale.
     points = points - points.mean(axis=0)
-    points = (points / max(np.abs(points).max(), np.finfo(float).tiny)).astype(np.float32)
+    points = points / max(np.abs(points).max(), np.finfo(float).tiny)
+    between = _between(points)
     middle = int(((points - points.mean(axis=0)) ** 2).sum(axis=1).argmin())
     start = np.unique(np.append(random.permutation(n)[: ENTRIES - 1], middle)).astype(np.int32)
     graph = random.integers(0, n, (n, min(degree, 8)), dtype=np.int32)
@@ -141,8 +162,8 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
         order = random.permutation(n)
         for i in range(0, n, BLOCK):
             own = order[i : i + BLOCK]
-            ids, _, expanded = beam_search(points, graph, start, points[own], beam)
-            graph[own] = prune(points, own, np.concatenate((ids, expanded, graph[own]), axis=1), degree, factor)
+            ids, _, expanded = beam_search(lambda rows, ids: between(own[rows], ids), graph, start, len(own), beam)
+            graph[own] = prune(between, own, np.concatenate((ids, expanded, graph[own]), axis=1), degree, factor)
             source = np.repeat(own, degree)
             target = graph[own].ravel()
             source, target = source[target >= 0], target[target >= 0]
@@ -154,8 +175,11 @@ def build_graph(points: np.ndarray, degree: int = DEGREE, beam: int = BEAM, alph
             hit = target[edges]
             back[:, :degree] = graph[hit]
             back[np.repeat(np.arange(len(edges)), sizes), degree + np.arange(len(target)) - np.repeat(edges, sizes)] = source
-            for j in range(0, len(hit), 4 * BLOCK):
-                graph[hit[j : j + 4 * BLOCK]] = prune(points, hit[j : j + 4 * BLOCK], back[j : j + 4 * BLOCK], degree, factor)
+            # Those that gain alike are pruned together, with no more columns than they need.
+            by = np.argsort(sizes, kind="stable")
+            for j in range(0, len(hit), BLOCK):
+                some = by[j : j + BLOCK]
+                graph[hit[some]] = prune(between, hit[some], back[some, : degree + sizes[some[-1]]], degree, factor)
     return graph, _entries(graph, start)
 
 
@@ -166,7 +190,7 @@ def wide_enough(points: np.ndarray, graph: np.ndarray, start: np.ndarray, querie
     k = min(k, len(points))
     limit = np.array([np.partition(((points - q) ** 2).sum(axis=1), k - 1)[k - 1] for q in probes])
     while beam < len(points):
-        _, dist, _ = beam_search(points, graph, start, probes, beam, max(1, beam // BLOCK))
+        _, dist, _ = beam_search(lambda rows, ids: _squares(points, ids, probes[rows]), graph, start, len(probes), beam, max(1, beam // BLOCK))
         # The two sums may differ in their last bits.
         if (dist[:, :k] <= limit[:, None] * (1 + 1e-9)).mean() >= RECALL:
             break
@@ -237,7 +261,7 @@ def nearest(rows: DataFrame, every: int = 100, k: int = 10, beam: int = 2 * BEAM
             width = wide_enough(exact, graph, start, wanted, k + 1, beam)
             for i in range(0, len(wanted), BLOCK):
                 q = wanted[i : i + BLOCK]
-                ids, _, _ = beam_search(exact, graph, start, q, width, max(1, width // BLOCK))
+                ids, _, _ = beam_search(lambda rows, ids: _squares(exact, ids, q[rows]), graph, start, len(q), width, max(1, width // BLOCK))
                 dist = np.sqrt(((exact[np.maximum(ids, 0)] - q[:, None, :]) ** 2).sum(axis=2))
                 dist[ids < 0] = np.inf
                 order = np.lexsort((vec_ids[np.maximum(ids, 0)], dist), axis=1)[:, : k + 1]

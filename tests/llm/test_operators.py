@@ -509,6 +509,32 @@ def test_graph_search_recall_on_other_vectors(spark, kind):
     assert hit / 600 >= 0.95
 
 
+def test_building_a_graph_computes_each_distance_once(monkeypatch):
+    """The distances of a shard are a table, equal to those of the vectors; a shard beyond
+    its limit, which reads vectors, gets a graph as good."""
+    r = np.random.default_rng(6)
+    x = r.normal(size=(700, 24)) * np.exp(r.normal(size=(700, 1)))
+    own, ids = np.arange(300, 500), r.integers(-1, 700, (200, 40)).astype(np.int32)
+    ids[0, 0] = -1
+    plain = graph_search._squares(x, ids, x[own])
+    assert np.allclose(graph_search._between(x)(own, ids), plain, rtol=1e-5)
+    first = graph_search._between(x)(np.array([0]), np.array([[-1, 0, 1]]))[0]
+    assert first[0] == np.inf and first[1] < 1e-9 and np.isclose(first[2], ((x[0] - x[1]) ** 2).sum(), rtol=1e-5)
+
+    def recall(graph, start):
+        found, _, _ = graph_search.beam_search(lambda rows, ids: graph_search._squares(x, ids, x[rows]), graph, start, 60, 128)
+        return np.mean([len(set(found[i, :10]) & set(np.argsort(((x - x[i]) ** 2).sum(axis=1))[:10])) / 10 for i in range(60)])
+
+    monkeypatch.setattr(graph_search, "TABLE_ROWS", 100)
+    assert recall(*graph_search.build_graph(x)) >= 0.97
+    monkeypatch.undo()
+    read = graph_search._squares
+    monkeypatch.setattr(graph_search, "_squares", None)
+    built = graph_search.build_graph(x)
+    monkeypatch.setattr(graph_search, "_squares", read)
+    assert recall(*built) >= 0.97
+
+
 def test_toxicity_learns_held_out_words(spark, none):
     r = random.Random(7)
     rows, labels = [], []
