@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ladewerk.llm import common
-from ladewerk.llm.common import cut, drop_folder, released, small_batches, stored, texts
+from ladewerk.llm.common import cut, drop_folder, lean_batches, released, small_batches, stored, texts
 from ladewerk.llm.components import components
 from ladewerk.llm.simhash import shingle_set, words_of
 
@@ -67,7 +67,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "sketch"])
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, digest binary, sketch array<long>")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(lean_batches(run), "doc_id long, n long, digest binary, sketch array<long>")
 
 
 def _needed(n: Column, similarity: float) -> Column:
@@ -123,7 +123,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
             if digests:
                 yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["digest", "whole"])
 
-    read = small_batches(docs).select("text").mapInArrow(run, "digest binary, whole array<long>")
+    read = small_batches(docs).select("text").mapInArrow(lean_batches(run), "digest binary, whole array<long>")
     # Copies in different tasks give the same set.
     return merge_join(read, nodes.select("digest", "node"), "digest").groupBy("node").agg(F.first("whole").alias("whole"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import minhash, simhash
-from ladewerk.llm.common import cut, small_batches, texts
+from ladewerk.llm.common import cut, lean_batches, small_batches, texts
 from ladewerk.operators.joins import join_unique
 
 _ROWS = "doc_id long, key binary, n long, digest binary, sketch array<long>, fingerprint long"
@@ -38,7 +38,7 @@ def _prints(docs: DataFrame, size: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in _ROWS.split(", ")])
 
-    return small_batches(docs).mapInArrow(run, _ROWS)
+    return small_batches(docs).mapInArrow(lean_batches(run), _ROWS)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import cut, small_batches, texts
+from ladewerk.llm.common import cut, lean_batches, small_batches, texts
 
 SEQUENCE = 1024
 END_ID = 0
@@ -43,21 +43,26 @@ def _is_plain(layout: dict) -> bool:
     )
 
 
+@cache
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 @cache
 def _encoder(path: str) -> Callable[[str], np.ndarray]:
     """A function that gives a text's ids as the tokenizers library does with this file.
 
     Plain byte-level files are read into tiktoken, which gives the same ids at a third of
-    the cost; any other file, and a text that it gives up on, is left to tokenizers.
+    the cost; any other file, and a text that it gives up on, is left to tokenizers, which
+    is loaded only then: a worker keeps what it has loaded.
     """
-    from tokenizers import Tokenizer
-
     with open(path, encoding="utf-8") as f:
         layout = json.load(f)
-    tokenizer = Tokenizer.from_file(path)
 
     def whole(text: str) -> np.ndarray:
-        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4")
 
     if not _is_plain(layout):
         return whole
@@ -98,7 +103,7 @@ def pieces(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
                     rows += [(d, s, min(sequence, n - s), zlib.crc32(ids[4 * s : 4 * (s + sequence)]), n) for s in range(0, n, sequence)]
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(lean_batches(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 
 def patterns(histogram: dict[int, int], sequence: int = SEQUENCE) -> list[tuple[tuple[int, ...], int]]:
@@ -172,4 +177,4 @@ def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE) -> DataFrame:
             names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(out[0]), pa.array(out[1])], [*names, "sequence_id", "offset"])
 
-    return ranked(found).mapInArrow(place, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return ranked(found).mapInArrow(lean_batches(place), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ladewerk.llm.common import small_batches, texts
+from ladewerk.llm.common import lean_batches, small_batches, texts
 from ladewerk.operators.joins import partnered
 
 ORDERS = (3, 5)
@@ -115,7 +115,7 @@ def ngram_counts(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["share", "counts"])
 
     def counted(rows: DataFrame) -> np.ndarray:
-        found = rows.select("text").mapInArrow(count, "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
+        found = rows.select("text").mapInArrow(lean_batches(count), "share int, counts binary").groupBy("share").applyInArrow(add, "share int, counts binary").collect()
         counts = np.zeros((SHARES, size // SHARES), np.int64)
         for r in found:
             counts[r["share"]] = np.frombuffer(r["counts"], np.int64)
@@ -174,4 +174,4 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) ->
             new = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], [*batch.schema.names, *names])
 
-    return own.mapInArrow(score, f"{schema}, {COLUMNS}, base_failed boolean, log_ratio double, kept boolean")
+    return own.mapInArrow(lean_batches(score), f"{schema}, {COLUMNS}, base_failed boolean, log_ratio double, kept boolean")

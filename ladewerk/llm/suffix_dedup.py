@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.llm import bwt
-from ladewerk.llm.common import blobs, joined, small_batches
+from ladewerk.llm.common import blobs, joined, lean, small_batches
 
 GRAM = 24
 CHUNK_BYTES = 1 << 20
@@ -264,11 +264,11 @@ def suffix_repeats(docs: DataFrame, length: int = 100, carry: tuple[str, ...] =
         })
 
     grouped = dealt.groupBy("block")
-    twice = grouped.applyInArrow(hashes, "bucket int, block int, keys binary, many binary").groupBy("bucket").applyInArrow(repeated, "block int, keys binary")
-    sent = grouped.cogroup(twice.groupBy("block")).applyInArrow(stretches, stretch_type)
-    places = sent.groupBy("bucket").applyInArrow(merged, "block int, places binary")
+    twice = grouped.applyInArrow(lambda left: lean(hashes, left), "bucket int, block int, keys binary, many binary").groupBy("bucket").applyInArrow(lambda group: lean(repeated, group), "block int, keys binary")
+    sent = grouped.cogroup(twice.groupBy("block")).applyInArrow(lambda left, right: lean(stretches, left, right), stretch_type)
+    places = sent.groupBy("bucket").applyInArrow(lambda group: lean(merged, group), "block int, places binary")
     kinds = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in carried)
-    out = grouped.cogroup(places.groupBy("block")).applyInArrow(removed, f"id long, {kinds}n_bytes long, n_removed long, n_spans long, kept binary")
+    out = grouped.cogroup(places.groupBy("block")).applyInArrow(lambda left, right: lean(removed, left, right), f"id long, {kinds}n_bytes long, n_removed long, n_spans long, kept binary")
     return out.select(F.col("id").alias("doc_id"), *[F.col(f.name).alias(c) for f, c in zip(carried, carry, strict=True)], "n_bytes", "n_removed", "n_spans", "kept")
 
 

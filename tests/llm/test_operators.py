@@ -9,9 +9,10 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
-from ladewerk.llm import boosting, bwt, chat, golay, graph_search, near_documents, packing, pii, quality, sentencepiece_fst, simhash, suffix_dedup, template, toxicity, warc
+from ladewerk.llm import boosting, bwt, chat, common, golay, graph_search, near_documents, packing, pii, quality, sentencepiece_fst, simhash, suffix_dedup, template, toxicity, warc
 from ladewerk.llm.components import components
 from pyspark.sql import functions as F
 
@@ -281,6 +282,21 @@ def test_packing_places_every_id_once(docs, none, rows):
     assert packing.pack(none, BPE).count() == 0
 
 
+def test_a_worker_keeps_one_tokenizer(monkeypatch):
+    """Where tiktoken reads the file, the tokenizers library stays unloaded until a text needs it."""
+    import tokenizers
+
+    packing._encoder.cache_clear()
+    monkeypatch.setattr(tokenizers, "Tokenizer", None)
+    assert len(packing.token_ids(["some words"], BPE)[0]) >= 8
+
+
+def test_memory_is_given_back_after_a_step():
+    batches = [pa.record_batch({"a": [1, 2]}), pa.record_batch({"a": [3]})]
+    assert list(common.lean_batches(lambda x: x)(iter(batches))) == batches
+    assert common.lean(lambda a, b: (a, b), 1, 2) == (1, 2)
+
+
 def test_packing_patterns_hold_the_histogram():
     histogram = {1024: 3, 700: 5, 324: 4, 200: 40, 1: 100}
     held = {}
