@@ -44,7 +44,8 @@ def word_ids(text: str) -> np.ndarray:
     """Hashed words, lower-cased, with padding so that every filter fits."""
     words = text.lower().encode().translate(_CLEAN).split()
     ids = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % (BUCKETS - 1) + 1
-    return np.concatenate((ids, np.full(max(WIDTHS) - 1, PAD, np.int64)))
+    # A text of no words has no place for the widest filter but in padding of its width.
+    return np.concatenate((ids, np.full(max(WIDTHS) - min(1, len(words)), PAD, np.int64)))
 
 
 @dataclass

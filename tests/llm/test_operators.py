@@ -590,3 +590,15 @@ def test_toxicity_learns_from_every_labelled_document(spark):
     start = toxicity._start(0.3)
     again = toxicity._packed(toxicity._unpacked(toxicity._packed(start)))
     assert np.array_equal(again, toxicity._packed(start))
+
+
+def test_toxicity_learns_from_labelled_texts_without_words(spark):
+    r = random.Random(3)
+    rows = [(i, r.choice([None, "", "#$% !", "one"]) if i % 4 else "vile vile", "en", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, DOCS)
+    known = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    found = {x["doc_id"]: x["score"] for x in toxicity.toxicity(docs, known, shard_docs=200).collect()}
+    assert len(found) == 600 and min(s for i, s in found.items() if i % 4 == 0) > max(s for i, s in found.items() if i % 4)
+    for text in ("", "?!"):
+        assert toxicity.word_ids(text).tolist() == [toxicity.PAD] * max(toxicity.WIDTHS)
+    assert toxicity.word_ids("one two").size == 4
