@@ -112,10 +112,12 @@ def accuracy_of(comparison: str, expected: str, predicted: str) -> Column:
     )
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return name in df.columns and isinstance(df.schema[name].dataType, T.StringType)
+
+
 def _typed(df: DataFrame, name: str) -> Column:
-    if isinstance(df.schema[name].dataType, T.StringType):
-        return parse_lines(name)
-    return F.col(name)
+    return parse_lines(name) if _is_text(df, name) else F.col(name)
 
 
 def score(raw: DataFrame) -> DataFrame:
@@ -124,8 +126,14 @@ def score(raw: DataFrame) -> DataFrame:
     expected = _typed(raw, "expected") if "expected" in raw.columns else F.array().cast(LINES)
     sides = ("_expected", "_predicted")
     error = "error" if "error" in raw.columns else None
-    predicted = _typed(raw, "predicted").alias("_predicted")
-    typed = computed(raw, expected.alias("_expected"), predicted)
+    predicted = _typed(raw, "predicted")
+    if _is_text(raw, "expected") and _is_text(raw, "predicted"):
+        # Equal texts are read once.
+        raw_typed = computed(raw, expected.alias("_expected"))
+        same = F.col("predicted") == F.col("expected")
+        typed = computed(raw_typed, F.when(same, F.col("_expected")).otherwise(predicted).alias("_predicted"))
+    else:
+        typed = computed(raw, expected.alias("_expected"), predicted.alias("_predicted"))
     return computed(typed, compare(*sides, error).alias("_cmp")).select(
         *raw.columns,
         category_of("_cmp", *sides).alias("category"),

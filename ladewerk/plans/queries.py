@@ -104,9 +104,12 @@ def score_rows(spark, folder):
 def score_json_text(spark, folder):
     """The same scoring from JSON text columns, validated on the way."""
     raw = _raw(spark, folder)
+    gold_text = computed(
+        raw.select("id", "model_name", "expected", "predicted", "error"), lines_json("expected").alias("e"),
+    )
+    # Equal lists have one text.
     as_text = computed(
-        raw.select("id", "model_name", "expected", "predicted", "error"),
-        lines_json("expected").alias("e"), lines_json("predicted").alias("p"),
+        gold_text, F.when(F.col("predicted") == F.col("expected"), F.col("e")).otherwise(lines_json("predicted")).alias("p"),
     ).select("id", "model_name", F.col("e").alias("expected"), F.col("p").alias("predicted"), "error")
     return scoring.score(as_text).select("id", "model_name", "category", "field_accuracy")
 

@@ -168,3 +168,15 @@ def test_against_brute_force(spark):
         n = max(len(exp), len(pred))
         same = sum(x == y for a, b in zip(exp, pred) for x, y in zip(a, b))
         assert accuracy == (1.0 if n == 0 else round(same / (12 * n), 4))
+
+
+def test_equal_texts_are_read_once_and_score_as_others_do(spark):
+    good = '[{"quantity": 1, "unit": "skids", "leg": "pickup", "rate": 2}]'
+    spaced = good.replace(": ", ":")
+    rows = [(1, good, good), (2, good, spaced), (3, "not json", "not json"), (4, None, None), (5, None, good), (6, "[]", "[]"), (7, good, None)]
+    out = score(spark.createDataFrame(rows, "id int, expected string, predicted string"))
+    assert {r["id"]: (r["category"], r["field_accuracy"]) for r in out.collect()} == {
+        1: ("CORRECT", 1.0), 2: ("CORRECT", 1.0), 3: ("ERROR", 0.0), 4: ("ERROR", 0.0), 5: ("ERROR", 0.0), 6: ("CORRECT", 1.0), 7: ("ERROR", 0.0),
+    }
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "(predicted#" in plan and "= expected#" in plan
