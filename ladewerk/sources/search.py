@@ -19,6 +19,9 @@ from ladewerk.sources.versions import ManifestLog, new_version
 #: Places of a file's bitmap, and how many of them share a word of it.
 PLACES, WORD = 1 << 18, 64
 ROWS_PER_FILE = 100_000
+#: Spark looks up each file that it is given by name, one by one: more than so many are read
+#: by their folder, with the others left out when the files are chosen.
+NAMED_FILES = 256
 
 
 def trigram_places(rows: DataFrame, text: str, *keep: str) -> DataFrame:
@@ -31,6 +34,14 @@ def trigram_places(rows: DataFrame, text: str, *keep: str) -> DataFrame:
     return at.select(*keep, F.pmod(F.xxhash64(gram), F.lit(PLACES)).alias("place"))
 
 
+def blank_free(rows: DataFrame, text: str, *keep: str) -> DataFrame:
+    """keep and the different parts between blanks and line ends of each text, in lower case.
+    The words of a query hold neither, so no other trigram of the text is asked for."""
+    flat = F.translate(F.lower(F.col(text)), "\n", " ")
+    parts = rows.select(*keep, F.explode(F.array_distinct(F.split(flat, " "))).alias("part"))
+    return parts.where(F.length("part") > 2)
+
+
 @dataclass(frozen=True)
 class SearchStore:
     """data/<version>/ with the rows, index/<version>/ with a bitmap for each file, and the
@@ -49,11 +60,15 @@ class SearchStore:
         data, index = (f"{self.path}/{part}/{version}" for part in ("data", "index"))
         rows.write.option("maxRecordsPerFile", rows_per_file).parquet(data)
         stored = self.spark.read.parquet(data).select(F.col("_metadata.file_path").alias("file"), F.col(self.text))
-        # A task counts a word of a file once, by hash; a file has at most 4,096 words.
-        places = trigram_places(stored, self.text, "file")
+        # A task counts a word of a file once, by hash; a file has at most 4,096 words. The
+        # file's name stands for all of its trigrams as one number; two files that should share
+        # it would have each other's bits too, and be read for them.
+        named = stored.select(F.xxhash64("file").alias("number"), "file").distinct()
+        places = trigram_places(blank_free(stored.withColumn("number", F.xxhash64("file")), self.text, "number"), "part", "number")
         one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("place", F.lit(WORD)).cast("int"))
-        words = places.select("file", F.floor(F.col("place") / WORD).cast("int").alias("word"), one.alias("bit"))
-        words.groupBy("file", "word").agg(F.bit_or("bit").alias("bits")).write.parquet(index)
+        words = places.select("number", F.floor(F.col("place") / WORD).cast("int").alias("word"), one.alias("bit"))
+        counted = words.groupBy("number", "word").agg(F.bit_or("bit").alias("bits"))
+        counted.join(F.broadcast(named), "number").select("file", "word", "bits").write.parquet(index)
         self._log().publish(lambda _: {"version": version})
 
     def _version(self) -> str:
@@ -79,7 +94,7 @@ class SearchStore:
             held = held + F.when((F.col("word") == place // WORD) & (F.getbit("bits", F.lit(place % WORD)) == 1), 1).otherwise(0)
         asked = index.where(F.col("word").isin(sorted({place // WORD for place in wanted})))
         found = asked.groupBy("file").agg(F.sum(held).alias("held")).where(F.col("held") == len(wanted))
-        # One name for each file that is read: Spark's driver would list them too.
+        # One name for each file that is read: Spark's driver lists them too.
         return sorted(r["file"] for r in found.select("file").collect())
 
     def search(self, query: str) -> DataFrame:
@@ -88,7 +103,11 @@ class SearchStore:
         names = self.files_of(query)
         if not names:
             return rows.where(F.lit(False))
-        return self.spark.read.schema(rows.schema).parquet(*names).where(has_words(F.col(self.text), query))
+        if len(names) > NAMED_FILES:
+            chosen = rows.where(F.col("_metadata.file_path").isin(names))
+        else:
+            chosen = self.spark.read.schema(rows.schema).parquet(*names)
+        return chosen.where(has_words(F.col(self.text), query))
 
     def tidy(self) -> None:
         """Delete versions that do not count any more; only while nobody writes or reads."""

@@ -98,3 +98,20 @@ def test_each_reading_rule_searches_once_and_looks_before(spark):
     rules = reading.FULL
     patterns = [*rules.both_ends, rules.start_only, rules.end_only, rules.delivery, *rules.charge, reading.REFERENCE]
     assert not [p for p in patterns if p.removeprefix("(?i)").startswith(r"\b")]
+
+
+def test_many_files_of_a_search_are_chosen_from_one_listing(spark, tmp_path, monkeypatch):
+    store = search.SearchStore(spark, str(tmp_path / "s"))
+    rows = [(i, f"Harbor {'seven' if i < 500 else 'eight'}\nline{i} tail") for i in range(1_000)]
+    store.replace(spark.createDataFrame(rows, "id int, text string").coalesce(1), rows_per_file=50)
+    by_name = store.search("SEVEN tail")
+    assert len(by_name.inputFiles()) == 10
+    monkeypatch.setattr(search, "NAMED_FILES", 4)
+    chosen = store.search("SEVEN tail")
+    assert sorted(r["id"] for r in chosen.collect()) == sorted(r["id"] for r in by_name.collect()) == list(range(500))
+    leaf = chosen._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert leaf.metrics().get("numFiles").get().value() == 10
+    # No trigram reaches over a blank or a line's end; the index names files by their paths.
+    assert store.files_of("n lin") == store.files_of("lin") and store.files_of("nlin") == []
+    parts = search.blank_free(store.read().where("id = 7"), "text", "id")
+    assert sorted(r["part"] for r in parts.collect()) == ["harbor", "line7", "seven", "tail"]
