@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ladewerk.functions.binding import as_column, built_once, once
+from ladewerk.functions.json_text import lines_json
 from ladewerk.schema import DECIMAL, LEGS, LINE, LINE_FIELDS, LINES, REQUIRED_FIELDS, UNITS
 
 _VARIANT_LINES = "array<struct<%s>>" % ", ".join(f"{f}: variant" for f in LINE_FIELDS)
@@ -31,12 +32,21 @@ _VALUE_TEXT = {
 }
 
 
-def _plain_list_pattern() -> str:
+# The same, as lines_json writes numbers: no sign of zero, no zeros at the end of a fraction.
+_CANONICAL_TEXT = {
+    T.StringType(): _STRING,
+    T.LongType(): r"(?!-0)" + _VALUE_TEXT[T.LongType()],
+    T.IntegerType(): r"(?!-0)" + _VALUE_TEXT[T.IntegerType()],
+    DECIMAL: r"(?!-0(?!\.))-?(?:0|[1-9]\d{0,17}+)(?:\.\d{1,18}+(?<!0))?+",
+}
+
+
+def _plain_list_pattern(value_text: dict[T.DataType, str]) -> str:
     """A list of such lines; possessive throughout, so it takes no stack for a long one."""
     fields = ""
     for f in LINE.fields:
         # Fields before the first required one end with a comma, those after begin with one.
-        pair = rf'"{f.name}": {_VALUE_TEXT[f.dataType]}'
+        pair = rf'"{f.name}": {value_text[f.dataType]}'
         if LINE_FIELDS.index(f.name) < LINE_FIELDS.index(REQUIRED_FIELDS[0]):
             fields += rf"(?:{pair}, )?+"
         elif f.name == REQUIRED_FIELDS[0]:
@@ -47,8 +57,9 @@ def _plain_list_pattern() -> str:
     return rf"\[(?:{line}(?:, {line})*+)?+\]"
 
 
-PLAIN_LINES = _plain_list_pattern()
+PLAIN_LINES = _plain_list_pattern(_VALUE_TEXT)
 _PLAIN_LIST = rf"\A{PLAIN_LINES}\z"
+_CANONICAL_LIST = rf"\A{_plain_list_pattern(_CANONICAL_TEXT)}\z"
 
 
 def _kind(v: Column) -> Column:
@@ -158,6 +169,14 @@ def parse_lines(json_text: Column | str) -> Column:
     return F.when(text.rlike(_PLAIN_LIST), F.from_json(text, LINES)).otherwise(lines_of_variant(whole_value(text)))
 
 
+@built_once
+def canonical_lines(json_text: Column | str) -> Column:
+    """What lines_json writes of the parsed text, or null if any rule is broken. A text that
+    is written so already, which one regular expression tells, is left as it is."""
+    text = as_column(json_text)
+    return F.when(text.rlike(_CANONICAL_LIST), text).otherwise(lines_json(parse_lines(json_text)))
+
+
 @built_once
 def parse_items(json_text: Column | str) -> Column:
     """array<LINE> of `{"items": [...]}`, or null."""

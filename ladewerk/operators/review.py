@@ -6,9 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ladewerk.functions.binding import computed
-from ladewerk.functions.json_text import lines_json
 from ladewerk.functions.text import has_words, preview
-from ladewerk.functions.validation import parse_lines, review_row_valid
+from ladewerk.functions.validation import canonical_lines, review_row_valid
 
 
 def trusted(reviews: DataFrame) -> DataFrame:
@@ -25,10 +24,9 @@ def checked_labels(reviews: DataFrame) -> DataFrame:
     """id, text, parsed_json of each trusted row; parsed_json is null when the
     label breaks the schema."""
     chosen = trusted(reviews).select("id", "text", training_label().alias("label"))
-    return computed(
-        computed(chosen, parse_lines("label").alias("lines")),
-        lines_json("lines").alias("parsed_json"),
-    ).select(F.col("id").cast("string").alias("id"), "text", "parsed_json")
+    return computed(chosen, canonical_lines("label").alias("parsed_json")).select(
+        F.col("id").cast("string").alias("id"), "text", "parsed_json"
+    )
 
 
 def trusted_labels(reviews: DataFrame) -> DataFrame:

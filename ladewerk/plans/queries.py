@@ -18,6 +18,7 @@ from ladewerk.functions.validation import (
 from ladewerk.operators import extract as X
 from ladewerk.operators import gate, generate, label_errors, review, scoring
 from ladewerk.operators.contamination import exclude_texts
+from ladewerk.operators.joins import join_unique
 from ladewerk.operators.registry import registry_table, resolve_models
 from ladewerk.operators.selection import seeded_parts
 from ladewerk.plans import jobs
@@ -593,7 +594,10 @@ def retrain_cycle(spark, folder):
         spark.read.schema(LABELLED).parquet(f"{where}/labels-first"), nothing, holdout_percent=20.0, seed=SEED
     )
     data.write(first.train, first.benchmark)
-    confirmed = confirmations(spark, folder)
+    # A candidate answers what the benchmark asks.
+    asked = data.benchmark().select("id").distinct()
+    orders = B.table(spark, folder, "orders").withColumn("id", F.col("o_orderkey").cast("string"))
+    confirmed = B.confirmations(join_unique(orders, asked, ["id"], "inner").drop("id"))
     steps = []
     for model in CANDIDATES:
         made = B.predictions(confirmed).where(F.col("model_name") == model).drop("expected", "text")

@@ -115,3 +115,10 @@ def test_many_files_of_a_search_are_chosen_from_one_listing(spark, tmp_path, mon
     assert store.files_of("n lin") == store.files_of("lin") and store.files_of("nlin") == []
     parts = search.blank_free(store.read().where("id = 7"), "text", "id")
     assert sorted(r["part"] for r in parts.collect()) == ["harbor", "line7", "seven", "tail"]
+
+
+def test_candidates_answer_what_the_benchmark_asks(spark, monkeypatch):
+    asked, made = [], Q.B.predictions
+    monkeypatch.setattr(Q.B, "predictions", lambda confirmed: asked.append(confirmed.count()) or made(confirmed))
+    steps = Q.retrain_cycle(spark, FOLDER).collect()
+    assert asked == [r["n_benchmark"] for r in steps]

@@ -3,6 +3,7 @@ from conftest import line
 from pyspark.sql import functions as F
 
 from ladewerk.functions import validation as V
+from ladewerk.functions.json_text import lines_json
 from ladewerk.functions.validation import (
     date_ladder_ok, guard_references, in_vocabulary, is_valid_lines, one_reference, parse_lines,
     reference_unsupported, review_row_valid,
@@ -133,3 +134,16 @@ def test_plain_lists_are_read_in_one_pass_with_the_same_values(spark):
     assert [bool(r["plain"]) for r in got] == [True] * len(plain) + [False] * len(other)
     assert [r["now"] for r in got] == [r["checked"] for r in got]
     assert got[1]["now"][0]["reference"] == "PO #1, {['" and got[0]["now"][0]["rate"] == 10 and len(got[4]["now"]) == 5_000
+
+
+def test_canonical_texts_are_left_as_they_are_and_others_written_anew(spark):
+    one = '{"quantity": %s, "unit": "skids", "leg": "pickup", "rate": %s%s}'
+    amounts = ["0", "-0", "0.0", "-0.0", "0.5", "-0.5", "1.50", "10", "10.0", "010", "-7", "1847.25", "0.000000000000000001", "123456789012345678.25", "1e3", ".5", '"2.50"']
+    texts = ["[]", "[ ]", "null", "not json", "[null]", None, "[" + one % (1, 2, "") + "]x", "[" + one % (1, 2, "") + "] "]
+    texts += ["[" + one % (1, a, m) + "]" for a in amounts for m in ("", ', "reference": "PO-1.50"', ', "reference": "\\u00e9"', ', "reference": "x, y"', ', "extra": 1')]
+    texts += ["[" + one % (q, 3, "") + ", " + one % (2, "4.50", "") + "]" for q in ("-0", "0", "7", "12.0", "1" * 18, "1" * 19, "1" * 20)]
+    texts += ["[" + ('{"weight": %s, "quantity": 1, "unit": "u", "pickup_day": %s, "leg": "l", "accessorial": %s, "rate": 1}' % (a, d, a)) + "]" for a in amounts for d in ("5", "-0", "null")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = rows.select("t", V.canonical_lines("t").alias("short"), lines_json(V.parse_lines("t")).alias("long"), F.col("t").rlike(V._CANONICAL_LIST).alias("kept")).collect()
+    assert [r["t"] for r in got if r["short"] != r["long"]] == []
+    assert all(r["long"] == r["t"] for r in got if r["kept"]) and sum(bool(r["kept"]) for r in got) > 20
